@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.relations_sql import CHRONIC_INPUTS, id_list, values
+from checks.relations_sql import CHRONIC_INPUTS, TAG_CLASS, id_list, values
 
 ILLNESS = [
     "dental_and_surgery",
@@ -197,7 +197,12 @@ chronic{s} AS (
 
 
 def _over_model(select: str) -> str:
-    return f"WITH {CHRONIC_INPUTS},{model()}\n{select}"
+    return f"WITH {CHRONIC_INPUTS},{TAG_CLASS},{model()}\n{select}"
+
+
+def over_tables(query: str) -> str:
+    """The same query over tables that already have the models' input columns."""
+    return QUERIES[query].replace(CHRONIC_INPUTS + ",", "")
 
 
 QUERIES: dict[str, str] = {
@@ -240,7 +245,7 @@ QUERIES: dict[str, str] = {
           greatest(odu_updated_at_utc, updated_at) AS newest_at FROM repeated"""
     ),
     "chronic_purchases": _over_model("SELECT * FROM chronic"),
-    "incremental_refresh": f"""WITH {CHRONIC_INPUTS},{model()},{model("2001-05-01", "_before")},
+    "incremental_refresh": f"""WITH {CHRONIC_INPUTS},{TAG_CLASS},{model()},{model("2001-05-01", "_before")},
         emitted AS (
           SELECT * FROM chronic WHERE odu_updated_at_utc >=
             (SELECT max(odu_updated_at_utc) - INTERVAL 24 HOUR FROM chronic_before)

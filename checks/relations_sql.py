@@ -38,9 +38,11 @@ line AS (
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 )"""
 
+TAG_CLASS = f"""
+tag_class(tag, class) AS ({values(_CLASSES)})"""
+
 CHRONIC_INPUTS = f"""{LINES},
 hier(slot, leaf, l3, l2, top) AS ({values(_HIERARCHY)}),
-tag_class(tag, class) AS ({values(_CLASSES)}),
 transactions AS (
   SELECT pid % 3 AS server_odu_id, 100 + pid % 25 AS practice_odu_id, pid AS patient_odu_id,
     o_orderdate + to_hours(CAST(l_orderkey % 24 AS INTEGER)) AS transaction_datetime,

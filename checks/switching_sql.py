@@ -91,6 +91,13 @@ length AS (
 
 _FLAGS = f"{_COLUMNS}, previous_drug, switch_yn, brand_name_switch_yn"
 
+
+
+def over_tables(query: str) -> str:
+    """The same query over a table ``pain_purchases``."""
+    return QUERIES[query].replace(PAIN_PURCHASES + ",", "")
+
+
 QUERIES: dict[str, str] = {
     "chronic_nsaid_cohort": f"{_MODEL} SELECT {_COLUMNS} FROM cohort",
     "same_day_combos": f"{_MODEL} SELECT {_COLUMNS}, same_day_products FROM seen",

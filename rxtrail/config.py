@@ -85,10 +85,10 @@ class ChronicConfig:
             found |= self.sets[name] if name in self.sets else FIXED_IDS[name]
         return sorted(found)
 
-    def member(self, column: Column | str, *names: str) -> Column:
+    def member(self, column: str, *names: str) -> Column:
         """True where ``column`` holds an id of any named set, else false (never NULL)."""
-        column = F.col(column) if isinstance(column, str) else column
-        return F.coalesce(column.isin(*self.ids(*names)), F.lit(False))
+        ids = ", ".join(map(str, self.ids(*names)))
+        return F.expr(f"coalesce({column} IN ({ids}), false)") if ids else F.lit(False)
 
     def today(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)

@@ -34,6 +34,8 @@ def number_islands(steps: DataFrame, hot_patients: HotKeys | None) -> DataFrame:
 
     def numbered(rows: DataFrame, by_day: bool) -> DataFrame:
         time = "transaction_datetime"
+        if not by_day:
+            rows = rows.repartition("patient_odu_id")  # serves all three windows
         rows = previous_value(
             rows,
             history,
@@ -73,12 +75,12 @@ def switch_report(
     purchases: DataFrame,
     items: DataFrame,
     steps: DataFrame,
-    hot_steps: HotKeys | None,
     hot_items: HotKeys | None,
     item_keys: tuple[str, ...],
 ) -> DataFrame:
     """Distinct purchases, one row per previous drug, with what is known of their step."""
-    known = lookup_join(items, steps, STEP, hot_steps, item_keys, null_safe=True)
+    # A step has no more items than its product has drugs and brands: none is hot.
+    known = lookup_join(items, steps, STEP, None, item_keys, null_safe=True)
     rows = lookup_join(
         purchases,
         known.drop("n_purchases", "n_rows"),

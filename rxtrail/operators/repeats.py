@@ -109,17 +109,20 @@ def with_repeats(
     """Purchases of the output months with their repeats, taken over all input months."""
     since = months_before(config.today(), config.output_months)
     rows = survivors.where(F.col("transaction_datetime") >= since)
+    shared_rows = rows.where(F.col("several_dates"))
+    single_rows = rows.where(~F.col("several_dates"))
     single = lookup_join(
-        rows.where(~F.col("several_dates")),
+        single_rows,
         repeat_dates(survivors, config),
         [*THERAPY, "event_date"],
         hot_patients,
         SPREAD,
     ).withColumn("purchases", F.coalesce(F.col("purchases"), F.lit(0)))
-    shared = repeats_of_shared_ids(
-        survivors, rows.where(F.col("several_dates")), hot_patients, config
+    if shared_rows.isEmpty():
+        return single
+    return single.unionByName(
+        repeats_of_shared_ids(survivors, shared_rows, hot_patients, config)
     )
-    return single.unionByName(shared)
 
 
 def is_chronic(config: ChronicConfig):

@@ -49,10 +49,10 @@ def find_hot_keys(
     total = rows.agg(size).scalar()
     threshold = F.greatest(F.lit(limits.hot_rows), total / limits.max_hot_keys)
     slots = F.ceil(F.col("n_rows") / limits.hot_rows).cast("int").alias("n_slots")
-    frame = staging.write(
-        counts.where(F.col("n_rows") >= threshold).select(*keys, slots), "hot_keys"
-    )
-    return None if frame.isEmpty() else HotKeys(tuple(keys), frame)
+    hot = counts.where(F.col("n_rows") >= threshold).select(*keys, slots)
+    if hot.isEmpty():
+        return None
+    return HotKeys(tuple(keys), staging.write(hot, "hot_keys"))
 
 
 def equi_join(

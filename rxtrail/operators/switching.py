@@ -33,37 +33,55 @@ def purchase_items(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy(*ITEM).agg(F.count(F.lit(1)).alias("n_purchases"))
 
 
-def visits(items: DataFrame, hot_patients: HotKeys | None) -> DataFrame:
-    """One row per patient, practice and time: its products, and the visit before it."""
+def other_names(names: Column, product: Column, config: SwitchConfig) -> Column:
+    """Names of a visit that are another product, injectables aside."""
+    own = base_product(product, config.injectable_suffix)
+    return F.filter(names, lambda name: base_product(name, config.injectable_suffix) != own)
+
+
+def visits(items: DataFrame, hot_patients: HotKeys | None, config: SwitchConfig) -> DataFrame:
+    """One row per patient, practice and time: its products, and those of the visit before.
+
+    Each product comes with ``together``, the list of the others of its visit.
+    """
     product = F.struct("product_name", "drug", "is_brand_name")
     grouped = (
         items.dropna(subset=list(VISIT))
         .groupBy(*VISIT)
         .agg(F.collect_set(product).alias("products"))
-        .withColumn("visit", F.struct("transaction_datetime", "products"))
+        .withColumn(
+            "names", F.array_distinct(F.transform("products", lambda item: item.product_name))
+        )
+    )
+
+    def with_list(item: Column) -> Column:
+        together = listing(other_names(F.col("names"), item.product_name, config))
+        return item.withField("together", together)
+
+    described = grouped.select(
+        *VISIT,
+        F.struct(
+            F.col("transaction_datetime").alias("time"),
+            F.transform("products", with_list).alias("products"),
+        ).alias("visit"),
     )
     keys, time = ["practice_odu_id", "patient_odu_id"], ["transaction_datetime"]
     return per_key(
-        grouped,
+        described,
         hot_patients,
         lambda rows, by_day: previous_value(rows, keys, time, "visit", "previous", by_day),
     ).select(
         *VISIT,
-        F.transform("products", lambda item: item.product_name).alias("names"),
-        F.col("previous.transaction_datetime").alias("previous_purchase_date"),
+        F.col("visit.products").alias("products"),
+        F.col("previous.time").alias("previous_purchase_date"),
         F.col("previous.products").alias("previous_products"),
     )
 
 
-def other_names(names: Column, product: Column, config: SwitchConfig) -> Column:
-    """Distinct names of a visit that are another product, injectables aside."""
-    own = base_product(product, config.injectable_suffix)
-    different = F.filter(names, lambda n: base_product(n, config.injectable_suffix) != own)
-    return F.coalesce(F.array_distinct(different), F.array().cast("array<string>"))
-
-
-def same_day_products(config: SwitchConfig) -> Column:
-    return listing(other_names(F.col("names"), F.col("product_name"), config))
+def same_day_products() -> Column:
+    """The list of the products bought with this one; '' where there are none."""
+    own = F.filter("products", lambda item: item.product_name == F.col("product_name"))
+    return F.coalesce(F.get(own, F.lit(0)).together, F.lit(""))
 
 
 def switched_from(config: SwitchConfig) -> Column:
@@ -72,21 +90,19 @@ def switched_from(config: SwitchConfig) -> Column:
     They are another product, and neither was bought together with the other.
     """
     product, suffix = F.col("product_name"), config.injectable_suffix
-    own_list = same_day_products(config)
-    previous_names = F.transform("previous_products", lambda item: item.product_name)
+    base = base_product(product, suffix)
 
     def replaced(item: Column) -> Column:
-        its_list = listing(other_names(previous_names, item.product_name, config))
         return (
-            (base_product(item.product_name, suffix) != base_product(product, suffix))
-            & ~mentions(own_list, item.product_name)
-            & ~mentions(its_list, product)
+            (base_product(item.product_name, suffix) != base)
+            & ~mentions(F.col("same_day_products"), item.product_name)
+            & ~mentions(item.together, product)
         )
 
     return F.filter("previous_products", replaced)
 
 
-def switches(config: SwitchConfig) -> Column:
+def switches() -> Column:
     """One entry per previous drug, or a single one without; flags are never NULL."""
     drug = F.col("drug")
 
@@ -112,8 +128,8 @@ def switched_items(items: DataFrame, seen: DataFrame, config: SwitchConfig) -> D
     # A visit has no more items than there are products, so no key here is hot.
     joined = lookup_join(items, seen, VISIT, None, spread=ITEM)
     return (
-        joined.withColumn("replaced", switched_from(config))
-        .withColumn("same_day_products", same_day_products(config))
-        .withColumn("switches", switches(config))
-        .drop("names", "previous_products", "replaced")
+        joined.withColumn("same_day_products", same_day_products())
+        .withColumn("replaced", switched_from(config))
+        .withColumn("switches", switches())
+        .drop("products", "previous_products", "replaced")
     )

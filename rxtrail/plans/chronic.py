@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
 from rxtrail.operators import calendar, invalidation, repeats, therapy, universe
-from rxtrail.operators.skew import HotKeys, find_hot_keys
+from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join
 from rxtrail.sources.relations import ChronicInputs
 from rxtrail.sources.staging import Staging
 
@@ -40,8 +40,13 @@ class ChronicModel:
         return universe.tagged_lines(lines, self.config)
 
     def _of_dogs_and_cats(self, lines: DataFrame) -> DataFrame:
-        return lines.join(
-            universe.dogs_and_cats(self.inputs.patients), list(universe.PATIENT)
+        return lookup_join(
+            lines,
+            universe.dogs_and_cats(self.inputs.patients),
+            universe.PATIENT,
+            find_hot_keys(lines, universe.PATIENT, self.config.skew, self.staging),
+            spread=["transaction_odu_id", "transaction_datetime"],
+            how="inner",
         )
 
     def pain_universe(self) -> DataFrame:
@@ -56,9 +61,7 @@ class ChronicModel:
         return self.staging.write(universe.tagged_lines(lines, self.config), "tagged")
 
     def tagged_events(self) -> DataFrame:
-        lines = universe.relevant_lines(self.inputs, self.config, self.staging)
-        tagged = universe.tagged_lines(lines, self.config).distinct()
-        return self._of_dogs_and_cats(tagged).distinct()
+        return self._of_dogs_and_cats(self.tagged).distinct()
 
     # --- invalidation ----------------------------------------------------------------
 
@@ -124,8 +127,8 @@ class ChronicModel:
         return self.judged.where(F.col("rule").isNotNull()).select(*PURCHASE, "tag", "rule").distinct()
 
     def age_at_event(self) -> DataFrame:
-        """Age at every purchase that a rule speaks about."""
-        return self.judged.select(
+        """Age at every pain purchase."""
+        return self.judged.where(F.col("rule").isNotNull()).select(
             *PURCHASE, "transaction_datetime", "birth_date", "patient_age"
         ).distinct()
 

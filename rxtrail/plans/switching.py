@@ -46,7 +46,7 @@ class SwitchModel:
 
     @cached_property
     def switched(self) -> DataFrame:
-        seen = switching.visits(self.items, self.hot_patients)
+        seen = switching.visits(self.items, self.hot_patients, self.config)
         items = switching.switched_items(self.items, seen, self.config)
         return self.staging.write(items, "switched")
 
@@ -103,7 +103,6 @@ class SwitchModel:
             self.purchases,
             self.switched.drop("same_day_products", "previous_purchase_date"),
             steps,
-            None,
             self.hot_items,
             switching.ITEM,
         )
@@ -125,6 +124,6 @@ class SwitchModel:
         rows = rows.withColumn("previous_purchases", F.when(switched, F.col("previous_purchases")))
         if not ordered:
             return rows
-        return rows.orderBy(
-            *[F.col(c).asc_nulls_first() for c in ("patient_odu_id", "transaction_datetime")]
-        )
+        # The columns after the first two only let the sort split a busy visit.
+        order = ["patient_odu_id", "transaction_datetime", "product_name", "revenue"]
+        return rows.orderBy(*[F.col(column).asc_nulls_first() for column in order])

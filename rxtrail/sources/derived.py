@@ -83,7 +83,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
     def level(position: int) -> Column:
         ids = [by_slot.get(slot, NO_CATEGORY)[position] for slot in range(80)]
-        return _pick(F.col("l_partkey") % 80, ids)
+        return F.expr(f"element_at(array({', '.join(map(str, ids))}), int(l_partkey % 80) + 1)")
 
     line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     frame = _lines(spark, folder).select(
