@@ -59,8 +59,18 @@ PRODUCTS: list[tuple[str, str | None, bool]] = [
 CATEGORIES = ["NSAIDs"] * 4 + ["Opiate"] * 2 + ["Supplements"] * 2 + ["Pain Diet"] * 2
 
 
+# Columns read from the test tables; stating them saves a look into every file.
+TABLES = {
+    "customer": "c_custkey BIGINT",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_shipdate TIMESTAMP_NTZ""",
+    "part": "p_partkey BIGINT",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(key: Column, choices: list) -> Column:
@@ -90,10 +100,10 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("pid") % 3).alias("server_odu_id"),
         (100 + F.col("pid") % 25).alias("practice_odu_id"),
         F.col("pid").alias("patient_odu_id"),
-        (F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int")))
-        .cast("timestamp_ntz")
-        .alias("transaction_datetime"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("odu_updated_at_utc"),
+        (
+            F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
+        ).alias("transaction_datetime"),
+        F.col("l_shipdate").alias("odu_updated_at_utc"),
         F.col("l_orderkey").alias("invoice_odu_id"),
         ((line * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")).alias(
             "transaction_odu_id"
@@ -197,7 +207,7 @@ def pain_purchases(spark: SparkSession, folder: str) -> DataFrame:
         _pick(product, list(names)).alias("product_name"),
         _pick(product, list(drugs)).alias("drug"),
         _pick(product, list(brands)).alias("is_brand_name"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("transaction_datetime"),
+        F.col("o_orderdate").alias("transaction_datetime"),
         F.col("l_extendedprice").alias("revenue"),
     )
     return conform(frame, "syndicated_pain_all_pain_purchases")
