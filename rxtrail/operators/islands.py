@@ -7,89 +7,84 @@ can start an island, so islands are numbered on those groups ("steps") with row
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rxtrail.operators.skew import HotKeys, lookup_join, per_key
-from rxtrail.operators.timeline import previous_value, running_total
+from rxtrail.operators.skew import HotKeys, lookup_join
+from rxtrail.operators.switching import ITEM
+from rxtrail.operators.timeline import previous_value, running_max, running_total
+from rxtrail.sources.staging import Staging
 
 STEP = ("patient_odu_id", "transaction_datetime", "practice_odu_id", "species", "product_name")
 ISLAND = ("patient_odu_id", "island_id")
+TIMES = ("previous_purchase", "last_purchase_of_product")
+
+
+def n_rows() -> Column:
+    """Rows of an item in the report: distinct purchases times previous drugs."""
+    return F.col("n_purchases") * F.size("switches")
 
 
 def purchase_steps(items: DataFrame) -> DataFrame:
-    """Steps with their number of rows: distinct purchases times previous drugs."""
-    rows = F.col("n_purchases") * F.size("switches")
-    return items.groupBy(*STEP).agg(F.sum(rows).alias("n_rows"))
-
-
-def number_islands(steps: DataFrame, hot_patients: HotKeys | None) -> DataFrame:
-    """Steps with the previous purchase times of the patient and product, and their island."""
-    history = ["patient_odu_id", "species"]
-    starts = (
-        F.col("previous_purchase").isNull()
-        | F.col("last_purchase_of_product").isNull()
-        | (F.col("last_purchase_of_product") != F.col("previous_purchase"))
+    """Steps with their number of rows and their items, which differ in drug or brand only."""
+    inside = F.struct(*[name for name in items.columns if name not in STEP])
+    return items.groupBy(*STEP).agg(
+        F.sum(n_rows()).alias("n_rows"), F.collect_list(inside).alias("items")
     )
 
-    def numbered(rows: DataFrame, by_day: bool) -> DataFrame:
-        time = "transaction_datetime"
-        if not by_day:
-            rows = rows.repartition("patient_odu_id")  # serves all three windows
-        rows = previous_value(
-            rows,
-            history,
-            [time, "practice_odu_id", "product_name"],
-            time,
-            "previous_purchase",
-            by_day,
-        )
-        rows = previous_value(
-            rows,
-            [*history, "product_name"],
-            [time, "practice_odu_id"],
-            time,
-            "last_purchase_of_product",
-            by_day,
-        )
-        rows = rows.withColumn("starts", F.when(starts, 1).otherwise(0))
-        order = [time, "practice_odu_id", "species", "product_name"]
-        return running_total(
-            rows, ["patient_odu_id"], order, "starts", "island_id", by_day
-        ).drop("starts")
-
-    return per_key(steps, hot_patients, numbered)
-
-
-def island_lengths(numbered: DataFrame) -> DataFrame:
-    return numbered.groupBy(*ISLAND).agg(F.sum("n_rows").alias("previous_purchases"))
-
-
-def with_previous_length(numbered: DataFrame, hot_islands: HotKeys | None) -> DataFrame:
-    """Steps with the length of the island before theirs."""
-    left_behind = island_lengths(numbered).withColumn("island_id", F.col("island_id") + 1)
-    return lookup_join(numbered, left_behind, ISLAND, hot_islands, STEP, null_safe=True)
-
-
-def switch_report(
-    purchases: DataFrame,
-    items: DataFrame,
-    steps: DataFrame,
-    hot_items: HotKeys | None,
-    item_keys: tuple[str, ...],
-) -> DataFrame:
-    """Distinct purchases, one row per previous drug, with what is known of their step."""
-    # A step has no more items than its product has drugs and brands: none is hot.
-    known = lookup_join(items, steps, STEP, None, item_keys, null_safe=True)
-    rows = lookup_join(
-        purchases,
-        known.drop("n_purchases", "n_rows"),
-        item_keys,
-        hot_items,
-        spread=purchases.columns,
-        null_safe=True,
+
+def number_islands(steps: DataFrame, by_day: Staging | None) -> DataFrame:
+    """Add each step's previous purchase times, island, and the length of the one before."""
+    time, patient = "transaction_datetime", ["patient_odu_id"]
+    of_species = [*patient, "species"]
+    rows = previous_value(
+        steps,
+        of_species,
+        [time, "practice_odu_id", "product_name"],
+        time,
+        "previous_purchase",
+        by_day,
     )
-    return rows.select("*", F.inline("switches")).drop("switches")
+    rows = previous_value(
+        rows,
+        [*of_species, "product_name"],
+        [time, "practice_odu_id"],
+        time,
+        "last_purchase_of_product",
+        by_day,
+    )
+    goes_on = F.col("last_purchase_of_product") == F.col("previous_purchase")
+    rows = rows.withColumn("starts", F.when(goes_on, 0).otherwise(1))
+
+    order = [time, "practice_odu_id", "species", "product_name"]
+    rows = running_total(rows, patient, order, "starts", "island_id", by_day)
+    rows = running_total(rows, patient, order, "n_rows", "so_far", by_day)
+    starts_after = F.when(F.col("starts") == 1, F.col("so_far") - F.col("n_rows"))
+    rows = rows.withColumn("starts_after", starts_after)
+    rows = running_max(
+        rows, patient, order, "starts_after", "one_before", by_day, including_this=False
+    )
+    # Starts only grow, so the greatest is the latest.
+    length = (F.col("starts_after") - F.col("one_before")).alias("length")
+    left = F.when(F.col("starts") == 1, F.struct("starts_after", length))
+    rows = running_max(rows.withColumn("left", left), patient, order, "left", "latest", by_day)
+    return rows.withColumn("previous_purchases", F.col("latest.length")).drop(
+        "starts", "so_far", "starts_after", "one_before", "left", "latest"
+    )
+
+
+def items_on_islands(items: DataFrame, by_day: Staging | None) -> DataFrame:
+    steps = number_islands(purchase_steps(items), by_day)
+    return steps.drop("n_rows").select("*", F.inline("items")).drop("items")
+
+
+def island_lengths(items: DataFrame) -> DataFrame:
+    return items.groupBy(*ISLAND).agg(F.sum(n_rows()).alias("previous_purchases"))
+
+
+def rows_of_items(purchases: DataFrame, items: DataFrame, hot_items: HotKeys | None) -> DataFrame:
+    """Distinct purchases with what is known of their item."""
+    return lookup_join(purchases, items, ITEM, hot_items, purchases.columns, null_safe=True)
 
 
 def previous_times_of_rows(rows: DataFrame, hot_steps: HotKeys | None) -> DataFrame:
@@ -104,6 +99,3 @@ def previous_times_of_rows(rows: DataFrame, hot_steps: HotKeys | None) -> DataFr
         own = F.col("transaction_datetime")
         marked = marked.withColumn(time, F.when(is_first, F.col(time)).otherwise(own))
     return marked.drop("first_place")
-
-
-TIMES = ("previous_purchase", "last_purchase_of_product")

@@ -1,19 +1,22 @@
 """Product and brand switches: each visit compared with the patient's previous one.
 
-Purchases are reduced to items (one per visit and product) and visits (one per patient and
-time). A visit holds the set of products bought, which is no longer than the product list,
-so same-visit and previous-visit comparisons are made on small arrays, without self-joins.
+Purchases are reduced to items (one per visit and product) and visits (one per patient,
+practice and time). A visit holds its items, which are no more than there are products, so
+same-visit and previous-visit comparisons are made on small arrays, without self-joins.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxtrail.config import SwitchConfig
 from rxtrail.functions.text import base_product, listing, mentions
-from rxtrail.operators.skew import HotKeys, lookup_join, per_key
 from rxtrail.operators.timeline import previous_value
+from rxtrail.sources.staging import Staging
 
 VISIT = ("practice_odu_id", "patient_odu_id", "transaction_datetime")
 ITEM = (*VISIT, "species", "product_name", "drug", "is_brand_name")
@@ -39,53 +42,40 @@ def other_names(names: Column, product: Column, config: SwitchConfig) -> Column:
     return F.filter(names, lambda name: base_product(name, config.injectable_suffix) != own)
 
 
-def visits(items: DataFrame, hot_patients: HotKeys | None, config: SwitchConfig) -> DataFrame:
-    """One row per patient, practice and time: its products, and those of the visit before.
+def visits(items: DataFrame, by_day: Staging | None, config: SwitchConfig) -> DataFrame:
+    """One row per visit: its items, and the time and items of the visit before.
 
-    Each product comes with ``together``, the list of the others of its visit.
+    Each item comes with ``same_day_products``, the list of the other products. A visit
+    without practice, patient or time equals no other row and so has neither.
     """
-    product = F.struct("product_name", "drug", "is_brand_name")
-    grouped = (
-        items.dropna(subset=list(VISIT))
-        .groupBy(*VISIT)
-        .agg(F.collect_set(product).alias("products"))
-        .withColumn(
-            "names", F.array_distinct(F.transform("products", lambda item: item.product_name))
-        )
-    )
+    item = F.struct(*[name for name in (*ITEM, "n_purchases") if name not in VISIT])
+    is_known = reduce(and_, [F.col(key).isNotNull() for key in VISIT])
+    names = F.array_distinct(F.transform("items", lambda item: item.product_name))
 
     def with_list(item: Column) -> Column:
-        together = listing(other_names(F.col("names"), item.product_name, config))
-        return item.withField("together", together)
-
-    described = grouped.select(
-        *VISIT,
-        F.struct(
-            F.col("transaction_datetime").alias("time"),
-            F.transform("products", with_list).alias("products"),
-        ).alias("visit"),
+        others = listing(other_names(F.col("names"), item.product_name, config))
+        return item.withField("same_day_products", F.when(is_known, others).otherwise(""))
+
+    described = (
+        items.groupBy(*VISIT)
+        .agg(F.collect_list(item).alias("items"))
+        .withColumn("names", names)
+        .select(*VISIT, F.transform("items", with_list).alias("items"))
+        .withColumn("visit", F.struct(F.col("transaction_datetime").alias("time"), "items"))
     )
     keys, time = ["practice_odu_id", "patient_odu_id"], ["transaction_datetime"]
-    return per_key(
-        described,
-        hot_patients,
-        lambda rows, by_day: previous_value(rows, keys, time, "visit", "previous", by_day),
-    ).select(
+    compared = previous_value(described, keys, time, "visit", "previous", by_day)
+    has_previous = is_known & F.col("previous.time").isNotNull()
+    return compared.select(
         *VISIT,
-        F.col("visit.products").alias("products"),
-        F.col("previous.time").alias("previous_purchase_date"),
-        F.col("previous.products").alias("previous_products"),
+        "items",
+        F.when(has_previous, F.col("previous.time")).alias("previous_purchase_date"),
+        F.when(has_previous, F.col("previous.items")).alias("previous_items"),
     )
 
 
-def same_day_products() -> Column:
-    """The list of the products bought with this one; '' where there are none."""
-    own = F.filter("products", lambda item: item.product_name == F.col("product_name"))
-    return F.coalesce(F.get(own, F.lit(0)).together, F.lit(""))
-
-
 def switched_from(config: SwitchConfig) -> Column:
-    """Products of the previous visit that this one may have replaced.
+    """Items of the previous visit that this one may have replaced.
 
     They are another product, and neither was bought together with the other.
     """
@@ -96,10 +86,10 @@ def switched_from(config: SwitchConfig) -> Column:
         return (
             (base_product(item.product_name, suffix) != base)
             & ~mentions(F.col("same_day_products"), item.product_name)
-            & ~mentions(item.together, product)
+            & ~mentions(item.same_day_products, product)
         )
 
-    return F.filter("previous_products", replaced)
+    return F.filter("previous_items", replaced)
 
 
 def switches() -> Column:
@@ -110,12 +100,11 @@ def switches() -> Column:
         def was_brand(item: Column) -> Column:
             return item.drug.eqNullSafe(previous) & item.is_brand_name
 
+        left_brand = (previous == drug) & F.exists("replaced", was_brand)
         return F.struct(
             previous.alias("previous_drug"),
             F.coalesce(previous != drug, F.lit(False)).alias("switch_yn"),
-            F.coalesce(
-                (previous == drug) & F.exists("replaced", was_brand), F.lit(False)
-            ).alias("brand_name_switch_yn"),
+            F.coalesce(left_brand, F.lit(False)).alias("brand_name_switch_yn"),
         )
 
     drugs = F.array_distinct(F.transform("replaced", lambda item: item.drug))
@@ -123,13 +112,14 @@ def switches() -> Column:
     return F.transform(F.when(found, drugs).otherwise(F.array(F.lit(None).cast("string"))), entry)
 
 
-def switched_items(items: DataFrame, seen: DataFrame, config: SwitchConfig) -> DataFrame:
-    """Items with what was bought with them, the previous time, and their switches."""
-    # A visit has no more items than there are products, so no key here is hot.
-    joined = lookup_join(items, seen, VISIT, None, spread=ITEM)
+def switched_items(
+    purchases: DataFrame, by_day: Staging | None, config: SwitchConfig
+) -> DataFrame:
+    """Items with what was bought with them, the time before, and their switches."""
+    seen = visits(purchase_items(purchases), by_day, config)
     return (
-        joined.withColumn("same_day_products", same_day_products())
+        seen.select(*VISIT, "previous_purchase_date", "previous_items", F.inline("items"))
         .withColumn("replaced", switched_from(config))
         .withColumn("switches", switches())
-        .drop("products", "previous_products", "replaced")
+        .drop("previous_items", "replaced")
     )

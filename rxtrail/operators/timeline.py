@@ -1,79 +1,118 @@
 """Look-behind over ordered histories, for histories of any length.
 
-Short histories use one window per key. For a history too long for one task, pass
-``by_day``: each day is handled on its own, and a second window over one row per day
-(at most as many as the calendar has) carries the state from day to day.
+Short histories use one window per key. For a history too long for one task, give
+``by_day`` a staging area: each day is handled on its own, and a second window over one
+row per day (at most as many as the calendar has) carries the state from day to day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxtrail.operators.skew import equi_join
+from rxtrail.sources.staging import Staging
 
 
-def _ordering(columns: Sequence[str]):
+def _ordering(columns: Sequence[str]) -> list[Column]:
     return [F.col(column).asc_nulls_first() for column in columns]
 
 
+def _with_day(rows: DataFrame, time: str, staging: Staging) -> DataFrame:
+    # Read twice, by the days and by the rows.
+    return staging.write(rows.withColumn("_day", F.to_date(time)), "by_day")
+
+
 def previous_value(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     name: str,
-    by_day: bool = False,
+    by_day: Staging | None = None,
 ) -> DataFrame:
     """Add ``value`` of the row just before, per key; ``order`` starts with a timestamp."""
-    if not by_day:
+    if by_day is None:
         history = Window.partitionBy(*keys).orderBy(*_ordering(order))
         return rows.withColumn(name, F.lag(value).over(history))
-    rows = rows.withColumn("_day", F.to_date(order[0]))
+    rows = _with_day(rows, order[0], by_day)
     day = [*keys, "_day"]
     last = rows.groupBy(*day).agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    carried = last.withColumn(
-        "_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))
-    ).drop("_last")
+    earlier = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))
+    carried = last.withColumn("_carried", earlier).drop("_last")
     in_day = Window.partitionBy(*day).orderBy(*_ordering(order))
-    marked = rows.withColumn("_rank", F.row_number().over(in_day)).withColumn(
+    marked = rows.withColumn("_place", F.row_number().over(in_day)).withColumn(
         name, F.lag(value).over(in_day)
     )
+    is_first = F.col("_place") == 1
     return (
         equi_join(marked, carried, day, "left", null_safe=True)
-        .withColumn(name, F.when(F.col("_rank") == 1, F.col("_carried")).otherwise(F.col(name)))
-        .drop("_rank", "_carried", "_day")
+        .withColumn(name, F.when(is_first, F.col("_carried")).otherwise(F.col(name)))
+        .drop("_place", "_carried", "_day")
     )
 
 
-def running_total(
+def _running(
     rows: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     name: str,
-    by_day: bool = False,
+    by_day: Staging | None,
+    last: int,
+    combine: Callable[[str], Column],
+    merge: Callable[[Column, Column], Column],
 ) -> DataFrame:
-    """Add the sum of ``value`` over this row and all rows before it, per key."""
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    if not by_day:
-        history = Window.partitionBy(*keys).orderBy(*_ordering(order)).rowsBetween(*so_far)
-        return rows.withColumn(name, F.sum(value).over(history))
-    rows = rows.withColumn("_day", F.to_date(order[0]))
+    frame = (Window.unboundedPreceding, last)
+    if by_day is None:
+        history = Window.partitionBy(*keys).orderBy(*_ordering(order)).rowsBetween(*frame)
+        return rows.withColumn(name, combine(value).over(history))
+    rows = _with_day(rows, order[0], by_day)
     day = [*keys, "_day"]
-    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days_before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(frame[0], -1)
     carried = (
         rows.groupBy(*day)
-        .agg(F.sum(value).alias("_total"))
-        .withColumn("_carried", F.sum("_total").over(before))
-        .drop("_total")
+        .agg(combine(value).alias("_of_day"))
+        .withColumn("_carried", combine("_of_day").over(days_before))
+        .drop("_of_day")
     )
-    in_day = Window.partitionBy(*day).orderBy(*_ordering(order)).rowsBetween(*so_far)
-    summed = rows.withColumn(name, F.sum(value).over(in_day))
+    in_day = Window.partitionBy(*day).orderBy(*_ordering(order)).rowsBetween(*frame)
     return (
-        equi_join(summed, carried, day, "left", null_safe=True)
-        .withColumn(name, F.col(name) + F.coalesce(F.col("_carried"), F.lit(0)))
+        equi_join(
+            rows.withColumn(name, combine(value).over(in_day)), carried, day, "left", null_safe=True
+        )
+        .withColumn(name, merge(F.col(name), F.col("_carried")))
         .drop("_carried", "_day")
     )
+
+
+def running_total(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    by_day: Staging | None = None,
+) -> DataFrame:
+    """Add the sum of ``value`` over all rows up to this one, per key."""
+
+    def merge(in_day: Column, carried: Column) -> Column:
+        return in_day + F.coalesce(carried, F.lit(0))
+
+    return _running(rows, keys, order, value, name, by_day, 0, F.sum, merge)
+
+
+def running_max(
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    by_day: Staging | None = None,
+    including_this: bool = True,
+) -> DataFrame:
+    """Add the greatest ``value`` of all rows before this one, and of this one if wanted."""
+    last = 0 if including_this else -1
+    return _running(rows, keys, order, value, name, by_day, last, F.max, F.greatest)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.config import SwitchConfig
 from rxtrail.operators import islands, switching
-from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join
+from rxtrail.operators.skew import HotKeys, find_hot_keys, per_key
 from rxtrail.sources.relations import RELATIONS
 from rxtrail.sources.staging import Staging
 
@@ -33,93 +34,74 @@ class SwitchModel:
         """The cohort without copies."""
         return self.staging.write(self.chronic_nsaid_cohort().distinct(), "purchases")
 
-    @cached_property
-    def items(self) -> DataFrame:
-        return self.staging.write(switching.purchase_items(self.purchases), "items")
-
     @cached_property
     def hot_patients(self) -> HotKeys | None:
-        return self._hot(self.items, PATIENT, weight="n_purchases")
+        return find_hot_keys(self.purchases, PATIENT, self.config.skew, self.staging)
 
-    def _hot(self, rows, keys, weight=None) -> HotKeys | None:
-        return find_hot_keys(rows, keys, self.config.skew, self.staging, weight)
+    def hot(self, keys: Sequence[str]) -> HotKeys | None:
+        """Hot keys that include the patient; only hot patients can have any."""
+        return self.hot_patients and find_hot_keys(
+            self.hot_patients.within(self.purchases), keys, self.config.skew, self.staging
+        )
 
-    @cached_property
-    def switched(self) -> DataFrame:
-        seen = switching.visits(self.items, self.hot_patients, self.config)
-        items = switching.switched_items(self.items, seen, self.config)
-        return self.staging.write(items, "switched")
+    def _switched(self, purchases: DataFrame, by_day: Staging | None) -> DataFrame:
+        return switching.switched_items(purchases, by_day, self.config)
 
-    # Below, a key can only have many rows where its patient has.
+    def _on_islands(self, purchases: DataFrame, by_day: Staging | None) -> DataFrame:
+        items = self._switched(purchases, by_day).drop("same_day_products")
+        if by_day is not None:
+            items = by_day.write(items, "switched")
+        return islands.items_on_islands(items, by_day)
 
-    @cached_property
-    def hot_items(self) -> HotKeys | None:
-        return self.hot_patients and self._hot(
-            self.hot_patients.within(self.items), switching.ITEM, "n_purchases"
-        )
+    def _per_patient(self, work) -> DataFrame:
+        """Work on the purchases' items; one shuffle by patient serves all that ``work`` does.
 
-    @cached_property
-    def hot_steps(self) -> HotKeys | None:
-        return self.hot_patients and self._hot(
-            self.hot_patients.within(self.items), islands.STEP, "n_purchases"
-        )
+        Only patients too long for a task go day by day, with shuffles of their own.
+        """
 
-    @cached_property
-    def hot_islands(self) -> HotKeys | None:
-        return self.hot_patients and self._hot(
-            self.hot_patients.within(self.steps), islands.ISLAND
-        )
+        def prepared(rows: DataFrame, is_hot: bool) -> DataFrame:
+            if is_hot:
+                return work(rows, self.staging)
+            return work(rows.repartition(*PATIENT), None)
 
-    @cached_property
-    def steps(self) -> DataFrame:
-        numbered = islands.number_islands(
-            islands.purchase_steps(self.switched), self.hot_patients
-        )
-        return self.staging.write(numbered, "steps")
-
-    def _with_items(self, *names: str) -> DataFrame:
-        known = self.switched.select(*switching.ITEM, *names)
-        rows = lookup_join(
-            self.purchases,
-            known,
-            switching.ITEM,
-            self.hot_items,
-            spread=COLUMNS,
-            null_safe=True,
-        )
-        return rows.select(*COLUMNS, *names)
+        return per_key(self.purchases.select(*switching.ITEM), self.hot_patients, prepared)
+
+    def _rows(self, items: DataFrame, *names: str) -> DataFrame:
+        items = items.select(*switching.ITEM, *names)
+        return islands.rows_of_items(self.purchases, items, self.hot(switching.ITEM))
 
     def same_day_combos(self) -> DataFrame:
-        return self._with_items("same_day_products")
+        items = self._per_patient(self._switched)
+        return self._rows(items, "same_day_products").select(*COLUMNS, "same_day_products")
 
     def previous_purchase_date(self) -> DataFrame:
-        return self._with_items("previous_purchase_date")
+        items = self._per_patient(self._switched)
+        return self._rows(items, "previous_purchase_date").select(
+            *COLUMNS, "previous_purchase_date"
+        )
 
     def switch_pairs(self) -> DataFrame:
-        return self._with_items("switches").select(*COLUMNS, F.inline("switches"))
-
-    def _rows_of_steps(self, steps: DataFrame, *names: str) -> DataFrame:
-        rows = islands.switch_report(
-            self.purchases,
-            self.switched.drop("same_day_products", "previous_purchase_date"),
-            steps,
-            self.hot_items,
-            switching.ITEM,
-        )
-        flags = ["previous_drug", "switch_yn", "brand_name_switch_yn"]
-        return rows.select(*COLUMNS, *flags, *names)
+        items = self._per_patient(self._switched)
+        return self._rows(items, "switches").select(*COLUMNS, F.inline("switches"))
 
     def product_islands(self) -> DataFrame:
-        rows = self._rows_of_steps(self.steps, *islands.TIMES, "island_id")
-        return islands.previous_times_of_rows(rows, self.hot_steps)
+        known = [*islands.TIMES, "island_id"]
+        items = self._per_patient(self._on_islands)
+        rows = self._rows(items, "switches", *known).select(
+            *COLUMNS, F.inline("switches"), *known
+        )
+        rows = self.staging.write(rows, "rows_on_islands")
+        return islands.previous_times_of_rows(rows, self.hot(islands.STEP))
 
     def island_lengths(self) -> DataFrame:
-        return islands.island_lengths(self.steps)
+        return islands.island_lengths(self._per_patient(self._on_islands))
 
     def nsaid_switching(self, ordered: bool = True) -> DataFrame:
         """Every purchase with its flags, and how often the product left was bought."""
-        steps = islands.with_previous_length(self.steps, self.hot_islands)
-        rows = self._rows_of_steps(steps.drop(*islands.TIMES, "island_id"), "previous_purchases")
+        items = self._per_patient(self._on_islands)
+        rows = self._rows(items, "switches", "previous_purchases").select(
+            *COLUMNS, F.inline("switches"), "previous_purchases"
+        )
         switched = F.col("switch_yn") | F.col("brand_name_switch_yn")
         rows = rows.withColumn("previous_purchases", F.when(switched, F.col("previous_purchases")))
         if not ordered:

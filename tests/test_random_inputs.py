@@ -6,7 +6,9 @@ from checks import chronic_sql, switching_sql
 from checks.compare import rows_of_spark, rows_of_sql
 from rxtrail.config import ChronicConfig, SkewLimits, SwitchConfig
 from rxtrail.operators.invalidation import INVOICE, PURCHASE
+from rxtrail.operators.islands import STEP
 from rxtrail.operators.skew import find_hot_keys
+from rxtrail.operators.switching import ITEM
 from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.staging import Staging
@@ -75,6 +77,5 @@ def test_switching(spark, seed, skew):
     for stage in SWITCHING:
         check(getattr(model, stage)(), connection, switching_sql.over_tables(stage))
     if skew is TINY:
-        assert model.hot_items
-        assert model.hot_steps
-        assert model.hot_islands
+        assert model.hot(ITEM)
+        assert model.hot(STEP)
