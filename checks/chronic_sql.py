@@ -207,18 +207,18 @@ def over_tables(query: str) -> str:
 
 QUERIES: dict[str, str] = {
     "pain_universe": _over_model(
-        """SELECT server_odu_id, practice_odu_id, patient_odu_id, species, transaction_datetime,
-          transaction_odu_id, catalog_tag_odu_id, leaf AS revenue_category_odu_id,
+        """SELECT DISTINCT server_odu_id, practice_odu_id, patient_odu_id, species,
+          transaction_datetime, transaction_odu_id, catalog_tag_odu_id, leaf AS revenue_category_odu_id,
           l3 AS level_3_revenue_category_id, l2 AS level_2_revenue_category_id,
           top AS top_revenue_category_id FROM universe"""
     ),
-    "practice_whitelist": f"""WITH {CHRONIC_INPUTS}
-        SELECT server_odu_id, practice_odu_id, patient_odu_id, transaction_odu_id
+    "practice_whitelist": f"""WITH {CHRONIC_INPUTS},{TAG_CLASS}
+        SELECT DISTINCT server_odu_id, practice_odu_id, patient_odu_id, transaction_odu_id
         FROM transactions
         JOIN practice_info USING (server_odu_id, practice_odu_id)
         WHERE timeframe = 'Current Year' AND patient_type = 'Non Home Delivery'""",
-    "tag_assignment": f"""WITH {CHRONIC_INPUTS}
-        SELECT server_odu_id, patient_odu_id, transaction_odu_id, {_TAG} AS tag,
+    "tag_assignment": f"""WITH {CHRONIC_INPUTS},{TAG_CLASS}
+        SELECT DISTINCT server_odu_id, patient_odu_id, transaction_odu_id, {_TAG} AS tag,
           {_STAMP} AS odu_updated_at_utc
         FROM transactions x {_TAG_JOIN}""",
     "tagged_events": _over_model("SELECT * FROM tagged"),

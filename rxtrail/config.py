@@ -54,7 +54,7 @@ class SkewLimits:
     over one slot per ``hot_rows`` rows.
     """
 
-    hot_rows: int = 1_000_000
+    hot_rows: int = 250_000
     max_hot_keys: int = 1_000_000
     broadcast_rows: int = 500_000
 

@@ -51,69 +51,79 @@ def event_date() -> Column:
     return F.to_date("transaction_datetime")
 
 
-def validator_steps(tagged: DataFrame, config: ChronicConfig) -> DataFrame:
-    """Per patient and month, the change in the number of validators within the look-back.
+def counts_from(month: Column, seen_before: Column, config: ChronicConfig) -> Column:
+    """First and last-but-one month a sighting adds to the validator count, as two changes.
 
-    A purchase seen in month m counts for the months m .. m + look-back, but only once
-    where it is seen in several months: then from where its previous sighting runs out.
-    Summing the changes up to a month gives the distinct count for that month.
+    A purchase seen in month m counts for the months m .. m + look-back, but only once where
+    it is seen in several months: then from where its previous sighting runs out. Summing
+    the changes up to a month gives the distinct count for that month.
     """
     reach = config.lookback_months + 1
+
+    def change(at: Column, step: int) -> Column:
+        return F.struct(first_of_month(at).alias("event_date"), F.lit(step).alias("step"))
+
+    return F.array(
+        change(F.greatest(month, seen_before + reach), 1),
+        change(month + reach, -1),
+    )
+
+
+def day_flags(config: ChronicConfig) -> dict[str, Column]:
+    return {flag: config.member("tag", *tags) for flag, (tags, _, _) in NEARBY.items()}
+
+
+def with_surroundings(days: DataFrame, *kept: str) -> DataFrame:
+    """Widen the flags of each day to its surroundings, and total the validator changes."""
+    history = Window.partitionBy(*PATIENT).orderBy("day")
+    around = [
+        F.coalesce(F.max(flag).over(history.rangeBetween(first, last)), F.lit(False)).alias(flag)
+        for flag, (_, first, last) in NEARBY.items()
+    ]
+    so_far = F.sum("step").over(history.rangeBetween(Window.unboundedPreceding, 0))
+    validators = F.coalesce(so_far, F.lit(0)).cast("long").alias("validators")
+    return days.withColumn("day", day_number(F.col("event_date"))).select(
+        *DAY, *kept, *around, validators
+    )
+
+
+def validator_steps(tagged: DataFrame, config: ChronicConfig) -> DataFrame:
+    """Per patient and month, the change in the number of validators within the look-back."""
     sightings = (
-        tagged.where(config.member("tag", *VALIDATORS))
+        tagged.where(config.member("tag", *VALIDATORS) & F.col("transaction_odu_id").isNotNull())
         .groupBy(*PATIENT, "transaction_odu_id")
         .agg(F.collect_set(month_index(F.col("transaction_datetime"))).alias("months"))
-        .where(F.col("transaction_odu_id").isNotNull())
         .withColumn("months", F.sort_array("months"))
     )
-    months = F.col("months")
 
-    def starts_at(month: Column, position: Column) -> Column:
-        previous_end = F.get(months, position - 1) + reach
-        return F.struct(F.greatest(month, previous_end).alias("month"), F.lit(1).alias("step"))
+    def changes(month: Column, position: Column) -> Column:
+        return counts_from(month, F.get("months", position - 1), config)
 
-    def ends_at(month: Column) -> Column:
-        return F.struct((month + reach).alias("month"), F.lit(-1).alias("step"))
-
-    changes = F.concat(F.transform(months, starts_at), F.transform(months, ends_at))
-    return sightings.select(*PATIENT, F.inline(changes)).select(
-        *PATIENT, first_of_month(F.col("month")).alias("event_date"), "step"
+    return sightings.select(
+        *PATIENT, F.inline(F.flatten(F.transform("months", changes)))
     )
 
 
-def patient_calendar(
-    tagged: DataFrame, patients: DataFrame, config: ChronicConfig
-) -> DataFrame:
+def patient_calendar(tagged: DataFrame, patients: DataFrame, config: ChronicConfig) -> DataFrame:
     """Days with lines of dogs and cats, with the flags and validator count of each day."""
     events = tagged.select(
         *PATIENT,
         event_date().alias("event_date"),
-        *[config.member("tag", *tags).alias(flag) for flag, (tags, _, _) in NEARBY.items()],
-        F.lit(1).cast("long").alias("n_lines"),
+        *[column.alias(flag) for flag, column in day_flags(config).items()],
+        F.lit(True).alias("has_lines"),
     )
     days = (
         events.unionByName(validator_steps(tagged, config), allowMissingColumns=True)
         .groupBy(*DAY)
         .agg(
             *[F.max(flag).alias(flag) for flag in NEARBY],
-            F.sum("n_lines").alias("n_lines"),
+            F.max("has_lines").alias("has_lines"),
             F.sum("step").alias("step"),
         )
-        .withColumn("day", day_number(F.col("event_date")))
     )
-    history = Window.partitionBy(*PATIENT).orderBy("day")
-    around = {
-        flag: F.coalesce(F.max(flag).over(history.rangeBetween(first, last)), F.lit(False))
-        for flag, (_, first, last) in NEARBY.items()
-    }
-    so_far = history.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        days.select(
-            *DAY,
-            "n_lines",
-            *[column.alias(flag) for flag, column in around.items()],
-            F.coalesce(F.sum("step").over(so_far), F.lit(0)).cast("long").alias("validators"),
-        )
-        .where(F.col("n_lines").isNotNull())
+        with_surroundings(days, "has_lines")
+        .where("has_lines")
+        .drop("has_lines")
         .join(dogs_and_cats(patients), list(PATIENT))
     )

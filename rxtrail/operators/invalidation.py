@@ -5,14 +5,24 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
-from rxtrail.operators.calendar import DAY, event_date
+from rxtrail.functions.dates import month_index
+from rxtrail.operators.calendar import (
+    DAY,
+    NEARBY,
+    VALIDATORS,
+    counts_from,
+    day_flags,
+    event_date,
+    patient_calendar,
+    with_surroundings,
+)
 from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join
 from rxtrail.operators.therapy import PAIN, age_at, therapy_rule
-from rxtrail.operators.universe import PATIENT
+from rxtrail.operators.universe import PATIENT, dogs_and_cats
 from rxtrail.sources.staging import Staging
 
 INVOICE = (*PATIENT, "invoice_odu_id")
@@ -75,29 +85,15 @@ def explained_nearby(config: ChronicConfig) -> Column:
     return reduce(or_, hits)
 
 
-def judged_purchases(
-    tagged: DataFrame,
-    calendar: DataFrame,
-    hot_patients: HotKeys | None,
-    config: ChronicConfig,
-    staging: Staging,
-) -> DataFrame:
-    """Every purchase a rule speaks about, with both verdicts, its rule, age and validators."""
+def is_judged(config: ChronicConfig) -> Column:
+    """Lines that are pain purchases, or that a rule can explain."""
     explainable = [name for tags, _ in INVOICE_RULES for name in tags]
-    rows = tagged.where(config.member("tag", *PAIN, *explainable)).withColumn(
-        "event_date", event_date()
-    )
-    spread = ["transaction_odu_id", "transaction_datetime"]
-    # Rows of one invoice can only be many where the rows of one patient are.
-    hot_invoices = hot_patients and find_hot_keys(
-        hot_patients.within(rows), INVOICE, config.skew, staging
-    )
-    rows = lookup_join(
-        rows, calendar.drop("n_lines"), DAY, hot_patients, spread, how="inner"
-    )
-    rows = lookup_join(rows, invoice_flags(tagged, config), INVOICE, hot_invoices, spread)
+    return config.member("tag", *PAIN, *explainable)
+
+
+def judged_columns(config: ChronicConfig) -> list[Column | str]:
     alternative = config.member("tag", "alternative_therapy")
-    return rows.select(
+    return [
         *PATIENT,
         "practice_odu_id",
         "species",
@@ -113,38 +109,100 @@ def judged_purchases(
         F.when(alternative, F.col("validators")).otherwise(0).alias("validating_purchases"),
         explained_by_invoice(config).alias("by_invoice"),
         explained_nearby(config).alias("nearby"),
-    )
+    ]
 
 
-def purchase_verdicts(judged: DataFrame) -> DataFrame:
-    """Purchases with a row that is explained, or with rows of more than one date."""
-    return (
-        judged.groupBy(*PURCHASE)
+def judged_in_place(tagged: DataFrame, patients: DataFrame, config: ChronicConfig) -> DataFrame:
+    """Judged purchases of patients that fit a task, after a single shuffle by patient.
+
+    Lines are grouped by day with the judged ones inside, the frames run over the days, and
+    the lines come out again with what happened around them.
+    """
+    lines = tagged.repartition(*PATIENT).select(
+        "*",
+        event_date().alias("event_date"),
+        month_index(F.col("transaction_datetime")).alias("month"),
+        is_judged(config).alias("is_judged"),
+        config.member("tag", *VALIDATORS).alias("is_validator"),
+    )
+    on_invoice = Window.partitionBy(*INVOICE)
+    sightings = Window.partitionBy(*PURCHASE, "is_validator").orderBy("month")
+    has_invoice = F.col("invoice_odu_id").isNotNull()
+    lines = lines.select(
+        "*",
+        *[
+            (F.max(config.member("tag", *tags)).over(on_invoice) & has_invoice).alias(flag)
+            for flag, tags in ON_INVOICE.items()
+        ],
+    ).withColumn("seen_before", F.lag("month").over(sightings))
+
+    is_sighting = (
+        F.col("is_validator")
+        & F.col("transaction_odu_id").isNotNull()
+        & ~F.col("month").eqNullSafe(F.col("seen_before"))
+    )
+    own = F.struct("event_date", F.lit(None).cast("int").alias("step"))
+    changes = counts_from(F.col("month"), F.col("seen_before"), config)
+    moments = F.when(is_sighting, F.concat(F.array(own), changes)).otherwise(F.array(own))
+    inside = F.struct(
+        *[c for c in tagged.columns if c not in PATIENT],
+        *ON_INVOICE,
+    )
+    of_line = F.col("step").isNull()
+    days = (
+        lines.withColumns(day_flags(config))
+        .withColumn("line", F.when(F.col("is_judged"), inside))
+        .select(*PATIENT, *NEARBY, "line", F.inline(moments.alias("moments")))
+        .groupBy(*DAY)
         .agg(
-            F.max(F.col("by_invoice") | F.col("nearby")).alias("is_explained"),
-            (F.min("event_date") != F.max("event_date")).alias("several_dates"),
+            *[F.max(of_line & F.col(flag)).alias(flag) for flag in NEARBY],
+            F.sum("step").alias("step"),
+            F.collect_list(F.when(of_line, F.col("line"))).alias("lines"),
         )
-        .where(F.col("is_explained") | F.col("several_dates"))
+    )
+    judged = (
+        with_surroundings(days, "lines")
+        .where(F.size("lines") > 0)
+        .join(dogs_and_cats(patients), list(PATIENT))
+        .select("*", F.inline("lines"))
+        .select(*judged_columns(config))
+    )
+    rows = Window.partitionBy(*PURCHASE)
+    has_id = F.col("transaction_odu_id").isNotNull()
+    dates = [found("event_date").over(rows) for found in (F.min, F.max)]
+    return judged.select(
+        "*",
+        (has_id & F.max(F.col("by_invoice") | F.col("nearby")).over(rows)).alias("is_explained"),
+        (has_id & (dates[0] != dates[1])).alias("several_dates"),
     )
 
 
-def surviving_purchases(
-    judged: DataFrame,
-    hot_patients: HotKeys | None,
+def judged_by_lookup(
+    tagged: DataFrame,
+    patients: DataFrame,
+    hot_patients: HotKeys,
     config: ChronicConfig,
     staging: Staging,
 ) -> DataFrame:
-    """Pain purchases without an explained row; one such row takes all rows with it."""
-    hot_purchases = hot_patients and find_hot_keys(
-        hot_patients.within(judged), PURCHASE, config.skew, staging
-    )
-    spread = ["transaction_datetime", "odu_updated_at_utc", "invoice_odu_id", "practice_odu_id"]
-    verdicts = purchase_verdicts(judged)
-    rows = lookup_join(
-        judged.where(config.member("tag", *PAIN)), verdicts, PURCHASE, hot_purchases, spread
-    )
-    return (
-        rows.where(~F.coalesce(F.col("is_explained"), F.lit(False)))
-        .withColumn("several_dates", F.coalesce(F.col("several_dates"), F.lit(False)))
-        .drop("is_explained", "by_invoice", "nearby")
+    """Judged purchases of patients of any size: lookups dealt over many tasks."""
+    tagged = staging.write(tagged.distinct(), "tagged_of_hot")
+    days = staging.write(patient_calendar(tagged, patients, config), "calendar")
+    rows = tagged.where(is_judged(config)).withColumn("event_date", event_date())
+    hot_invoices = find_hot_keys(rows, INVOICE, config.skew, staging)
+    rows = lookup_join(rows, days, DAY, hot_patients, how="inner")
+    rows = lookup_join(rows, invoice_flags(tagged, config), INVOICE, hot_invoices)
+    judged = staging.write(rows.select(*judged_columns(config)), "judged_by_lookup")
+
+    verdicts = judged.groupBy(*PURCHASE).agg(
+        F.max(F.col("by_invoice") | F.col("nearby")).alias("is_explained"),
+        (F.min("event_date") != F.max("event_date")).alias("several_dates"),
     )
+    hot_purchases = find_hot_keys(judged, PURCHASE, config.skew, staging)
+    return lookup_join(
+        judged, verdicts.where("is_explained OR several_dates"), PURCHASE, hot_purchases
+    ).fillna(False, ["is_explained", "several_dates"])
+
+
+def surviving_purchases(judged: DataFrame, config: ChronicConfig) -> DataFrame:
+    """Pain purchases without an explained row; one such row takes all rows with it."""
+    return judged.where(config.member("tag", *PAIN) & ~F.col("is_explained"))

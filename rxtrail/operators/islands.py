@@ -84,7 +84,7 @@ def island_lengths(items: DataFrame) -> DataFrame:
 
 def rows_of_items(purchases: DataFrame, items: DataFrame, hot_items: HotKeys | None) -> DataFrame:
     """Distinct purchases with what is known of their item."""
-    return lookup_join(purchases, items, ITEM, hot_items, purchases.columns, null_safe=True)
+    return lookup_join(purchases, items, ITEM, hot_items, null_safe=True)
 
 
 def previous_times_of_rows(rows: DataFrame, hot_steps: HotKeys | None) -> DataFrame:
@@ -93,7 +93,7 @@ def previous_times_of_rows(rows: DataFrame, hot_steps: HotKeys | None) -> DataFr
     rest = [c for c in rows.columns if c not in STEP and c not in first and c not in TIMES]
     place = F.struct(*first, *sorted(rest))
     firsts = rows.groupBy(*STEP).agg(F.min(place).alias("first_place"))
-    marked = lookup_join(rows, firsts, STEP, hot_steps, rows.columns, null_safe=True)
+    marked = lookup_join(rows, firsts, STEP, hot_steps, null_safe=True)
     is_first = place == F.col("first_place")
     for time in TIMES:
         own = F.col("transaction_datetime")

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
 from rxtrail.functions.dates import month_index, months_before
 from rxtrail.functions.stamps import newest
-from rxtrail.operators.skew import HotKeys, lookup_join
+from rxtrail.operators.skew import HotKeys, lookup_join, per_key
 from rxtrail.operators.therapy import ALTERNATIVE
 from rxtrail.operators.universe import PATIENT
 
 THERAPY = (*PATIENT, "rule")
-SPREAD = ("transaction_odu_id", "transaction_datetime")
 
 # Rules whose purchases must repeat.
 REPEATING = ("NSAIDs", "Analgesic", "Gabapentin & Tramadol", "Supplements", "Opiate", ALTERNATIVE)
@@ -24,18 +23,12 @@ def counted_rules(config: ChronicConfig) -> list[str]:
     return [*REPEATING, ANTI_INFLAMMATORY] if config.count_anti_inflammatory else [*REPEATING]
 
 
-def repeat_dates(survivors: DataFrame, config: ChronicConfig) -> DataFrame:
+def repeat_dates(dates: DataFrame, config: ChronicConfig, *kept: str) -> DataFrame:
     """Per therapy date: the number of other dates in reach, and the newest stamp on them.
 
-    Rows are reduced to one per date first, so a frame never holds more rows than there are
-    days, and counting its rows counts distinct dates.
+    There is one row per date, so a frame never holds more rows than there are days, and
+    counting its rows counts distinct dates.
     """
-    dates = (
-        survivors.where(F.col("rule").isin(*counted_rules(config)))
-        .groupBy(*THERAPY, "event_date")
-        .agg(F.max("odu_updated_at_utc").alias("stamp"))
-        .withColumn("month", month_index(F.col("event_date")))
-    )
     reach = config.repeat_months - 1
     months = Window.partitionBy(*THERAPY).orderBy("month")
     same_month = Window.partitionBy(*THERAPY, "month").orderBy("event_date")
@@ -45,14 +38,52 @@ def repeat_dates(survivors: DataFrame, config: ChronicConfig) -> DataFrame:
     ]
     if reach > 0:
         others += [months.rangeBetween(-reach, -1), months.rangeBetween(1, reach)]
-    return dates.select(
+    return dates.withColumn("month", month_index(F.col("event_date"))).select(
         *THERAPY,
         "event_date",
+        *kept,
         (F.count(F.lit(1)).over(months.rangeBetween(-reach, reach)) - 1).alias("purchases"),
         F.greatest(*[F.max("stamp").over(frame) for frame in others]).alias("updated_at"),
     )
 
 
+def repeats_in_place(survivors: DataFrame, is_wanted: Column, config: ChronicConfig) -> DataFrame:
+    """Wanted rows with their repeats, after a single shuffle by patient."""
+    inside = F.struct(*[c for c in survivors.columns if c not in (*THERAPY, "event_date")])
+    dates = (
+        survivors.repartition(*PATIENT)
+        .groupBy(*THERAPY, "event_date")
+        .agg(
+            F.max("odu_updated_at_utc").alias("stamp"),
+            F.collect_list(F.when(is_wanted, inside)).alias("rows"),
+        )
+    )
+    is_counted = F.col("rule").isin(*counted_rules(config))
+    return (
+        repeat_dates(dates, config, "rows")
+        .withColumn("purchases", F.when(is_counted, F.col("purchases")).otherwise(0))
+        .withColumn("updated_at", F.when(is_counted, F.col("updated_at")))
+        .select("*", F.inline("rows"))
+        .drop("rows")
+    )
+
+
+def repeats_by_lookup(
+    survivors: DataFrame, is_wanted: Column, hot_patients: HotKeys, config: ChronicConfig
+) -> DataFrame:
+    """Wanted rows with their repeats, for patients of any size."""
+    dates = (
+        survivors.where(F.col("rule").isin(*counted_rules(config)))
+        .groupBy(*THERAPY, "event_date")
+        .agg(F.max("odu_updated_at_utc").alias("stamp"))
+    )
+    key = [*THERAPY, "event_date"]
+    rows = survivors.where(is_wanted)
+    return lookup_join(rows, repeat_dates(dates, config), key, hot_patients).fillna(
+        0, ["purchases"]
+    )
+
+
 def repeats_of_shared_ids(
     survivors: DataFrame,
     rows: DataFrame,
@@ -71,7 +102,7 @@ def repeats_of_shared_ids(
         F.col("stamp").desc_nulls_last(), "transaction_odu_id"
     )
     dates = (
-        lookup_join(counted, sharing, THERAPY, hot_patients, SPREAD, how="left_semi")
+        lookup_join(counted, sharing, THERAPY, hot_patients, how="left_semi")
         .groupBy(*THERAPY, "event_date", "transaction_odu_id")
         .agg(F.max("odu_updated_at_utc").alias("stamp"))
         .withColumn("place", F.row_number().over(on_date))
@@ -91,7 +122,7 @@ def repeats_of_shared_ids(
 
     others = F.filter("dates", is_other)
     return (
-        lookup_join(rows, dates, THERAPY, hot_patients, SPREAD)
+        lookup_join(rows, dates, THERAPY, hot_patients)
         .withColumn("dates", others)
         .withColumn(
             "purchases",
@@ -108,21 +139,19 @@ def with_repeats(
 ) -> DataFrame:
     """Purchases of the output months with their repeats, taken over all input months."""
     since = months_before(config.today(), config.output_months)
-    rows = survivors.where(F.col("transaction_datetime") >= since)
-    shared_rows = rows.where(F.col("several_dates"))
-    single_rows = rows.where(~F.col("several_dates"))
-    single = lookup_join(
-        single_rows,
-        repeat_dates(survivors, config),
-        [*THERAPY, "event_date"],
-        hot_patients,
-        SPREAD,
-    ).withColumn("purchases", F.coalesce(F.col("purchases"), F.lit(0)))
-    if shared_rows.isEmpty():
+    is_recent = F.col("transaction_datetime") >= since
+    is_single = is_recent & ~F.col("several_dates")
+
+    def repeats(rows: DataFrame, is_hot: bool) -> DataFrame:
+        if is_hot:
+            return repeats_by_lookup(rows, is_single, hot_patients, config)
+        return repeats_in_place(rows, is_single, config)
+
+    single = per_key(survivors, hot_patients, repeats)
+    shared = survivors.where(is_recent & F.col("several_dates"))
+    if shared.isEmpty():
         return single
-    return single.unionByName(
-        repeats_of_shared_ids(survivors, shared_rows, hot_patients, config)
-    )
+    return single.unionByName(repeats_of_shared_ids(survivors, shared, hot_patients, config))
 
 
 def is_chronic(config: ChronicConfig):

@@ -37,14 +37,13 @@ def find_hot_keys(
     keys: Sequence[str],
     limits: SkewLimits,
     staging: Staging,
-    weight: str | None = None,
 ) -> HotKeys | None:
     """Keys with too many rows for one task, or None where there are none.
 
     Counting is a grouped aggregate; the list is written, so that every later use sees
     the same keys, and holds at most ``max_hot_keys`` rows.
     """
-    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    size = F.count(F.lit(1))
     counts = rows.groupBy(*keys).agg(size.alias("n_rows"))
     total = rows.agg(size).scalar()
     threshold = F.greatest(F.lit(limits.hot_rows), total / limits.max_hot_keys)
@@ -71,25 +70,25 @@ def lookup_join(
     lookup: DataFrame,
     keys: Sequence[str],
     hot: HotKeys | None,
-    spread: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
 ) -> DataFrame:
     """Attach to each row what ``lookup`` holds for its key.
 
-    Rows of hot keys are dealt over slots by a hash of ``spread``, and their lookup rows
-    repeated once per slot, so no task gets a whole hot key. Other rows keep slot 0.
-    ``hot`` may be on fewer columns than ``keys``.
+    Rows of hot keys are dealt over slots by a hash of the whole row (so there should be few
+    copies of a row), and their lookup rows repeated once per slot: no task gets a whole hot
+    key. Other rows keep slot 0. ``hot`` may be on fewer columns than ``keys``.
     """
     if hot is None:
         return equi_join(rows, lookup, keys, how, null_safe)
     slots = F.broadcast(hot.frame)
     n_slots = F.coalesce(F.col("n_slots"), F.lit(1))
-    slot = F.pmod(F.xxhash64(*spread), n_slots).cast("int")
+    row_hash = F.xxhash64(*rows.columns)
+    slot = F.pmod(row_hash, n_slots).cast("int")
     if not null_safe:
         # A NULL key matches nothing, so such rows may go anywhere.
         no_key = reduce(or_, [F.col(key).isNull() for key in keys])
-        anywhere = F.pmod(F.xxhash64(*spread), F.lit(1 << 20)).cast("int")
+        anywhere = F.pmod(row_hash, F.lit(1 << 20)).cast("int")
         slot = F.when(no_key, anywhere).otherwise(slot)
     dealt = equi_join(rows, slots, hot.keys, "left", null_safe=True)
     dealt = dealt.withColumn("_slot", slot).drop("n_slots")
@@ -106,22 +105,23 @@ def dimension_join(
     keys: Sequence[str],
     limits: SkewLimits,
     staging: Staging,
-    spread: Sequence[str],
     how: str = "left",
 ) -> DataFrame:
-    """Join a dimension of a few fixed-width columns.
+    """Join a dimension of a few fixed-width columns to rows whose copies do not matter.
 
     It is counted first: up to ``broadcast_rows`` rows it is broadcast and the rows do not
-    move; beyond that both sides shuffle, with the hot keys of ``rows`` dealt over slots.
+    move; beyond that copies are dropped, and both sides shuffle with the hot keys of
+    ``rows`` dealt over slots.
     """
     if dimension.count() <= limits.broadcast_rows:
         return rows.join(F.broadcast(dimension), list(keys), how)
+    rows = rows.distinct()
     hot = find_hot_keys(rows.dropna(subset=list(keys)), keys, limits, staging)
     if hot is None:
         # Still deal out the rows without a key, of which there may be many.
         none = dimension.select(*keys, F.lit(1).alias("n_slots")).where(F.lit(False))
         hot = HotKeys(tuple(keys), none)
-    return lookup_join(rows, dimension, keys, hot, spread, how)
+    return lookup_join(rows, dimension, keys, hot, how)
 
 
 def per_key(

@@ -92,7 +92,6 @@ def at_whitelisted_practices(
         practice,
         config.skew,
         staging,
-        spread=["transaction_odu_id"],
         how="left_semi",
     )
 
@@ -110,7 +109,6 @@ def with_catalog_tags(
         CATALOG_ITEM,
         config.skew,
         staging,
-        spread=["transaction_odu_id"],
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
-from rxtrail.operators import calendar, invalidation, repeats, therapy, universe
-from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join
+from rxtrail.operators import invalidation, repeats, therapy, universe
+from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join, per_key
 from rxtrail.sources.relations import ChronicInputs
 from rxtrail.sources.staging import Staging
 
@@ -27,32 +27,44 @@ class ChronicModel:
     # --- lines -----------------------------------------------------------------------
 
     def practice_whitelist(self) -> DataFrame:
-        """All lines of whitelisted practices."""
-        return universe.at_whitelisted_practices(
+        """Distinct lines of whitelisted practices."""
+        lines = universe.at_whitelisted_practices(
             self.inputs.transactions, self.inputs.practice_info, self.config, self.staging
         )
+        return lines.select(*PURCHASE, "practice_odu_id").distinct()
 
     def tag_assignment(self) -> DataFrame:
-        """All lines with their tag."""
+        """Distinct lines with their tag."""
         lines = universe.with_catalog_tags(
             self.inputs.transactions, self.inputs.catalog_tags, self.config, self.staging
         )
-        return universe.tagged_lines(lines, self.config)
+        tagged = universe.tagged_lines(lines, self.config)
+        return tagged.select(*PURCHASE, "tag", "odu_updated_at_utc").distinct()
 
-    def _of_dogs_and_cats(self, lines: DataFrame) -> DataFrame:
+    def _of_dogs_and_cats(self, lines: DataFrame, hot_patients: HotKeys | None) -> DataFrame:
         return lookup_join(
             lines,
             universe.dogs_and_cats(self.inputs.patients),
             universe.PATIENT,
-            find_hot_keys(lines, universe.PATIENT, self.config.skew, self.staging),
-            spread=["transaction_odu_id", "transaction_datetime"],
+            hot_patients,
             how="inner",
         )
 
+    def _find_hot_patients(self, lines: DataFrame) -> HotKeys | None:
+        return find_hot_keys(lines, universe.PATIENT, self.config.skew, self.staging)
+
     def pain_universe(self) -> DataFrame:
-        return self._of_dogs_and_cats(
-            universe.relevant_lines(self.inputs, self.config, self.staging)
+        """Distinct relevant lines of dogs and cats."""
+        lines = universe.relevant_lines(self.inputs, self.config, self.staging).select(
+            *PURCHASE,
+            "practice_odu_id",
+            "transaction_datetime",
+            "catalog_tag_odu_id",
+            *universe.TAGGED,
         )
+        lines = self.staging.write(lines.distinct(), "universe")
+        rows = self._of_dogs_and_cats(lines, self._find_hot_patients(lines))
+        return rows.drop("birth_date").distinct()
 
     @cached_property
     def tagged(self) -> DataFrame:
@@ -60,28 +72,25 @@ class ChronicModel:
         lines = universe.relevant_lines(self.inputs, self.config, self.staging)
         return self.staging.write(universe.tagged_lines(lines, self.config), "tagged")
 
+    @cached_property
+    def hot_patients(self) -> HotKeys | None:
+        return self._find_hot_patients(self.tagged)
+
     def tagged_events(self) -> DataFrame:
-        return self._of_dogs_and_cats(self.tagged).distinct()
+        return self._of_dogs_and_cats(self.tagged, self.hot_patients).distinct()
 
     # --- invalidation ----------------------------------------------------------------
 
-    @cached_property
-    def calendar(self) -> DataFrame:
-        days = calendar.patient_calendar(self.tagged, self.inputs.patients, self.config)
-        return self.staging.write(days, "calendar")
-
-    @cached_property
-    def hot_patients(self) -> HotKeys | None:
-        return find_hot_keys(
-            self.calendar, universe.PATIENT, self.config.skew, self.staging, weight="n_lines"
-        )
-
     @cached_property
     def judged(self) -> DataFrame:
-        rows = invalidation.judged_purchases(
-            self.tagged, self.calendar, self.hot_patients, self.config, self.staging
-        )
-        return self.staging.write(rows, "judged")
+        def judge(lines: DataFrame, is_hot: bool) -> DataFrame:
+            if is_hot:
+                return invalidation.judged_by_lookup(
+                    lines, self.inputs.patients, self.hot_patients, self.config, self.staging
+                )
+            return invalidation.judged_in_place(lines, self.inputs.patients, self.config)
+
+        return self.staging.write(per_key(self.tagged, self.hot_patients, judge), "judged")
 
     def invalid_by_invoice(self) -> DataFrame:
         return self.judged.where("by_invoice").select(*PURCHASE).distinct()
@@ -95,14 +104,10 @@ class ChronicModel:
     # --- therapies -------------------------------------------------------------------
 
     def ungated(self) -> DataFrame:
-        return invalidation.surviving_purchases(
-            self.judged, self.hot_patients, self.config, self.staging
-        )
+        return invalidation.surviving_purchases(self.judged, self.config)
 
-    @cached_property
     def survivors(self) -> DataFrame:
-        gated = therapy.alternative_therapy_gate(self.ungated(), self.config)
-        gated = gated.select(
+        return therapy.alternative_therapy_gate(self.ungated(), self.config).select(
             *universe.PATIENT,
             "practice_odu_id",
             "species",
@@ -114,7 +119,6 @@ class ChronicModel:
             "rule",
             "several_dates",
         )
-        return self.staging.write(gated, "survivors")
 
     def surviving_purchases(self) -> DataFrame:
         return (
@@ -156,7 +160,7 @@ class ChronicModel:
     # --- chronicity ------------------------------------------------------------------
 
     def repeats(self) -> DataFrame:
-        return repeats.with_repeats(self.survivors, self.hot_patients, self.config)
+        return repeats.with_repeats(self.survivors(), self.hot_patients, self.config)
 
     def repeat_purchases(self) -> DataFrame:
         return self.repeats().select(*PURCHASE, "transaction_datetime", "rule", "purchases").distinct()

@@ -18,6 +18,9 @@ from tests import samples
 TINY = SkewLimits(hot_rows=3, broadcast_rows=0)
 
 CHRONIC = [
+    "pain_universe",
+    "practice_whitelist",
+    "tag_assignment",
     "tagged_events",
     "invalid_by_invoice",
     "invalid_by_window",
@@ -47,9 +50,7 @@ def check(frame, connection, sql):
     assert ours
 
 
-@pytest.mark.parametrize(
-    "seed, skew", [(1, SkewLimits()), (1, TINY), (2, TINY)], ids=["plain", "hot", "hot-2"]
-)
+@pytest.mark.parametrize("seed, skew", [(1, SkewLimits()), (2, TINY)], ids=["plain", "hot"])
 def test_chronic(spark, seed, skew):
     tables = samples.random_chronic_tables(seed)
     connection = samples.chronic_in_duckdb(tables)
@@ -58,15 +59,13 @@ def test_chronic(spark, seed, skew):
     assert (model.hot_patients is None) == (skew is not TINY)
     for stage in CHRONIC:
         check(getattr(model, stage)(), connection, chronic_sql.over_tables(stage))
-    assert not model.survivors.where("several_dates").isEmpty()
+    assert not model.survivors().where("several_dates").isEmpty()
     if skew is TINY:
         for keys in (INVOICE, PURCHASE):
             assert find_hot_keys(model.judged, keys, TINY, model.staging)
 
 
-@pytest.mark.parametrize(
-    "seed, skew", [(1, SkewLimits()), (1, TINY), (2, TINY)], ids=["plain", "hot", "hot-2"]
-)
+@pytest.mark.parametrize("seed, skew", [(1, SkewLimits()), (2, TINY)], ids=["plain", "hot"])
 def test_switching(spark, seed, skew):
     rows = samples.random_purchases(seed)
     connection = samples.purchases_in_duckdb(rows)
