@@ -71,7 +71,7 @@ practice_info AS (
   FROM customer_patient,
     (VALUES ('Current Year'), ('Previous Year')) t(timeframe),
     (VALUES ('Non Home Delivery'), ('Home Delivery')) d(patient_type)
-  WHERE pid % 25 <> 24
+  WHERE timeframe = 'Previous Year' OR practice_odu_id <> 124
 ),
 catalog_tags AS (
   SELECT 1 AS catalog_source_server_odu_id, p_partkey AS catalog_odu_id, 56 AS catalog_tag_odu_id,
@@ -80,7 +80,7 @@ catalog_tags AS (
   UNION ALL
   SELECT 1, p_partkey, 60, TIMESTAMP '2000-06-01' FROM part WHERE p_partkey % 80 IN (42, 43)
   UNION ALL
-  SELECT 1, p_partkey, 99, TIMESTAMP '2000-06-01' FROM part WHERE p_partkey % 7 = 0
+  SELECT 1, p_partkey, 99, TIMESTAMP '2000-06-01' FROM part
 )"""
 
 PAIN_PURCHASES = f"""{LINES},

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
@@ -19,10 +19,17 @@ PURCHASE = [*invalidation.PURCHASE]
 class ChronicModel:
     """Stages of one run. Each is built when first asked for, those read twice are staged."""
 
-    def __init__(self, inputs: ChronicInputs, config: ChronicConfig, staging: Staging):
+    def __init__(
+        self,
+        inputs: ChronicInputs,
+        config: ChronicConfig,
+        staging: Staging,
+        only_patients_with: Column | None = None,
+    ):
         self.inputs = inputs
         self.config = config
         self.staging = staging
+        self.only_patients_with = only_patients_with
 
     # --- lines -----------------------------------------------------------------------
 
@@ -81,6 +88,15 @@ class ChronicModel:
 
     # --- invalidation ----------------------------------------------------------------
 
+    def _lines_to_judge(self) -> DataFrame:
+        """All lines, or all lines of patients with a tagged line of the wanted kind."""
+        if self.only_patients_with is None:
+            return self.tagged
+        wanted = self.tagged.where(self.only_patients_with).select(*universe.PATIENT).distinct()
+        return lookup_join(
+            self.tagged, wanted, universe.PATIENT, self.hot_patients, how="left_semi"
+        )
+
     @cached_property
     def judged(self) -> DataFrame:
         def judge(lines: DataFrame, is_hot: bool) -> DataFrame:
@@ -90,7 +106,8 @@ class ChronicModel:
                 )
             return invalidation.judged_in_place(lines, self.inputs.patients, self.config)
 
-        return self.staging.write(per_key(self.tagged, self.hot_patients, judge), "judged")
+        judged = per_key(self._lines_to_judge(), self.hot_patients, judge)
+        return self.staging.write(judged, "judged")
 
     def invalid_by_invoice(self) -> DataFrame:
         return self.judged.where("by_invoice").select(*PURCHASE).distinct()

@@ -2,24 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
 from rxtrail.operators.skew import equi_join
-from rxtrail.sources.relations import read_relation
+from rxtrail.plans.chronic import ChronicModel
+from rxtrail.sources.relations import ChronicInputs, read_relation
+from rxtrail.sources.staging import Staging
 
 KEY = ["server_odu_id", "patient_odu_id", "transaction_odu_id", "rule"]
 
 
-def fresh_rows(result: DataFrame, target: DataFrame | None, config: ChronicConfig) -> DataFrame:
-    """Rows at least as new as the target's newest less the overlap; all on a first run."""
-    if target is None:
-        return result
+def is_fresh(target: DataFrame, config: ChronicConfig) -> Column:
+    """True for stamps up to the overlap before the target's newest; all on a first run."""
     overlap = F.make_dt_interval(hours=F.lit(config.overlap_hours))
     newest = target.agg(F.max("odu_updated_at_utc") - overlap).scalar()
     first_run = target.agg(F.count(F.lit(1)) == 0).scalar()
-    return result.where(first_run | (F.col("odu_updated_at_utc") >= newest))
+    return first_run | (F.col("odu_updated_at_utc") >= newest)
+
+
+def fresh_rows(result: DataFrame, target: DataFrame | None, config: ChronicConfig) -> DataFrame:
+    return result if target is None else result.where(is_fresh(target, config))
+
+
+def refreshed_rows(
+    inputs: ChronicInputs, target: DataFrame | None, config: ChronicConfig, staging: Staging
+) -> DataFrame:
+    """The fresh rows of a new run, computed only for patients who can have any.
+
+    A row's stamp is that of a line of its patient, so patients without a fresh line have no
+    fresh row.
+    """
+    fresh = None if target is None else is_fresh(target, config)
+    model = ChronicModel(inputs, config, staging, only_patients_with=fresh)
+    return fresh_rows(model.chronic_purchases(), target, config)
 
 
 def merged(target: DataFrame | None, emitted: DataFrame) -> DataFrame:
@@ -43,12 +60,14 @@ def write_output(frame: DataFrame, path: str) -> None:
 
 
 def refresh_table(
-    spark: SparkSession,
-    result: DataFrame,
+    inputs: ChronicInputs,
     config: ChronicConfig,
+    staging: Staging,
     new_path: str,
     old_path: str | None = None,
 ) -> None:
     """Write the next version of the output beside the previous one, which is left alone."""
+    spark = inputs.transactions.sparkSession
     target = read_relation(spark, "chronic_purchases", old_path) if old_path else None
-    write_output(merged(target, fresh_rows(result, target, config)), new_path)
+    emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
+    write_output(merged(target, emitted), new_path)

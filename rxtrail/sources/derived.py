@@ -78,7 +78,7 @@ def _pick(key: Column, choices: list) -> Column:
 
 
 def _patient(customer: str) -> Column:
-    return F.floor(F.col(customer) / 5).cast("long")
+    return F.expr(f"{customer} div 5")
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,11 +141,14 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
 
 def practice_info(spark: SparkSession, folder: str) -> DataFrame:
     pid = F.col("pid")
-    listed = _patients(spark, folder).where(pid % 25 != 24)
-    timeframes = F.array(F.lit("Current Year"), F.lit("Previous Year"))
+    # One practice in 25 has no data for the current year.
+    timeframes = F.when(
+        F.col("practice_odu_id") == 124, F.array(F.lit("Previous Year"))
+    ).otherwise(F.array(F.lit("Current Year"), F.lit("Previous Year")))
     types = F.array(F.lit("Non Home Delivery"), F.lit("Home Delivery"))
     frame = (
-        listed.select(
+        _patients(spark, folder)
+        .select(
             (pid % 3).alias("server_odu_id"), (100 + pid % 25).alias("practice_odu_id")
         )
         .distinct()
@@ -161,7 +164,7 @@ def catalog_tags(spark: SparkSession, folder: str) -> DataFrame:
         F.array(
             F.when((part % 80).isin(40, 41, 42), 56),
             F.when((part % 80).isin(42, 43), 60),
-            F.when(part % 7 == 0, 99),
+            F.lit(99),
         )
     )
     updated = F.when(F.col("catalog_tag_odu_id") == 56, "1999-06-01").otherwise("2000-06-01")
@@ -188,7 +191,7 @@ def chronic_inputs(spark: SparkSession, folder: str) -> ChronicInputs:
 
 def pain_purchases(spark: SparkSession, folder: str) -> DataFrame:
     pid, part = F.col("pid"), F.col("l_partkey")
-    product = (pid + F.floor(part / 400) + part % 3) % 10
+    product = (pid + F.expr("l_partkey div 400") + part % 3) % 10
     names, drugs, brands = zip(*PRODUCTS)
     frame = _lines(spark, folder).select(
         (100 + pid % 25).alias("practice_odu_id"),

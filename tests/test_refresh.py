@@ -1,11 +1,12 @@
 import datetime as dt
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 
-from rxtrail.config import ChronicConfig
+from rxtrail.config import ChronicConfig, SkewLimits
 from rxtrail.plans.chronic import ChronicModel
-from rxtrail.plans.refresh import fresh_rows, merged, refresh_table
+from rxtrail.plans.refresh import fresh_rows, merged, refresh_table, refreshed_rows
 from rxtrail.sources import derived
 from rxtrail.sources.relations import RELATIONS, conform, read_chronic_inputs, read_relation
 from rxtrail.sources.staging import Staging, checkpoint_root
@@ -52,17 +53,30 @@ def test_first_run(spark, empty):
 
 
 def test_stored_refresh(spark, tmp_path):
-    """Refreshing without a change changes nothing; two steps end where one does."""
+    """Refreshing without a change changes nothing."""
     inputs = derived.chronic_inputs(spark, SF)
-    now = ChronicModel(inputs, CONFIG, Staging(spark)).chronic_purchases()
     first, second = str(tmp_path / "first"), str(tmp_path / "second")
-    refresh_table(spark, now, CONFIG, first)
-    refresh_table(spark, now, CONFIG, second, first)
+    refresh_table(inputs, CONFIG, Staging(spark), first)
+    refresh_table(inputs, CONFIG, Staging(spark), second, first)
     rows = [read_relation(spark, "chronic_purchases", p).collect() for p in (first, second)]
     assert sorted(rows[0]) == sorted(rows[1]) and len(rows[0]) == 254
     assert list((tmp_path / "first").glob("event_month=2000-01/*.parquet"))
 
 
+@pytest.mark.parametrize("skew", [SkewLimits(), SkewLimits(hot_rows=20)], ids=["plain", "hot"])
+def test_only_patients_with_news_are_run(spark, skew):
+    """Their fresh rows are the fresh rows of a whole run."""
+    inputs = derived.chronic_inputs(spark, SF)
+    config = replace(CONFIG, skew=skew)
+    whole = ChronicModel(inputs, config, Staging(spark))
+    target = whole.staging.write(
+        whole.chronic_purchases().where("odu_updated_at_utc < '2001-06-15'"), "target"
+    )
+    wanted = fresh_rows(whole.chronic_purchases(), target, config).collect()
+    found = refreshed_rows(inputs, target, config, Staging(spark)).collect()
+    assert sorted(found) == sorted(wanted) and wanted
+
+
 def test_inputs_from_folders_and_tables(spark, tmp_path):
     inputs = derived.chronic_inputs(spark, SF)
     inputs.transactions.write.parquet(f"{tmp_path}/transactions")
