@@ -145,7 +145,8 @@ class ChronicModel:
         )
 
     def therapy_rule(self) -> DataFrame:
-        return self.judged.where(F.col("rule").isNotNull()).select(*PURCHASE, "tag", "rule").distinct()
+        pain = self.judged.where(F.col("rule").isNotNull())
+        return pain.select(*PURCHASE, "tag", "rule").distinct()
 
     def age_at_event(self) -> DataFrame:
         """Age at every pain purchase."""
@@ -180,7 +181,11 @@ class ChronicModel:
         return repeats.with_repeats(self.survivors(), self.hot_patients, self.config)
 
     def repeat_purchases(self) -> DataFrame:
-        return self.repeats().select(*PURCHASE, "transaction_datetime", "rule", "purchases").distinct()
+        return (
+            self.repeats()
+            .select(*PURCHASE, "transaction_datetime", "rule", "purchases")
+            .distinct()
+        )
 
     def freshness_stamp(self) -> DataFrame:
         stamp = repeats.newest(

@@ -5,12 +5,12 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from checks.compare import test_session  # noqa: E402
+from checks.compare import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = test_session("4")
+    session = local_session("4")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole filters in plans
     yield session

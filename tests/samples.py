@@ -7,7 +7,6 @@ import random
 
 import duckdb
 
-from checks.compare import rows_of_sql
 from rxtrail.sources.relations import RELATIONS, ChronicInputs
 
 AS_OF = dt.date(2001, 8, 1)
@@ -166,7 +165,8 @@ def random_chronic_tables(seed: int, n_lines: int = 1500) -> dict[str, list[dict
         row["server_odu_id"] = pick.choice([1, 1, 1, 2])
         row["invoice_odu_id"] = pick.choice([number // 4, pick.randrange(30), None])
         row["catalog_odu_id"] = pick.choice([None, 0, 56, 60, 57, 58])
-        row["description"] = pick.choice([None, "pill", "Declined", "owner DECLINED it"] + ["y"] * 9)
+        texts = [None, "pill", "Declined", "owner DECLINED it"] + ["y"] * 9
+        row["description"] = pick.choice(texts)
         row["is_revenue"] = pick.choice([True] * 9 + [False, None])
         row["odu_updated_at_utc"] = when + dt.timedelta(days=pick.randrange(200))
         lines += [row] * pick.choice([1, 1, 1, 2])
@@ -263,9 +263,3 @@ def random_purchases(seed: int, n_rows: int = 700) -> list[dict]:
         row["timeframe"] = pick.choice(["Current Year", "Previous Year"])
         rows += [row] * pick.choice([1, 1, 2])
     return rows
-
-
-def sql_rows(connection, sql: str):
-    return rows_of_sql(connection, sql)
-
-

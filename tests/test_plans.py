@@ -114,10 +114,8 @@ def test_switching(spark, no_automatic_broadcast, tmp_path):
 def test_nothing_depends_on_partitions(spark):
     """More partitions and shuffled rows give the same rows."""
     def run():
-        purchases = derived.pain_purchases(spark, SF)
-        return sorted(
-            map(str, SwitchModel(purchases, SwitchConfig(), Staging(spark)).nsaid_switching().collect())
-        )
+        model = SwitchModel(derived.pain_purchases(spark, SF), SwitchConfig(), Staging(spark))
+        return sorted(map(str, model.nsaid_switching().collect()))
 
     before = run()
     spark.conf.set("spark.sql.shuffle.partitions", "13")

@@ -88,7 +88,7 @@ def test_cohort(spark):
 def test_islands(spark):
     rows = history(1, ALPHA, ALPHA, BETA, BETA, BETA, ALPHA)
     model = SwitchModel(purchases_frame(spark, rows), SwitchConfig(), Staging(spark))
-    islands = [r.island_id for r in model.product_islands().orderBy("transaction_datetime").collect()]
-    assert islands == [1, 1, 2, 2, 2, 3]
+    found = model.product_islands().orderBy("transaction_datetime").collect()
+    assert [row.island_id for row in found] == [1, 1, 2, 2, 2, 3]
     lengths = {r.island_id: r.previous_purchases for r in model.island_lengths().collect()}
     assert lengths == {1: 2, 2: 3, 3: 1}
