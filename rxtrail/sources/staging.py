@@ -1,4 +1,4 @@
-"""Intermediate tables in the cluster's shared checkpoint folder.
+"""Intermediate tables in a folder that the whole cluster shares.
 
 A stage read by several later steps is written once as Parquet: later steps read only the
 columns they need, and an executor lost afterwards costs nothing but its own tasks.
@@ -6,33 +6,57 @@ columns they need, and an executor lost afterwards costs nothing but its own tas
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder set for this session; a local one only in local mode."""
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="rxtrail-")
+    if not root:
+        raise ValueError("name a folder that all executors can reach in spark.checkpoint.dir")
+    return root
 
 
 class Staging:
-    """Writes the intermediate tables of one run under a folder of its own."""
+    """Writes the intermediate tables of one run under a folder of its own.
+
+    Frames built on them are lazy, so the folder must outlive them: a caller that has written
+    its result calls ``remove``, or uses the object as a context manager around the write.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self._spark = spark
-        self.folder = f"{(root or checkpoint_root(spark)).rstrip('/')}/rxtrail-{uuid.uuid4().hex}"
+        self.folder = f"{(root or shared_folder(spark)).rstrip('/')}/rxtrail-{uuid.uuid4().hex}"
         self._written = 0
 
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(
+        self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None
+    ) -> None:
+        self.remove()
+
     def write(self, frame: DataFrame, name: str) -> DataFrame:
         """Store ``frame`` and return a reader of the stored copy."""
-        self._written += 1
-        path = f"{self.folder}/{self._written:02d}-{name}"
+        return self._spark.read.schema(frame.schema).parquet(self.store(frame, name))
+
+    def store(self, frame: DataFrame, name: str) -> str:
+        """Store ``frame`` and return where."""
+        path = self.new_path(name)
         frame.write.parquet(path)
-        return self._spark.read.schema(frame.schema).parquet(path)
+        return path
+
+    def new_path(self, name: str) -> str:
+        """A path in this run's folder that nothing else uses."""
+        self._written += 1
+        return f"{self.folder}/{self._written:02d}-{name}"
+
+    def remove(self) -> None:
+        """Delete what this run has stored."""
+        jvm = self._spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
