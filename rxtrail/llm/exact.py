@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from rxtrail.llm.shared import LOWER, UPPER, text_or_empty
 from rxtrail.sources.staging import Staging
 
-LANES = 16
+#: Hits are dealt over lanes to meet their documents, and compared in parts of so many.
+LANES, PART = 8, 1024
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -47,6 +48,12 @@ def located(docs: DataFrame, staging: Staging) -> DataFrame:
         return stored.select("doc", place)
 
 
+def _numbers(n: str | Column) -> Column:
+    """0 to n - 1."""
+    n = (F.col(n) if isinstance(n, str) else n).cast("long")
+    return F.sequence(F.lit(0).cast("long"), n - 1)
+
+
 def fold(arrivals: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run the stream over all stored arrivals; digest, keeper (id and place) and n from its state."""
     session = arrivals.sparkSession.newSession()
@@ -76,24 +83,28 @@ def groups(docs: DataFrame, staging: Staging, digest=sha256) -> DataFrame:
     path = staging.store(rows.select(digest(text).alias("digest"), "doc.doc_id", "place"), "arrivals")
     arrivals = docs.sparkSession.read.parquet(path)
     state = fold(arrivals, path, staging.new_path("state"))
+    # Merge joins at every size: hits are as many as the corpus has copies.
     hits = staging.write(state.where("n > 1"), "hits").select(
-        F.col("digest").alias("hit"), "keeper", "n", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("lane")
-    )
+        F.col("digest").alias("hit"), "keeper", "n", F.explode(_numbers(F.lit(LANES))).alias("lane")
+    ).hint("merge")
     own_lane = F.pmod(F.xxhash64("place"), F.lit(LANES))
 
-    # Full bytes: the content at the keeper's place against each other document of the hit.
+    # Full bytes: the content at the keeper's place against each other document of the hit,
+    # a thousand documents of a hit at a time.
     texts = rows.select("place", "doc.doc_id", text.alias("text"), digest(text).alias("digest"))
+    parts = F.ceil(F.col("n") / PART)
     in_hits = staging.write(
         texts.join(hits, (texts.digest == hits.hit) & (own_lane == hits.lane)).select(
-            "digest", "place", "doc_id", "text", "lane", (F.col("place") == F.col("keeper.place")).alias("stays")
+            "digest", "place", "doc_id", "text", (F.col("place") == F.col("keeper.place")).alias("stays"),
+            parts.alias("parts"), F.pmod(F.xxhash64("place"), parts).alias("part"),
         ),
         "in_hits",
     )
     content = in_hits.where("stays").select(
-        F.col("digest").alias("hit"), F.col("text").alias("content"),
-        F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("hit_lane"),
+        F.col("digest").alias("hit"), F.col("text").alias("content"), F.explode(_numbers("parts")).alias("of_part")
     )
-    compared = in_hits.join(content, (F.col("digest") == F.col("hit")) & (F.col("lane") == F.col("hit_lane")))
+    others = in_hits.where("NOT stays")
+    compared = others.join(content, (F.col("digest") == F.col("hit")) & (F.col("part") == F.col("of_part")))
     apart = staging.write(compared.where("text <> content").select("digest").distinct(), "apart")
 
     joined = arrivals.join(
