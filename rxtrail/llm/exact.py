@@ -58,6 +58,7 @@ def fold(arrivals: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run the stream over all stored arrivals; digest, keeper (id and place) and n from its state."""
     session = arrivals.sparkSession.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     session.conf.set("spark.sql.shuffle.partitions", arrivals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     stream = session.readStream.schema(arrivals.schema).parquet(path)
     state = stream.groupBy("digest").agg(F.max(F.struct("doc_id", "place")).alias("keeper"), F.count("*").alias("n"))
