@@ -8,12 +8,13 @@ smaller id. Hashes are polynomials over word hashes modulo 2^64, rolled by prefi
   passage in a third of all rows leaves a run as one entry.
 * One entry per distinct window (hash and least id) goes to the bucket of its hash. Entries
   travel sorted, as differences split into byte planes and compressed: about seven bytes.
-* A bucket finds the least document of each window overall and sends later ones their hashes.
-* Each document marks the windows sent to it; overlapping windows merge into maximal
-  intervals, and what lies outside is kept.
+* A bucket finds the least document of each window overall and sends the hashes that later
+  ones lose to those documents' lanes, all for one lane in one row.
+* Documents meet what is sent to their lane and mark the windows; overlapping windows merge
+  into maximal intervals, and what lies outside is kept.
 
-Texts move once, to meet their removals. A bucket's size is set by the number of shuffle
-partitions, a run's by its words. Equality is by 64-bit hash: among n windows the chance of
+Texts move once, to meet their removals. The number of buckets and lanes follows the number
+of shuffle partitions, so either holds a partition's share; a run is bounded by its words. Equality is by 64-bit hash: among n windows the chance of
 any false match is about n^2 / 2^65 (1 in 2,000 for 133 million windows).
 
 Defined results: a null text has no words; fewer than 13 words make no window; ids compare
@@ -32,6 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rxtrail.llm.shared import text_or_empty
 
@@ -103,13 +105,13 @@ ENTRIES = pa.schema(
         ("spans", pa.binary()),
     ]
 )
-REMOVALS = "doc_key long, tag long, hashes binary, spans binary"
+REMOVALS = "lane int, ids binary, hashes binary, doc_key long, tag long, spans binary"
 
 
 def _entries_of_run(keys: list[int], tags: list[int], windows: list[np.ndarray], window: int, buckets: int) -> pa.RecordBatch:
     order = np.argsort(np.array(keys, np.int64), kind="stable")
     keys_up = np.array(keys, np.int64)[order]
-    lengths = np.array([len(windows[i]) for i in order])
+    lengths = np.array([len(windows[i]) for i in order], np.int64)
     doc = np.repeat(np.arange(len(order)), lengths)
     at = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     hashes = np.concatenate([windows[i] for i in order]) if len(order) else np.empty(0, np.uint64)
@@ -152,7 +154,8 @@ def _entries(window: int, buckets: int, run_words: int):
                 if size >= run_words:
                     yield _entries_of_run(keys, tags, windows, window, buckets)
                     keys, tags, windows, size = [], [], [], 0
-        yield _entries_of_run(keys, tags, windows, window, buckets)
+        if keys:
+            yield _entries_of_run(keys, tags, windows, window, buckets)
 
     return of
 
@@ -161,50 +164,68 @@ def _tag(data: bytes) -> int:
     return xxhash.xxh64_intdigest(data, 1) - (1 << 63)
 
 
-def _removals(table: pa.Table) -> pa.Table:
-    """Of one bucket: each document's windows that start in a smaller one, and what was known."""
-    names = ["doc_key", "tag", "hashes", "spans"]
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    known = table.filter(pc.is_valid(table["doc_key"]))
-    out = [known["doc_key"].to_pylist(), known["tag"].to_pylist(), [None] * len(known), known["spans"].to_pylist()]
-    entries = table.filter(pc.is_valid(table["base"]))
-    if len(entries) > 1:
-        hashes = np.concatenate([np.cumsum(unpack(x.as_py())) for x in entries["hashes"]])
-        ids = np.concatenate([
-            (unpack(x.as_py()) + np.int64(base).view(np.uint64)).view(np.int64)
-            for x, base in zip(entries["ids"], entries["base"].to_pylist(), strict=True)
-        ])
-        order = np.argsort(hashes)
-        hashes, ids = hashes[order], ids[order]
-        new = np.r_[True, hashes[1:] != hashes[:-1]]
-        least = np.minimum.reduceat(ids, np.flatnonzero(new))[np.cumsum(new) - 1]
-        hashes, ids = hashes[ids > least], ids[ids > least]
-        order = np.argsort(ids, kind="stable")
-        hashes, ids = hashes[order], ids[order]
-        edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]][: len(ids)])
-        for start, end in zip(edges, np.r_[edges[1:], len(ids)], strict=False):
-            for column, value in zip(out, (int(ids[start]), None, hashes[start:end].tobytes(), None), strict=True):
-                column.append(value)
-    return pa.table([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+def _removals(lanes: int):
+    """Of one bucket: the windows of documents that start in a smaller one, and what was known."""
+    names = ["lane", "ids", "hashes", "doc_key", "tag", "spans"]
+    types = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+
+    def of(table: pa.Table) -> pa.Table:
+        known = table.filter(pc.is_valid(table["doc_key"]))
+        nothing = [None] * len(known)
+        taken = [known[n].to_pylist() for n in ("bucket", "doc_key", "tag", "spans")]
+        out = [taken[0], nothing, nothing.copy(), *taken[1:]]
+        entries = table.filter(pc.is_valid(table["base"]))
+        if len(entries) > 1:
+            hashes = np.concatenate([np.cumsum(unpack(x.as_py())) for x in entries["hashes"]])
+            ids = np.concatenate([
+                (unpack(x.as_py()) + np.int64(base).view(np.uint64)).view(np.int64)
+                for x, base in zip(entries["ids"], entries["base"].to_pylist(), strict=True)
+            ])
+            order = np.argsort(hashes)
+            hashes, ids = hashes[order], ids[order]
+            new = np.r_[True, hashes[1:] != hashes[:-1]]
+            least = np.minimum.reduceat(ids, np.flatnonzero(new))[np.cumsum(new) - 1]
+            hashes, ids = hashes[ids > least], ids[ids > least]
+            order = np.lexsort((ids, ids % lanes))
+            hashes, ids = hashes[order], ids[order]
+            lane = ids % lanes
+            edges = np.flatnonzero(np.r_[True, lane[1:] != lane[:-1]][: len(ids)])
+            for start, end in zip(edges, np.r_[edges[1:], len(ids)], strict=False):
+                gaps = np.diff(ids[start:end], prepend=0)
+                row = (int(lane[start]), pack(gaps), hashes[start:end].tobytes(), None, None, None)
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+        return pa.table([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
+    return of
 
-def _clean(window: int):
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, intervals, kept = [], [], []
-            for text, removals in zip(batch.column(1), batch.column(2), strict=True):
-                data = text.as_py()
-                words = data.split()
-                gone = _marked(data, words, removals.as_py() or [], window)
-                intervals.append([{"start": int(a), "end": int(b)} for a, b in gone])
-                n_words.append(len(words))
-                for a, b in reversed(gone.tolist()):
-                    del words[a:b]
-                kept.append(b" ".join(words).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(intervals, SPANS), pa.array(kept, pa.string())],
-                ["doc_id", "n_words", "removed", "kept"],
-            )
+
+def _clean(window: int, id_type: pa.DataType):
+    def of(docs: pa.Table, removals: pa.Table) -> pa.Table:
+        sent = removals.filter(pc.is_valid(removals["hashes"]))
+        ids = np.concatenate([np.empty(0, np.int64), *(np.cumsum(unpack(x.as_py()).view(np.int64)) for x in sent["ids"])])
+        hashes = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x.as_py(), np.uint64) for x in sent["hashes"])])
+        order = np.argsort(ids, kind="stable")
+        ids, hashes = ids[order], hashes[order]
+        known = removals.filter(pc.is_valid(removals["spans"]))
+        spans = dict(zip(zip(known["doc_key"].to_pylist(), known["tag"].to_pylist(), strict=True), known["spans"], strict=True))
+        n_words, intervals, kept = [], [], []
+        keys = docs["doc_key"].to_numpy()
+        firsts, lasts = np.searchsorted(ids, keys), np.searchsorted(ids, keys, "right")
+        for key, text, first, last in zip(keys.tolist(), docs["text"], firsts, lasts, strict=True):
+            data = text.as_py()
+            words = data.split()
+            found = spans.get((key, _tag(data))) if spans else None
+            gone = _marked(words, hashes[first:last], found, window)
+            intervals.append([{"start": a, "end": b} for a, b in gone])
+            n_words.append(len(words))
+            for a, b in reversed(gone):
+                del words[a:b]
+            kept.append(b" ".join(words).decode("utf-8", "replace"))
+        return pa.table(
+            [docs["doc_id"].cast(id_type), pa.array(n_words, pa.int64()), pa.array(intervals, SPANS), pa.array(kept, pa.string())],
+            ["doc_id", "n_words", "removed", "kept"],
+        )
 
     return of
 
@@ -212,43 +233,41 @@ def _clean(window: int):
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _marked(data: bytes, words: list[bytes], removals: list[dict], window: int) -> np.ndarray:
+def _marked(words: list[bytes], sent: np.ndarray, spans: pa.Scalar | None, window: int) -> list[list[int]]:
     """Maximal intervals of removed words."""
-    if not removals:
-        return np.empty((0, 2), np.int64)
+    if not len(sent) and spans is None:
+        return []
     edge = np.zeros(len(words) + 1, np.int64)
-    sent = [np.frombuffer(r["hashes"], np.uint64) for r in removals if r["hashes"] is not None]
-    if sent:
-        at = np.flatnonzero(np.isin(window_hashes(words, window), np.concatenate(sent)))
+    if len(sent):
+        at = np.flatnonzero(np.isin(window_hashes(words, window), sent))
         np.add.at(edge, at, 1)
         np.add.at(edge, at + window, -1)
-    tag = _tag(data)
-    for r in removals:
-        if r["spans"] is not None and r["tag"] == tag:
-            spans = unpack(r["spans"]).view(np.int64).reshape(-1, 2)
-            np.add.at(edge, spans[:, 0], 1)
-            np.add.at(edge, spans[:, 1], -1)
+    if spans is not None:
+        pairs = unpack(spans.as_py()).view(np.int64).reshape(-1, 2)
+        np.add.at(edge, pairs[:, 0], 1)
+        np.add.at(edge, pairs[:, 1], -1)
     inside = np.r_[0, np.cumsum(edge[:-1]) > 0, 0]
-    turns = np.flatnonzero(np.diff(inside))
-    return turns.reshape(-1, 2)
+    return np.flatnonzero(np.diff(inside)).reshape(-1, 2).tolist()
 
 
 def cleaned(docs: DataFrame, window: int = WINDOW, run_words: int = RUN_WORDS) -> DataFrame:
     """doc_id, n_words, removed (maximal word intervals) and kept (the other words, joined)."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lanes = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID)))
-    rows = docs.select(key.alias("doc_key"), text_or_empty("text").cast("binary").alias("text"))
+    rows = docs.select("doc_id", key.alias("doc_key"), text_or_empty("text").cast("binary").alias("text"))
     kinds = "bucket int, hashes binary, ids binary, base long, doc_key long, tag long, spans binary"
-    entries = rows.mapInArrow(_entries(window, BUCKETS_PER_PARTITION * partitions, run_words), kinds)
-    removals = entries.groupBy("bucket").applyInArrow(_removals, REMOVALS)
-    by_doc = removals.groupBy(F.col("doc_key").alias("removal_key")).agg(
-        F.collect_list(F.struct("tag", "hashes", "spans")).alias("removals")
-    )
-    texts = docs.select("doc_id", text_or_empty("text").cast("binary").alias("text"), key.alias("doc_key"))
-    joined = texts.join(by_doc, F.col("doc_key") == F.col("removal_key"), "left")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "text", "removals").mapInArrow(
-        _clean(window), f"doc_id {kind}, n_words long, removed array<struct<start:long,end:long>>, kept string"
+    entries = rows.select("doc_key", "text").mapInArrow(_entries(window, lanes, run_words), kinds)
+    removals = entries.groupBy("bucket").applyInArrow(_removals(lanes), REMOVALS)
+    lane = F.pmod("doc_key", F.lit(lanes)).cast("int").alias("lane")
+    kind = docs.schema["doc_id"].dataType
+    return (
+        rows.select("doc_id", "doc_key", "text", lane)
+        .groupBy("lane")
+        .cogroup(removals.groupBy("lane"))
+        .applyInArrow(
+            _clean(window, to_arrow_type(kind)),
+            f"doc_id {kind.simpleString()}, n_words long, removed array<struct<start:long,end:long>>, kept string",
+        )
     )
 
 
