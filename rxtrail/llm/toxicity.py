@@ -1,8 +1,9 @@
 """Toxic passages as maximal scoring segments over token log-odds.
 
 * Tokens are words, lower-cased and freed of marks at their ends. A word's features are the
-  word and its first 3 to 8 characters, hashed into a fixed number of buckets; a model is one
-  number per bucket, so its size is bounded. A token has the log-odds of its best feature.
+  word and its first 3 to 8 characters, hashed into a fixed number of buckets, which bounds
+  the model; it holds only buckets with positive log-odds, some hundreds here. A token has the
+  log-odds of its best feature.
 * Log-odds of a feature between toxic and clean training documents carry a Dirichlet prior in
   proportion to its count in the whole corpus, and are shrunk by three times their deviation,
   so a feature seen by chance scores nothing. Tokens with positive log-odds are the marked ones;
@@ -29,6 +30,7 @@ toxic or without clean training rows every token scores nothing.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from rxtrail.llm.shared import Memo, text_or_empty
 from rxtrail.sources.staging import Staging
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 22
 MOST_LABELS = 500_000
 PRIOR = 0.05
 SHARE = 0.1
@@ -58,10 +60,10 @@ def words_of(text: str) -> list[str]:
     return [w.strip(MARKS) for w in text.lower().split()]
 
 
-def features_of(word: str) -> np.ndarray:
+def features_of(word: str) -> list[int]:
     """Buckets of the word and of its beginnings."""
     names = [word, *("^" + word[:n] for n in PREFIXES if n <= len(word))]
-    return np.array([xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names], np.uint32)
+    return [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names]
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -102,8 +104,8 @@ def training_labels(labels: DataFrame, most: int) -> DataFrame:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often documents of a task have a feature: toxic, clean and all ones, by bucket."""
-    counts = np.zeros((3, BUCKETS), np.int64)
-    known = Memo(MEMO_WORDS, lambda word: features_of(word).tobytes())
+    counts = np.zeros((3, BUCKETS), np.int32)
+    known = Memo(MEMO_WORDS, lambda word: np.array(features_of(word), np.uint32).tobytes())
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             found = np.frombuffer(b"".join(map(known.__getitem__, words_of(text.as_py()))), np.uint32)
@@ -114,23 +116,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 counts[0 if toxic else 1][found] += times
     seen = np.flatnonzero(counts[2])
     yield pa.RecordBatch.from_arrays(
-        [pa.array(seen), *(pa.array(counts[i][seen]) for i in range(3))], ["bucket", "toxic", "clean", "all"]
+        [pa.array(seen.astype(np.int32)), *(pa.array(counts[i][seen]) for i in range(3))], ["bucket", "toxic", "clean", "all"]
     )
 
 
 class Model:
-    """Log-odds per bucket, and the constants of the extreme-value and logistic calibration."""
-
-    def __init__(self, toxic: np.ndarray, clean: np.ndarray, corpus: np.ndarray):
-        strength = max(1.0, PRIOR * (toxic.sum() + clean.sum()))
-        prior = strength * (corpus + 1e-9) / (corpus.sum() + 1e-9 * BUCKETS)
-        in_toxic, in_clean = toxic + prior, clean + prior
-        odds = np.log(in_toxic / (toxic.sum() + strength - in_toxic)) - np.log(
-            in_clean / (clean.sum() + strength - in_clean)
-        )
-        # Several times in one document are no independent evidence: counts weigh half here.
-        sure = np.maximum(0, odds - 3 * np.sqrt(2 / in_toxic + 2 / in_clean))
-        self.odds = np.minimum(sure, 20.0) * ((toxic.sum() > 0) & (clean.sum() > 0))
+    """Positive log-odds by bucket, and the constants of the extreme-value and logistic calibration."""
+
+    def __init__(self, odds: dict[int, float]):
+        self.odds = odds
         self.mean_excess = 1.0
         self.log_k = 0.0
         self.line = (-3.0, 1.0)
@@ -139,10 +133,13 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": None}
 
+    def _excess(self, word: str) -> float:
+        return math.expm1(max(self.odds.get(f, 0.0) for f in features_of(word)))
+
     def excess(self, text: str) -> np.ndarray:
         """By how much each token is commoner in toxic documents than in clean ones, over 1."""
         if self.known is None:
-            self.known = Memo(MEMO_WORDS, lambda word: float(np.expm1(self.odds[features_of(word)].max())))
+            self.known = Memo(MEMO_WORDS, self._excess)
         words = words_of(text)
         return np.fromiter(map(self.known.__getitem__, words), np.float64, len(words))
 
@@ -177,6 +174,21 @@ def fit_line(x: np.ndarray, n: np.ndarray, ones: np.ndarray) -> tuple[float, flo
     return float(beta[0]), max(0.0, float(beta[1]))
 
 
+def positive_odds(counts: DataFrame) -> dict[int, float]:
+    """Shrunk log-odds of the buckets that toxic documents favour for sure."""
+    toxic, clean, corpus = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("toxic", "clean", "all")]).first()
+    if not toxic or not clean:
+        return {}
+    strength = max(1.0, PRIOR * (toxic + clean))
+    prior = F.col("all") * (strength / corpus)
+    in_toxic, in_clean = F.col("toxic") + prior, F.col("clean") + prior
+    odds = F.log(in_toxic / (toxic + strength - in_toxic)) - F.log(in_clean / (clean + strength - in_clean))
+    # Several times in one document are no independent evidence: counts weigh half here.
+    sure = odds - 3 * F.sqrt(2 / in_toxic + 2 / in_clean)
+    rows = counts.where("toxic > 0").select("bucket", F.least(sure, F.lit(20.0)).alias("odds")).where("odds > 0")
+    return {row.bucket: row.odds for row in rows.toLocalIterator()}
+
+
 def fit(docs: DataFrame, labels: DataFrame, staging: Staging, most_labels: int = MOST_LABELS) -> Model:
     spark = docs.sparkSession
     # About most_labels rows of id and label: small enough to broadcast whatever the corpus.
@@ -186,15 +198,11 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, most_labels: int =
     joined = docs.select("doc_id", text).join(known, F.col("doc_id") == F.col("known_id"), "left")
     marked = joined.select("text", F.when(F.col("split") < 2, F.col("toxic").cast("int")).alias("toxic"))
     counts = (
-        marked.mapInArrow(_counts, "bucket long, toxic long, clean long, all long")
+        marked.mapInArrow(_counts, "bucket int, toxic int, clean int, all int")
         .groupBy("bucket")
         .agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "all")])
     )
-    table = counts.toPandas()  # at most BUCKETS rows
-    columns = np.zeros((3, BUCKETS))
-    for i, name in enumerate(("toxic", "clean", "all")):
-        columns[i][table["bucket"].to_numpy(np.int64)] = table[name].to_numpy()
-    model = Model(*columns)
+    model = Model(positive_odds(staging.write(counts, "counts")))
 
     rest = staging.write(joined.where("split = 3").select("text", F.col("toxic").cast("int").alias("toxic")), "rest")
 
