@@ -10,12 +10,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxtrail.llm import bpe, exact, mixing, quality, simhash, substring, tokenfile
+from rxtrail.llm import bpe, exact, html, mixing, pii, quality, simhash, substring, tokenfile, toxicity
 from rxtrail.llm.shared import documents, staging
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pii_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(documents(spark, sf_dir))
 
@@ -36,6 +40,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.report(documents(spark, sf_dir), TOKENIZER)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.report(documents(spark, sf_dir), staging(spark))
 
@@ -44,16 +52,24 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(documents(spark, sf_dir), staging(spark))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.report(documents(spark, sf_dir), labels, staging(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pii_trees,
         op2_substring_dedup,
         op3_token_store,
         op4_quality_rules,
         op5_simhash_dedup,
         op6_bpe_codec,
+        op7_html_text,
         op8_exact_dedup,
         op9_source_mix,
+        op10_toxicity,
     )
 }
 

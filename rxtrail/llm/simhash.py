@@ -273,7 +273,8 @@ def classes(docs: DataFrame, staging: Staging) -> DataFrame:
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     shared = staging.write(rooted.select("fp", "root").join(ids, "root"), "shared")
     lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
-    dealt = shared.select(F.col("fp").alias("of"), "root", "component_id", lanes.alias("lane"))
+    # A merge join: what is shared grows with the corpus, and the lanes multiply it.
+    dealt = shared.select(F.col("fp").alias("of"), "root", "component_id", lanes.alias("lane")).hint("merge")
     lane = F.pmod(F.xxhash64("place"), F.lit(LANES))
     alone = F.col("of").isNull()
     return prints.join(dealt, (F.col("fp") == F.col("of")) & (lane == F.col("lane")), "left").select(
@@ -296,7 +297,7 @@ def kept(docs: DataFrame, staging: Staging) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
     many = found.groupBy("root").agg(F.min(order).alias("stays"), F.count("*").alias("n")).where("n > 1")
     lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
-    many = many.select(F.col("root").alias("of"), "stays", lanes.alias("lane"))
+    many = many.select(F.col("root").alias("of"), "stays", lanes.alias("lane")).hint("merge")
     lane = F.pmod(F.xxhash64("place"), F.lit(LANES))
     dropped = found.join(many, (F.col("root") == F.col("of")) & (lane == F.col("lane"))).where(
         F.col("place") != F.col("stays.place")
