@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rxtrail.llm import bpe, exact, mixing, quality, simhash
 from rxtrail.llm.queries import TOKENIZER
-from rxtrail.llm.shared import documents, staging
+from rxtrail.llm.shared import documents, small_batches, staging
 
 ORACLE_SQL = None
 
@@ -25,7 +25,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.kept(docs, staging(spark))
+    return simhash.kept(docs, staging(small_batches(spark)))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,6 +33,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.report(docs, TOKENIZER)
 
 

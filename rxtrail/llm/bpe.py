@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.llm.shared import Memo, byte_symbols, text_or_empty
 
-MEMO_WORDS = 300_000
+MEMO_WORDS, MEMO_PARTS = 80_000, 200_000
 LONG = 256
 PIECE_WORDS = 1 << 15
 SHORT = 48
@@ -172,7 +172,7 @@ class Encoder:
     def __init__(self, model: BpeModel):
         self.model = model
         self.known = Memo(MEMO_WORDS, lambda word: array("I", self._word(word)).tobytes())
-        self.parts = Memo(MEMO_WORDS, lambda part: array("I", self._part(part)).tobytes())
+        self.parts = Memo(MEMO_PARTS, lambda part: array("I", self._part(part)).tobytes())
 
     def _part(self, part: str) -> Iterator[int]:
         """Ids of what the pattern finds as one."""

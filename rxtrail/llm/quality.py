@@ -84,11 +84,13 @@ def repeated_words(array: Column, window: int = WINDOW) -> Column:
 
 def line_fails(line: Column) -> Column:
     """Whether a line with words fails a rule."""
-    n_words = F.size(words(line))
+    return let(F.struct(F.size(words(line)).alias("n"), F.lower(line).alias("low")), lambda x: _fails(line, x["n"], x["low"]))
+
+
+def _fails(line: Column, n_words: Column, low: Column) -> Column:
     loud = F.regexp_count(line, F.lit("[!?]{2,}(?![^ \\t-\\r])"))
     alone = F.regexp_count(line, F.lit("(?<![^ \\t-\\r])[|»›•·](?![^ \\t-\\r])"))
     punctuation = (_symbols(line) * 10 >= _characters(line)) | (loud * 3 >= n_words)
-    low = F.lower(line)
     menu = (n_words <= 4) & low.rlike(f"^[ \\t-\\r]*({MENU_WORDS})([^a-z]|$)")
     return punctuation | (alone >= 3) | menu | low.rlike(BOILERPLATE)
 
@@ -150,7 +152,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
         "n_chars": F.when(same, F.col("doc.n_chars")).otherwise(F.length("verdict.clean")),
     }
     columns = [new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns]
-    return judged(docs).where("verdict.kept").select(columns)
+    # As a generator: a filter would be pushed down and judge every text a second time.
+    passed = F.explode(F.filter(F.array("verdict"), lambda v: v["kept"]))
+    return judged(docs).select("doc", passed.alias("verdict")).select(columns)
 
 
 SQL_REPORT = r"""

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rxtrail.llm import bpe, exact, html, mixing, pii, quality, simhash, substring, tokenfile, toxicity
-from rxtrail.llm.shared import documents, staging
+from rxtrail.llm.shared import documents, small_batches, staging
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,7 +41,7 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return html.extracted(small_batches(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,20 @@ ASCII_LOWER = str.maketrans(UPPER, LOWER)
 ONE_SPACE = str.maketrans(SPACES, " " * len(SPACES))
 
 
+#: Rows that go to a Python worker at once. Texts may be long, and a batch is held whole.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, unless they are smaller."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return small_batches(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def staging(spark: SparkSession) -> Staging:

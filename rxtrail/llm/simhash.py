@@ -91,8 +91,8 @@ def _remainder(words: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _cosets() -> tuple[np.ndarray, list[np.ndarray]]:
-    """Syndromes of all 23-bit words; by excess 0, 1, 2 and syndrome, the errors (padded with -1)."""
+def _cosets() -> list[np.ndarray]:
+    """By excess 0, 1, 2 and syndrome, the errors that lead to code words (padded with -1)."""
     tables = []
     for excess in range(DISTANCE + 1):
         weights = range(RADIUS + 1) if excess == 0 else [RADIUS + excess]
@@ -105,13 +105,13 @@ def _cosets() -> tuple[np.ndarray, list[np.ndarray]]:
         table = np.full((1 << CHECK_BITS, count.max()), -1, np.int64)
         table[at, place] = errors
         tables.append(table)
-    return _remainder(np.arange(1 << BLOCK_BITS)).astype(np.int16), tables
+    return tables
 
 
 def _reachable(block: np.ndarray) -> list[np.ndarray]:
     """Per excess, the code words (as their 12 leading bits, or -1) around each 23-bit word."""
-    syndromes, tables = _cosets()
-    errors = [t[syndromes[block]] for t in tables]
+    syndromes = _remainder(block)
+    errors = [t[syndromes] for t in _cosets()]
     return [np.where(e < 0, -1, (block[:, None] ^ e) >> CHECK_BITS) for e in errors]
 
 
