@@ -84,13 +84,11 @@ def repeated_words(array: Column, window: int = WINDOW) -> Column:
 
 def line_fails(line: Column) -> Column:
     """Whether a line with words fails a rule."""
-    return let(F.struct(F.size(words(line)).alias("n"), F.lower(line).alias("low")), lambda x: _fails(line, x["n"], x["low"]))
-
-
-def _fails(line: Column, n_words: Column, low: Column) -> Column:
+    n_words = F.size(words(line))
     loud = F.regexp_count(line, F.lit("[!?]{2,}(?![^ \\t-\\r])"))
     alone = F.regexp_count(line, F.lit("(?<![^ \\t-\\r])[|»›•·](?![^ \\t-\\r])"))
     punctuation = (_symbols(line) * 10 >= _characters(line)) | (loud * 3 >= n_words)
+    low = F.lower(line)
     menu = (n_words <= 4) & low.rlike(f"^[ \\t-\\r]*({MENU_WORDS})([^a-z]|$)")
     return punctuation | (alone >= 3) | menu | low.rlike(BOILERPLATE)
 
