@@ -182,7 +182,8 @@ repeated{s} AS (
     AND b.transaction_odu_id <> a.transaction_odu_id
     AND CAST(b.transaction_datetime AS DATE) <> CAST(a.transaction_datetime AS DATE)
     AND date_diff('month', a.transaction_datetime, b.transaction_datetime) BETWEEN -11 AND 11
-    AND a.rule NOT IN ('Pain Diet', 'DMOAD', 'Monoclonal Antibody', 'Anti-Inflammatory')
+    -- Fixed values: rules whose repeats are counted.
+    AND a.rule IN ('NSAIDs', 'Analgesic', 'Gabapentin & Tramadol', 'Supplements', 'Opiate', 'Alternative Therapies')
   WHERE a.transaction_datetime >= DATE '{as_of}' - INTERVAL 36 MONTH
   GROUP BY ALL
 ),
@@ -191,8 +192,10 @@ chronic{s} AS (
     greatest(odu_updated_at_utc, updated_at) AS odu_updated_at_utc, invoice_odu_id,
     transaction_datetime, rule, purchases
   FROM repeated{s}
-  WHERE rule IN ('Pain Diet', 'DMOAD', 'Monoclonal Antibody')
-    OR purchases >= CASE rule WHEN 'Alternative Therapies' THEN 3 ELSE 2 END
+  -- Fixed values: rules that must repeat, once or twice.
+  WHERE rule NOT IN ('NSAIDs', 'Anti-Inflammatory', 'Analgesic', 'Gabapentin & Tramadol', 'Supplements', 'Opiate', 'Alternative Therapies')
+    OR rule IN ('NSAIDs', 'Anti-Inflammatory', 'Analgesic', 'Gabapentin & Tramadol', 'Supplements', 'Opiate') AND purchases > 1
+    OR rule IN ('Alternative Therapies') AND purchases > 2
 )"""
 
 
@@ -246,10 +249,11 @@ QUERIES: dict[str, str] = {
     ),
     "chronic_purchases": _over_model("SELECT * FROM chronic"),
     "incremental_refresh": f"""WITH {CHRONIC_INPUTS},{TAG_CLASS},{model()},{model("2001-05-01", "_before")},
-        emitted AS (
-          SELECT * FROM chronic WHERE odu_updated_at_utc >=
+        news AS (
+          SELECT DISTINCT {_KEY}, rule FROM chronic WHERE odu_updated_at_utc >=
             (SELECT max(odu_updated_at_utc) - INTERVAL 24 HOUR FROM chronic_before)
-        )
+        ),
+        emitted AS (SELECT c.* FROM chronic c SEMI JOIN news USING ({_KEY}, rule))
         SELECT *, true AS is_refreshed FROM emitted
         UNION ALL
         SELECT *, false FROM chronic_before ANTI JOIN emitted USING ({_KEY}, rule)""",

@@ -2,9 +2,43 @@
 
 from __future__ import annotations
 
-from rxtrail.config import FIXED_IDS, SAMPLE_SETS
 from rxtrail.sources.derived import CATEGORIES, HIERARCHY, NO_CATEGORY, PRODUCTS
 
+# Fixed values, stated here once more so that a wrong id in the library shows.
+FIXED_IDS: dict[str, set[int]] = {
+    "joint_diet": {56},
+    "urinalysis": {60},
+    "exam": {7},
+    "vaccine": {16},
+    "analgesic": {78},
+    "anticonvulsant": {207, 208},
+    "antidepressant": {209},
+    "dmoad": {251},
+    "sedative": {260, 261},
+    "nsaid_category": {274},
+    "supplement": {285},
+}
+
+# Members of the test installation's sets, likewise.
+SAMPLE_SETS: dict[str, set[int]] = {
+    "anesthesia_hospitalization": {301, 302},
+    "analgesic_tag": {78},
+    "invalid_pain": {207, 208, 209, 260, 261, 310},
+    "alternative_therapy": {320, 321},
+    "anti_inflammatory": {330},
+    "antihistamine": {340},
+    "immunotherapy": {350},
+    "skin_topical": {360},
+    "opiate": {370},
+    "derm_steroid": {380},
+    "mab": {390},
+    "gabapentin_tramadol": {400, 401},
+    "nsaid": {274},
+    "antibiotic": {410},
+    "steroid": {420},
+    "dental_and_surgery": {430, 431},
+}
+
 
 def literal(value) -> str:
     if value is None:

@@ -34,7 +34,9 @@ _ORDER = ", ".join(
 _MODEL = f"""WITH {PAIN_PURCHASES},
 cohort AS (
   SELECT * FROM pain_purchases
-  WHERE (pain_type, category_name) = ('Chronic', 'NSAIDs') AND product_name NOT LIKE 'Other NSAID%'
+  -- Fixed values: the category, and the names that stand for no product.
+  WHERE pain_type = 'Chronic' AND category_name = 'NSAIDs'
+    AND product_name NOT IN ('Other NSAID', 'Other NSAID Inj')
 ),
 named AS (
   SELECT *, replace(product_name, ' Inj', '') AS base FROM (SELECT DISTINCT * FROM cohort)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,34 +24,12 @@ FIXED_IDS: dict[str, frozenset[int]] = {
     "supplement": frozenset({285}),
 }
 
-# The sets below differ per installation; these members are stand-ins used for tests.
-SAMPLE_SETS: dict[str, frozenset[int]] = {
-    "anesthesia_hospitalization": frozenset({301, 302}),
-    "analgesic_tag": frozenset({78}),
-    "invalid_pain": frozenset({207, 208, 209, 260, 261, 310}),
-    "alternative_therapy": frozenset({320, 321}),
-    "anti_inflammatory": frozenset({330}),
-    "antihistamine": frozenset({340}),
-    "immunotherapy": frozenset({350}),
-    "skin_topical": frozenset({360}),
-    "opiate": frozenset({370}),
-    "derm_steroid": frozenset({380}),
-    "mab": frozenset({390}),
-    "gabapentin_tramadol": frozenset({400, 401}),
-    "nsaid": frozenset({274}),
-    "antibiotic": frozenset({410}),
-    "steroid": frozenset({420}),
-    "dental_and_surgery": frozenset({430, 431}),
-}
-
-
 @dataclass(frozen=True)
 class SkewLimits:
     """When a key counts as hot, and what may be broadcast.
 
-    A key is hot from ``hot_rows`` rows on, or from ``rows / max_hot_keys`` where that
-    is more, so there are never more than ``max_hot_keys`` of them. A hot key is dealt
-    over one slot per ``hot_rows`` rows.
+    A key is hot from ``hot_rows`` rows on and dealt over one slot per ``hot_rows`` rows.
+    Up to ``max_hot_keys`` hot keys are broadcast; more are an error.
     """
 
     hot_rows: int = 250_000
@@ -61,7 +39,8 @@ class SkewLimits:
 
 @dataclass(frozen=True)
 class ChronicConfig:
-    sets: Mapping[str, frozenset[int]] = field(default_factory=lambda: SAMPLE_SETS)
+    # Members of the installation's category sets, by name; there is no default.
+    sets: Mapping[str, frozenset[int]]
     as_of: dt.date | None = None
     input_months: int = 49
     output_months: int = 36

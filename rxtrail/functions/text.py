@@ -18,12 +18,13 @@ def listing(names: Column) -> Column:
 
 def mentions(text: Column, name: Column) -> Column:
     """True if ``text`` holds ``name`` in any case; % and _ in the name are wildcards.
+    A backslash stands for itself.
 
     A pattern that differs from row to row is compiled for each, so names without wildcards
     are searched for as they are.
     """
-    is_plain = F.translate(name, "%_\\", "") == name
-    pattern = F.concat(F.lit("%"), name, F.lit("%"))
+    is_plain = F.translate(name, "%_", "") == name
+    pattern = F.concat(F.lit("%"), F.replace(name, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
     return F.when(is_plain, F.contains(F.lower(text), F.lower(name))).otherwise(
         F.ilike(text, pattern)
     )

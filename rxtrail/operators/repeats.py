@@ -27,7 +27,8 @@ def repeat_dates(dates: DataFrame, config: ChronicConfig, *kept: str) -> DataFra
     """Per therapy date: the number of other dates in reach, and the newest stamp on them.
 
     There is one row per date, so a frame never holds more rows than there are days, and
-    counting its rows counts distinct dates.
+    summing ``is_counted`` counts distinct dates. Purchases without an id are never another
+    purchase: they count no date and lend no stamp.
     """
     reach = config.repeat_months - 1
     months = Window.partitionBy(*THERAPY).orderBy("month")
@@ -42,7 +43,7 @@ def repeat_dates(dates: DataFrame, config: ChronicConfig, *kept: str) -> DataFra
         *THERAPY,
         "event_date",
         *kept,
-        (F.count(F.lit(1)).over(months.rangeBetween(-reach, reach)) - 1).alias("purchases"),
+        (F.sum("is_counted").over(months.rangeBetween(-reach, reach)) - F.col("is_counted")).alias("purchases"),
         F.greatest(*[F.max("stamp").over(frame) for frame in others]).alias("updated_at"),
     )
 
@@ -54,18 +55,29 @@ def repeats_in_place(survivors: DataFrame, is_wanted: Column, config: ChronicCon
         survivors.repartition(*PATIENT)
         .groupBy(*THERAPY, "event_date")
         .agg(
-            F.max("odu_updated_at_utc").alias("stamp"),
+            *_of_purchases(),
             F.collect_list(F.when(is_wanted, inside)).alias("rows"),
         )
     )
-    is_counted = F.col("rule").isin(*counted_rules(config))
-    return (
-        repeat_dates(dates, config, "rows")
-        .withColumn("purchases", F.when(is_counted, F.col("purchases")).otherwise(0))
-        .withColumn("updated_at", F.when(is_counted, F.col("updated_at")))
-        .select("*", F.inline("rows"))
-        .drop("rows")
-    )
+    rows = repeat_dates(dates, config, "rows").select("*", F.inline("rows")).drop("rows")
+    return _where_counted(rows, F.col("rule").isin(*counted_rules(config)))
+
+
+def _of_purchases() -> list[Column]:
+    """Of a date: the newest stamp of purchases with an id, and whether there is any."""
+    has_id = F.col("transaction_odu_id").isNotNull()
+    return [
+        F.max(F.when(has_id, F.col("odu_updated_at_utc"))).alias("stamp"),
+        F.max(has_id.cast("long")).alias("is_counted"),
+    ]
+
+
+def _where_counted(rows: DataFrame, is_counted: Column) -> DataFrame:
+    """Repeats of rows that have an id and meet the condition; none for others."""
+    is_counted = is_counted & F.col("transaction_odu_id").isNotNull()
+    return rows.withColumn(
+        "purchases", F.when(is_counted, F.coalesce("purchases", F.lit(0))).otherwise(0).cast("long")
+    ).withColumn("updated_at", F.when(is_counted, F.col("updated_at")))
 
 
 def repeats_by_lookup(
@@ -75,13 +87,11 @@ def repeats_by_lookup(
     dates = (
         survivors.where(F.col("rule").isin(*counted_rules(config)))
         .groupBy(*THERAPY, "event_date")
-        .agg(F.max("odu_updated_at_utc").alias("stamp"))
+        .agg(*_of_purchases())
     )
     key = [*THERAPY, "event_date"]
     rows = survivors.where(is_wanted)
-    return lookup_join(rows, repeat_dates(dates, config), key, hot_patients).fillna(
-        0, ["purchases"]
-    )
+    return _where_counted(lookup_join(rows, repeat_dates(dates, config), key, hot_patients), F.lit(True))
 
 
 def repeats_of_shared_ids(
@@ -96,7 +106,9 @@ def repeats_of_shared_ids(
     different purchases, are enough to leave any one purchase out, so a therapy's dates fit
     one bounded array.
     """
-    counted = survivors.where(F.col("rule").isin(*counted_rules(config)))
+    counted = survivors.where(F.col("rule").isin(*counted_rules(config))).where(
+        F.col("transaction_odu_id").isNotNull()
+    )
     sharing = rows.select(*THERAPY).distinct()
     on_date = Window.partitionBy(*THERAPY, "event_date").orderBy(
         F.col("stamp").desc_nulls_last(), "transaction_odu_id"

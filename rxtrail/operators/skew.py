@@ -40,18 +40,19 @@ def find_hot_keys(
 ) -> HotKeys | None:
     """Keys with too many rows for one task, or None where there are none.
 
-    Counting is a grouped aggregate; the list is written, so that every later use sees
-    the same keys, and holds at most ``max_hot_keys`` rows.
+    The rows are counted once, by a grouped aggregate whose hot keys are written: every
+    later use sees the same keys, and looking whether there are any reads the written copy.
+    The threshold does not grow with the data, so no task's share does; more than
+    ``max_hot_keys`` such keys (a table of 250 billion rows, all of them in hot keys) are
+    refused rather than broadcast.
     """
-    size = F.count(F.lit(1))
-    counts = rows.groupBy(*keys).agg(size.alias("n_rows"))
-    total = rows.agg(size).scalar()
-    threshold = F.greatest(F.lit(limits.hot_rows), total / limits.max_hot_keys)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     slots = F.ceil(F.col("n_rows") / limits.hot_rows).cast("int").alias("n_slots")
-    hot = counts.where(F.col("n_rows") >= threshold).select(*keys, slots)
-    if hot.isEmpty():
-        return None
-    return HotKeys(tuple(keys), staging.write(hot, "hot_keys"))
+    hot = staging.write(counts.where(F.col("n_rows") >= limits.hot_rows).select(*keys, slots), "hot_keys")
+    n_hot = hot.count()
+    if n_hot > limits.max_hot_keys:
+        raise ValueError(f"{n_hot} hot keys of {', '.join(keys)}: raise hot_rows or max_hot_keys")
+    return HotKeys(tuple(keys), hot) if n_hot else None
 
 
 def equi_join(

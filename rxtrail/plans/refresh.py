@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
@@ -22,21 +22,25 @@ def is_fresh(target: DataFrame, config: ChronicConfig) -> Column:
     return first_run | (F.col("odu_updated_at_utc") >= newest)
 
 
-def fresh_rows(result: DataFrame, target: DataFrame | None, config: ChronicConfig) -> DataFrame:
-    return result if target is None else result.where(is_fresh(target, config))
+def rows_with_news(result: DataFrame, target: DataFrame | None, config: ChronicConfig) -> DataFrame:
+    """The rows of every purchase and rule of which a row is fresh."""
+    if target is None:
+        return result
+    has_news = F.max(is_fresh(target, config)).over(Window.partitionBy(*KEY))
+    return result.withColumn("has_news", has_news).where("has_news").drop("has_news")
 
 
 def refreshed_rows(
     inputs: ChronicInputs, target: DataFrame | None, config: ChronicConfig, staging: Staging
 ) -> DataFrame:
-    """The fresh rows of a new run, computed only for patients who can have any.
+    """All current rows of purchases and rules that have a fresh one.
 
-    A row's stamp is that of a line of its patient, so patients without a fresh line have no
-    fresh row.
+    Those rows replace the stored ones, so the ones that aren't fresh come along. A row's
+    stamp is that of a line of its patient, so only patients with a fresh line are run.
     """
     fresh = None if target is None else is_fresh(target, config)
     model = ChronicModel(inputs, config, staging, only_patients_with=fresh)
-    return fresh_rows(model.chronic_purchases(), target, config)
+    return rows_with_news(model.chronic_purchases(), target, config)
 
 
 def merged(target: DataFrame | None, emitted: DataFrame) -> DataFrame:
@@ -66,8 +70,12 @@ def refresh_table(
     new_path: str,
     old_path: str | None = None,
 ) -> None:
-    """Write the next version of the output beside the previous one, which is left alone."""
+    """Write the next version of the output beside the previous one, which is left alone.
+
+    The run's intermediate tables are removed, also on failure.
+    """
     spark = inputs.transactions.sparkSession
     target = read_relation(spark, "chronic_purchases", old_path) if old_path else None
-    emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
-    write_output(merged(target, emitted), new_path)
+    with staging:
+        emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
+        write_output(merged(target, emitted), new_path)

@@ -160,7 +160,7 @@ def random_chronic_tables(seed: int, n_lines: int = 1500) -> dict[str, list[dict
             "l2": pick.choice([251, 410, 420] + [2002] * 12),
             "top": pick.choice([16, 430, 431] + [2003] * 15),
         }
-        row = line(id, when, pick.choice([number, number, number, pick.randrange(40)]), **levels)
+        row = line(id, when, pick.choice([number, number, number, pick.randrange(40), None]), **levels)
         row["practice_odu_id"] = pick.choice([10, 10, 10, 11, 12])
         row["server_odu_id"] = pick.choice([1, 1, 1, 2])
         row["invoice_odu_id"] = pick.choice([number // 4, pick.randrange(30), None])
@@ -216,6 +216,9 @@ PRODUCTS = [
     ("Gamma%", "gamma", True),
     ("Other NSAID", None, False),
     (None, "gamma", True),
+    ("Beta\\cox", "beta", True),
+    ("Delta\\", "delta", False),
+    ("Other NSAID Chew", "alpha", False),
 ]
 
 

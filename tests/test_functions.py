@@ -59,4 +59,6 @@ def test_product_names(spark):
     assert value(spark, text.mentions(F.lit("Alphafen Inj, X"), F.lit("alphaFEN")))
     assert value(spark, text.mentions(F.lit("Alphafen"), F.lit("A_pha%")))
     assert not value(spark, text.mentions(F.lit(""), F.lit("Alphafen")))
-    assert value(spark, text.mentions(F.lit("50%"), F.lit("0\\%")))
+    assert not value(spark, text.mentions(F.lit("50%"), F.lit("0\\%")))
+    assert value(spark, text.mentions(F.lit("x beta\\cox"), F.lit("Beta\\cox")))
+    assert value(spark, text.mentions(F.lit("x beta\\cox"), F.lit("Bet_\\cox")))

@@ -11,10 +11,11 @@ from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources import derived
 from rxtrail.sources.relations import ChronicInputs
+from rxtrail.sources.derived import SAMPLE_SETS
 from rxtrail.sources.staging import Staging
 
 SF = "/root/testdata/sf0.001"
-CONFIG = ChronicConfig(as_of=dt.date(2001, 8, 1))
+CONFIG = ChronicConfig(sets=SAMPLE_SETS, as_of=dt.date(2001, 8, 1))
 
 
 class Plans(Staging):

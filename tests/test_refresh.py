@@ -1,19 +1,22 @@
 import datetime as dt
 from dataclasses import replace
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
 from rxtrail.config import ChronicConfig, SkewLimits
 from rxtrail.plans.chronic import ChronicModel
-from rxtrail.plans.refresh import fresh_rows, merged, refresh_table, refreshed_rows
+from rxtrail.plans.refresh import merged, refresh_table, refreshed_rows, rows_with_news
 from rxtrail.sources import derived
 from rxtrail.sources.relations import RELATIONS, conform, read_chronic_inputs, read_relation
-from rxtrail.sources.staging import Staging, checkpoint_root
+from rxtrail.sources.derived import SAMPLE_SETS
+from rxtrail.sources.staging import Staging, shared_folder
+from tests import samples
 from tests.samples import moment
 
 SF = "/root/testdata/sf0.001"
-CONFIG = ChronicConfig(as_of=dt.date(2001, 8, 1))
+CONFIG = ChronicConfig(sets=SAMPLE_SETS, as_of=dt.date(2001, 8, 1))
 SCHEMA = RELATIONS["chronic_purchases"]
 NEWEST = dt.datetime(2001, 6, 2, 12)
 
@@ -34,14 +37,14 @@ def test_overlap_of_a_day(spark):
     result = output(
         spark, (1, NEWEST), (2, NEWEST - 23 * hour), (3, NEWEST - 25 * hour), (4, None)
     )
-    emitted = fresh_rows(result, target, CONFIG)
+    emitted = rows_with_news(result, target, CONFIG)
     assert stamps(emitted) == {1: NEWEST, 2: NEWEST - 23 * hour}
     assert stamps(merged(target, emitted)) == stamps(emitted)
 
 
 def test_rows_that_left_the_result_stay(spark):
     target = output(spark, (1, NEWEST), (2, NEWEST))
-    emitted = fresh_rows(output(spark, (1, NEWEST)), target, CONFIG)
+    emitted = rows_with_news(output(spark, (1, NEWEST)), target, CONFIG)
     assert stamps(merged(target, emitted)) == {1: NEWEST, 2: NEWEST}
 
 
@@ -49,7 +52,7 @@ def test_rows_that_left_the_result_stay(spark):
 def test_first_run(spark, empty):
     result = output(spark, (1, NEWEST), (2, None))
     target = output(spark) if empty else None
-    assert stamps(fresh_rows(result, target, CONFIG)) == stamps(result)
+    assert stamps(rows_with_news(result, target, CONFIG)) == stamps(result)
 
 
 def test_stored_refresh(spark, tmp_path):
@@ -72,7 +75,7 @@ def test_only_patients_with_news_are_run(spark, skew):
     target = whole.staging.write(
         whole.chronic_purchases().where("odu_updated_at_utc < '2001-06-15'"), "target"
     )
-    wanted = fresh_rows(whole.chronic_purchases(), target, config).collect()
+    wanted = rows_with_news(whole.chronic_purchases(), target, config).collect()
     found = refreshed_rows(inputs, target, config, Staging(spark)).collect()
     assert sorted(found) == sorted(wanted) and wanted
 
@@ -97,7 +100,7 @@ def test_contract(spark):
 
 def test_stages_go_to_the_folder_the_session_names(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
-    assert checkpoint_root(spark) == folder
+    assert shared_folder(spark) == folder
     assert Staging(spark).folder.startswith(folder)
 
 
@@ -105,4 +108,19 @@ def test_a_cluster_must_name_a_shared_folder():
     conf = SimpleNamespace(get=lambda key, default: default)
     context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))
+        shared_folder(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+@pytest.mark.parametrize("skew", [SkewLimits(), SkewLimits(hot_rows=2)], ids=["plain", "hot"])
+def test_an_id_on_two_dates_survives_a_refresh(spark, tmp_path, skew):
+    days = {7: ["2000-01-01", "2000-03-01"], 8: ["2000-02-01"]}
+    lines = [samples.tagged_line(390, 1, moment(d), id) for id, dates in days.items() for d in dates]
+    tables = samples.random_chronic_tables(1, 1) | {"transactions": lines}
+    inputs, config = samples.chronic_inputs(spark, tables), replace(CONFIG, skew=skew)
+    paths = [None, str(tmp_path / "a"), str(tmp_path / "b")]
+    for old, new in zip(paths, paths[1:], strict=False):
+        staging = Staging(spark)
+        refresh_table(inputs, config, staging, new, old)
+        assert not Path(staging.folder.removeprefix("file:")).exists()
+    rows = [sorted(read_relation(spark, "chronic_purchases", p).collect()) for p in paths[1:]]
+    assert rows[0] == rows[1] and len(rows[0]) == 3

@@ -7,6 +7,7 @@ import pytest
 
 from rxtrail.config import ChronicConfig
 from rxtrail.plans.chronic import ChronicModel
+from rxtrail.sources.derived import SAMPLE_SETS
 from rxtrail.sources.staging import Staging
 from tests.samples import (
     AS_OF,
@@ -60,7 +61,7 @@ def admitted(trigger: int) -> dict:
 
 def model(spark, tables, **config) -> ChronicModel:
     return ChronicModel(
-        chronic_inputs(spark, tables), ChronicConfig(as_of=AS_OF, **config), Staging(spark)
+        chronic_inputs(spark, tables), ChronicConfig(sets=SAMPLE_SETS, as_of=AS_OF, **config), Staging(spark)
     )
 
 
