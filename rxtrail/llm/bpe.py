@@ -171,18 +171,31 @@ class Encoder:
 
     def __init__(self, model: BpeModel):
         self.model = model
-        self.known = Memo(MEMO_WORDS, lambda word: array("I", self._word(word)).tobytes())
-        self.parts = Memo(MEMO_PARTS, lambda part: array("I", self._part(part)).tobytes())
+        self.known = Memo(MEMO_WORDS, self._short_word)
+        self.parts = Memo(MEMO_PARTS, self._short_part)
+
+    def _short_part(self, part: str) -> bytes:
+        """Ids of a part that fits the transducer's buffer: all of it is read before any is due."""
+        data = part.encode("utf-8", "replace")
+        symbols = [self.model.inner[b] for b in data]
+        symbols[-1] = self.model.final[data[-1]]
+        return array("I", merge_all(symbols, self.model)).tobytes()
+
+    def _short_word(self, word: str) -> bytes:
+        if self.model.special and self.model.special.search(word):
+            return array("I", self._word(word)).tobytes()
+        found = self.model.pattern.findall(word.lower() if word.isascii() else self.model.normalise(word))
+        return b"".join(map(self.parts.__getitem__, found))
 
     def _part(self, part: str) -> Iterator[int]:
-        """Ids of what the pattern finds as one."""
+        """Ids of what the pattern finds as one, of any length."""
         data = part.encode("utf-8", "replace")
         way = Transducer(self.model)
         yield from way.feed(data[:-1])
         yield from way.finish(data[-1])
 
     def _word(self, word: str) -> Iterator[int]:
-        """Ids of a text without blanks and line feeds."""
+        """Ids of a text without blanks and line feeds, of any length."""
         last = 0
         for m in self.model.special.finditer(word) if self.model.special else ():
             yield from self._plain(word[last : m.start()])
