@@ -114,7 +114,7 @@ def test_a_cluster_must_name_a_shared_folder():
 @pytest.mark.parametrize("skew", [SkewLimits(), SkewLimits(hot_rows=2)], ids=["plain", "hot"])
 def test_an_id_on_two_dates_survives_a_refresh(spark, tmp_path, skew):
     days = {7: ["2000-01-01", "2000-03-01"], 8: ["2000-02-01"]}
-    lines = [samples.tagged_line(390, 1, moment(d), id) for id, dates in days.items() for d in dates]
+    lines = [samples.tagged_line(390, 0, moment(d), id) for id, dates in days.items() for d in dates]
     tables = samples.random_chronic_tables(1, 1) | {"transactions": lines}
     inputs, config = samples.chronic_inputs(spark, tables), replace(CONFIG, skew=skew)
     paths = [None, str(tmp_path / "a"), str(tmp_path / "b")]
