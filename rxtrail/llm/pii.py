@@ -295,16 +295,19 @@ def fit(docs: DataFrame) -> Trees:
 def select(text: str, trees: Trees) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans: base ones with the best-scored others that overlap none."""
     base = base_spans(text)
-    others = [c for c in candidates(text, base) if c[:3] not in base] if trees.trees else []
+    fixed = set(base)
+    others = [c for c in candidates(text, base) if c[:3] not in fixed] if trees.trees else []
     if not others:
         return base, base
     scores = trees.scores(np.array([features(text, *c[:3]) for c in others]))
     good = [(-s, c[:3]) for s, c in zip(scores.tolist(), others, strict=True) if s >= trees.thresholds[c[0]]]
-    taken = sorted((a, b) for _, a, b in base)
+    taken = bytearray(len(text))  # a mark per character, so that many spans cost no more each
+    for _, a, b in base:
+        taken[a:b] = b"\1" * (b - a)
     added = []
     for _, (kind, a, b) in sorted(good):
-        if all(b <= x or y <= a for x, y in taken):
-            taken.append((a, b))
+        if 1 not in taken[a:b]:
+            taken[a:b] = b"\1" * (b - a)
             added.append((kind, a, b))
     return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))
 

@@ -71,6 +71,10 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+#: Longer keys are not remembered, which bounds a memo in bytes and not in entries only.
+LONGEST_KEY = 256
+
+
 class Memo(dict):
     """Values by key, at most about twice ``size`` of them: the recent ones in two generations."""
 
@@ -79,6 +83,8 @@ class Memo(dict):
         self.size, self.make, self.old = size, make, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST_KEY:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)

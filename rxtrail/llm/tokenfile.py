@@ -100,7 +100,8 @@ class WordEncoder:
     The normalizer makes every run of white space one blank and the pre-tokenizer drops blanks,
     so no token spans one: a text's ids are those of its words in turn. The library is asked
     for a word's core: letters are lower-cased by the normalizer anyway, and a sentence mark
-    after a letter is a word of its own to the pre-tokenizer.
+    after a letter is a word of its own to the pre-tokenizer. Special tokens are found before
+    letters are lower-cased, so words that would turn into one are left as they are.
     """
 
     def __init__(self, path: str):
@@ -112,6 +113,7 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.symbols = byte_symbols()
         self.known = Memo(MEMO_WORDS, self._word)
 
@@ -122,7 +124,7 @@ class WordEncoder:
             low = word.lower()
             if len(low) > 1 and low[-1] in ".,!?;:" and low[:-1].isalpha():
                 return self.known[low[:-1]] + self.known[low[-1]]
-            if low != word:
+            if low != word and not any(s in low for s in self.special):
                 return self.known[low]
             if word.isalpha():  # one word to the pre-tokenizer, and in normal form already
                 symbols = "".join(map(self.symbols.__getitem__, word.encode()))

@@ -220,6 +220,26 @@ def test_pii(docs):
         assert r.redacted == "[EMAIL], [IP], [CARD], [PHONE]"
 
 
+def test_added_spans_overlap_neither_base_spans_nor_each_other(monkeypatch):
+    trees = pii.Trees(trees=[[]], thresholds=dict.fromkeys(pii.KINDS, 0.5))
+    monkeypatch.setattr(pii.Trees, "scores", lambda self, x: np.full(len(x), 0.9))
+    text = " ".join(f"call (803) 555-{i % 7000 + 1000} token=abcdef0123456789{i} +1 (803) 555-5351 4111 1111 1111 1111" for i in range(3000))
+    base, every = pii.select(text, trees)
+    assert set(base) <= set(every) and len(every) > len(base)
+    spans = sorted((a, b) for _, a, b in set(every) - set(base))
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+    covered = {i for _, a, b in base for i in range(a, b)}
+    assert not covered & {i for a, b in spans for i in range(a, b)}
+
+
+def test_memo_is_bounded():
+    memo = shared.Memo(10, len)
+    long = "x" * (shared.LONGEST_KEY + 1)
+    assert memo[long] == len(long) and long not in memo
+    assert [memo[str(i)] for i in range(25)] == [len(str(i)) for i in range(25)]
+    assert len(memo) + len(memo.old) <= 20
+
+
 def test_trees_learn_and_calibrate():
     pick = np.random.default_rng(5)
     x = pick.normal(size=(3000, 4))
