@@ -208,6 +208,14 @@ def over_tables(query: str) -> str:
     return QUERIES[query].replace(CHRONIC_INPUTS + ",", "")
 
 
+_REFRESHED = f"""WITH {CHRONIC_INPUTS},{TAG_CLASS},{model()},{model("2001-05-01", "_before")},
+        news AS (
+          SELECT DISTINCT {_KEY}, rule FROM chronic WHERE odu_updated_at_utc >=
+            (SELECT max(odu_updated_at_utc) - INTERVAL 24 HOUR FROM chronic_before)
+        ),
+        emitted AS (SELECT c.* FROM chronic c SEMI JOIN news USING ({_KEY}, rule))"""
+
+
 QUERIES: dict[str, str] = {
     "pain_universe": _over_model(
         """SELECT DISTINCT server_odu_id, practice_odu_id, patient_odu_id, species,
@@ -248,13 +256,12 @@ QUERIES: dict[str, str] = {
           greatest(odu_updated_at_utc, updated_at) AS newest_at FROM repeated"""
     ),
     "chronic_purchases": _over_model("SELECT * FROM chronic"),
-    "incremental_refresh": f"""WITH {CHRONIC_INPUTS},{TAG_CLASS},{model()},{model("2001-05-01", "_before")},
-        news AS (
-          SELECT DISTINCT {_KEY}, rule FROM chronic WHERE odu_updated_at_utc >=
-            (SELECT max(odu_updated_at_utc) - INTERVAL 24 HOUR FROM chronic_before)
-        ),
-        emitted AS (SELECT c.* FROM chronic c SEMI JOIN news USING ({_KEY}, rule))
+    "incremental_refresh": f"""{_REFRESHED}
         SELECT *, true AS is_refreshed FROM emitted
         UNION ALL
         SELECT *, false FROM chronic_before ANTI JOIN emitted USING ({_KEY}, rule)""",
+    "stored_refresh": f"""{_REFRESHED}
+        SELECT * FROM emitted
+        UNION ALL
+        SELECT * FROM chronic_before ANTI JOIN emitted USING ({_KEY}, rule)""",
 }

@@ -116,3 +116,4 @@ QUERIES: dict[str, str] = {
           AND n.island_id = i.island_id - 1 AND (i.switch_yn OR i.brand_name_switch_yn)
         ORDER BY i.patient_odu_id, i.transaction_datetime""",
 }
+QUERIES["stored_switch_report"] = QUERIES["nsaid_switching"]

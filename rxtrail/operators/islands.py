@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.operators.skew import HotKeys, lookup_join
 from rxtrail.operators.switching import ITEM
-from rxtrail.operators.timeline import previous_value, running_max, running_total
-from rxtrail.sources.staging import Staging
+from rxtrail.operators.timeline import Pieces, previous_value, running_max, running_total
 
 STEP = ("patient_odu_id", "transaction_datetime", "practice_odu_id", "species", "product_name")
 ISLAND = ("patient_odu_id", "island_id")
@@ -33,7 +32,7 @@ def purchase_steps(items: DataFrame) -> DataFrame:
     )
 
 
-def number_islands(steps: DataFrame, by_day: Staging | None) -> DataFrame:
+def number_islands(steps: DataFrame, pieces: Pieces | None) -> DataFrame:
     """Add each step's previous purchase times, island, and the length of the one before."""
     time, patient = "transaction_datetime", ["patient_odu_id"]
     of_species = [*patient, "species"]
@@ -43,7 +42,7 @@ def number_islands(steps: DataFrame, by_day: Staging | None) -> DataFrame:
         [time, "practice_odu_id", "product_name"],
         time,
         "previous_purchase",
-        by_day,
+        pieces,
     )
     rows = previous_value(
         rows,
@@ -51,30 +50,32 @@ def number_islands(steps: DataFrame, by_day: Staging | None) -> DataFrame:
         [time, "practice_odu_id"],
         time,
         "last_purchase_of_product",
-        by_day,
+        pieces,
     )
     goes_on = F.col("last_purchase_of_product") == F.col("previous_purchase")
     rows = rows.withColumn("starts", F.when(goes_on, 0).otherwise(1))
 
     order = [time, "practice_odu_id", "species", "product_name"]
-    rows = running_total(rows, patient, order, "starts", "island_id", by_day)
-    rows = running_total(rows, patient, order, "n_rows", "so_far", by_day)
+    if pieces is not None:
+        rows = pieces.cut(rows, patient, order)
+    rows = running_total(rows, patient, order, "starts", "island_id", pieces)
+    rows = running_total(rows, patient, order, "n_rows", "so_far", pieces)
     starts_after = F.when(F.col("starts") == 1, F.col("so_far") - F.col("n_rows"))
     rows = rows.withColumn("starts_after", starts_after)
     rows = running_max(
-        rows, patient, order, "starts_after", "one_before", by_day, including_this=False
+        rows, patient, order, "starts_after", "one_before", pieces, including_this=False
     )
     # Starts only grow, so the greatest is the latest.
     length = (F.col("starts_after") - F.col("one_before")).alias("length")
     left = F.when(F.col("starts") == 1, F.struct("starts_after", length))
-    rows = running_max(rows.withColumn("left", left), patient, order, "left", "latest", by_day)
+    rows = running_max(rows.withColumn("left", left), patient, order, "left", "latest", pieces)
     return rows.withColumn("previous_purchases", F.col("latest.length")).drop(
-        "starts", "so_far", "starts_after", "one_before", "left", "latest"
+        "_piece", "starts", "so_far", "starts_after", "one_before", "left", "latest"
     )
 
 
-def items_on_islands(items: DataFrame, by_day: Staging | None) -> DataFrame:
-    steps = number_islands(purchase_steps(items), by_day)
+def items_on_islands(items: DataFrame, pieces: Pieces | None) -> DataFrame:
+    steps = number_islands(purchase_steps(items), pieces)
     return steps.drop("n_rows").select("*", F.inline("items")).drop("items")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,24 +111,32 @@ def dimension_join(
     """Join a dimension of a few fixed-width columns to rows whose copies do not matter.
 
     It is counted first: up to ``broadcast_rows`` rows it is broadcast and the rows do not
-    move; beyond that copies are dropped, and both sides shuffle with the hot keys of
-    ``rows`` dealt over slots.
+    move. Beyond that rows shuffle by key; those without a key match nothing and stay where
+    they are, and those of hot keys are dealt over slots, without their copies, which would
+    all go to one. ``rows`` are read once for each of these, so they should be a scan of the
+    columns needed, or stored.
     """
     if dimension.count() <= limits.broadcast_rows:
         return rows.join(F.broadcast(dimension), list(keys), how)
-    rows = rows.distinct()
-    hot = find_hot_keys(rows.dropna(subset=list(keys)), keys, limits, staging)
-    if hot is None:
-        # Still deal out the rows without a key, of which there may be many.
-        none = dimension.select(*keys, F.lit(1).alias("n_slots")).where(F.lit(False))
-        hot = HotKeys(tuple(keys), none)
-    return lookup_join(rows, dimension, keys, hot, how)
+    has_key = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    keyed = rows.where(has_key)
+
+    def join(part: DataFrame, is_hot: bool) -> DataFrame:
+        if is_hot:
+            return lookup_join(part.distinct(), dimension, keys, hot, how)
+        return equi_join(part, dimension, keys, how)
+
+    hot = find_hot_keys(keyed, keys, limits, staging)
+    joined = per_key(keyed, hot, join)
+    if how == "left_semi":
+        return joined
+    return joined.unionByName(rows.where(~has_key), allowMissingColumns=True)
 
 
 def per_key(
     rows: DataFrame, hot: HotKeys | None, work: Callable[[DataFrame, bool], DataFrame]
 ) -> DataFrame:
-    """Run ``work(rows, by_day)``, with ``by_day`` set only for the rows of hot keys."""
+    """Run ``work(rows, is_hot)``, with ``is_hot`` set only for the rows of hot keys."""
     if hot is None:
         return work(rows, False)
     return work(hot.within(rows, inside=False), False).unionByName(work(hot.within(rows), True))

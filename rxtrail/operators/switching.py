@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.config import SwitchConfig
 from rxtrail.functions.text import base_product, listing, mentions
-from rxtrail.operators.timeline import previous_value
-from rxtrail.sources.staging import Staging
+from rxtrail.operators.timeline import Pieces, previous_value
 
 VISIT = ("practice_odu_id", "patient_odu_id", "transaction_datetime")
 ITEM = (*VISIT, "species", "product_name", "drug", "is_brand_name")
@@ -42,7 +41,7 @@ def other_names(names: Column, product: Column, config: SwitchConfig) -> Column:
     return F.filter(names, lambda name: base_product(name, config.injectable_suffix) != own)
 
 
-def visits(items: DataFrame, by_day: Staging | None, config: SwitchConfig) -> DataFrame:
+def visits(items: DataFrame, pieces: Pieces | None, config: SwitchConfig) -> DataFrame:
     """One row per visit: its items, and the time and items of the visit before.
 
     Each item comes with ``same_day_products``, the list of the other products. A visit
@@ -64,7 +63,7 @@ def visits(items: DataFrame, by_day: Staging | None, config: SwitchConfig) -> Da
         .withColumn("visit", F.struct(F.col("transaction_datetime").alias("time"), "items"))
     )
     keys, time = ["practice_odu_id", "patient_odu_id"], ["transaction_datetime"]
-    compared = previous_value(described, keys, time, "visit", "previous", by_day)
+    compared = previous_value(described, keys, time, "visit", "previous", pieces)
     has_previous = is_known & F.col("previous.time").isNotNull()
     return compared.select(
         *VISIT,
@@ -113,10 +112,10 @@ def switches() -> Column:
 
 
 def switched_items(
-    purchases: DataFrame, by_day: Staging | None, config: SwitchConfig
+    purchases: DataFrame, pieces: Pieces | None, config: SwitchConfig
 ) -> DataFrame:
     """Items with what was bought with them, the time before, and their switches."""
-    seen = visits(purchase_items(purchases), by_day, config)
+    seen = visits(purchase_items(purchases), pieces, config)
     return (
         seen.select(*VISIT, "previous_purchase_date", "previous_items", F.inline("items"))
         .withColumn("replaced", switched_from(config))

@@ -15,6 +15,7 @@ from rxtrail.sources.relations import ChronicInputs
 from rxtrail.sources.staging import Staging
 
 PATIENT = ("server_odu_id", "patient_odu_id")
+PRACTICE = ("server_odu_id", "practice_odu_id")
 CATALOG_ITEM = ("catalog_source_server_odu_id", "catalog_odu_id")
 
 LEAF, LEVEL_3 = "revenue_category_odu_id", "level_3_revenue_category_id"
@@ -42,6 +43,18 @@ KEPT = {
     TOP: ("dental_and_surgery", "vaccine"),
 }
 
+# What the steps after the first filter read of a line.
+LINE = (
+    *PATIENT,
+    "practice_odu_id",
+    "transaction_datetime",
+    "odu_updated_at_utc",
+    "invoice_odu_id",
+    "transaction_odu_id",
+    *CATALOG_ITEM,
+    *KEPT,
+)
+
 # The first level with a member gives the tag; a wanted catalog tag comes before all.
 TAGGED = {
     LEAF: (
@@ -85,11 +98,10 @@ def at_whitelisted_practices(
     listed = practice_info.where(
         (F.col("timeframe") == "Current Year") & (F.col("patient_type") == "Non Home Delivery")
     )
-    practice = ["server_odu_id", "practice_odu_id"]
     return dimension_join(
         lines,
-        listed.select(*practice).distinct(),
-        practice,
+        listed.select(*PRACTICE).distinct(),
+        PRACTICE,
         config.skew,
         staging,
         how="left_semi",
@@ -131,11 +143,13 @@ def freshness() -> Column:
 
 
 def relevant_lines(inputs: ChronicInputs, config: ChronicConfig, staging: Staging) -> DataFrame:
-    """The lines of any species that matter. With small dimensions, rows never move."""
-    lines = recent_revenue_lines(inputs.transactions, config)
-    lines = at_whitelisted_practices(lines, inputs.practice_info, config, staging)
-    lines = with_catalog_tags(lines, inputs.catalog_tags, config, staging)
-    return lines.where(is_relevant(config))
+    """The lines of any species that matter. With small dimensions, rows never move.
+
+    The list of practices comes last, so that a large one moves relevant lines alone.
+    """
+    lines = recent_revenue_lines(inputs.transactions, config).select(*LINE)
+    lines = with_catalog_tags(lines, inputs.catalog_tags, config, staging).where(is_relevant(config))
+    return at_whitelisted_practices(lines, inputs.practice_info, config, staging)
 
 
 def tagged_lines(lines: DataFrame, config: ChronicConfig) -> DataFrame:

@@ -35,15 +35,16 @@ class ChronicModel:
 
     def practice_whitelist(self) -> DataFrame:
         """Distinct lines of whitelisted practices."""
-        lines = universe.at_whitelisted_practices(
-            self.inputs.transactions, self.inputs.practice_info, self.config, self.staging
-        )
-        return lines.select(*PURCHASE, "practice_odu_id").distinct()
+        lines = self.inputs.transactions.select(*PURCHASE, "practice_odu_id")
+        return universe.at_whitelisted_practices(
+            lines, self.inputs.practice_info, self.config, self.staging
+        ).distinct()
 
     def tag_assignment(self) -> DataFrame:
         """Distinct lines with their tag."""
+        lines = self.inputs.transactions.select(*universe.LINE)
         lines = universe.with_catalog_tags(
-            self.inputs.transactions, self.inputs.catalog_tags, self.config, self.staging
+            lines, self.inputs.catalog_tags, self.config, self.staging
         )
         tagged = universe.tagged_lines(lines, self.config)
         return tagged.select(*PURCHASE, "tag", "odu_updated_at_utc").distinct()

@@ -1,13 +1,16 @@
-"""Refreshing the chronic model's stored output."""
+"""Writing both models' output, and refreshing that of the chronic model."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
 from rxtrail.operators.skew import equi_join
 from rxtrail.plans.chronic import ChronicModel
+from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.relations import ChronicInputs, read_relation
 from rxtrail.sources.staging import Staging
 
@@ -51,18 +54,25 @@ def merged(target: DataFrame | None, emitted: DataFrame) -> DataFrame:
     return kept.unionByName(emitted)
 
 
-def write_output(frame: DataFrame, path: str) -> None:
-    """Write purchases by month of event, large months over several files."""
+def write_output(frame: DataFrame, path: str, spread: Sequence[str] = KEY) -> None:
+    """Write purchases by month of event, large months over several files by ``spread``."""
     month = F.date_format("transaction_datetime", "yyyy-MM")
     (
         frame.withColumn("event_month", month)
-        .repartitionByRange("event_month", *KEY)
+        .repartitionByRange("event_month", *spread)
         .sortWithinPartitions("event_month", "patient_odu_id", "transaction_datetime")
         .write.partitionBy("event_month")
         .parquet(path)
     )
 
 
+def write_switching_report(model: SwitchModel, path: str) -> None:
+    """Write the switching report; the run's intermediate tables are removed, also on failure."""
+    with model.staging:
+        visit = ["patient_odu_id", "transaction_datetime", "product_name", "revenue"]
+        write_output(model.nsaid_switching(ordered=False), path, visit)
+
+
 def refresh_table(
     inputs: ChronicInputs,
     config: ChronicConfig,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rxtrail.config import SwitchConfig
 from rxtrail.operators import islands, switching
 from rxtrail.operators.skew import HotKeys, find_hot_keys, per_key
+from rxtrail.operators.timeline import Pieces
 from rxtrail.sources.relations import RELATIONS
 from rxtrail.sources.staging import Staging
 
@@ -44,24 +45,24 @@ class SwitchModel:
             self.hot_patients.within(self.purchases), keys, self.config.skew, self.staging
         )
 
-    def _switched(self, purchases: DataFrame, by_day: Staging | None) -> DataFrame:
-        return switching.switched_items(purchases, by_day, self.config)
+    def _switched(self, purchases: DataFrame, pieces: Pieces | None) -> DataFrame:
+        return switching.switched_items(purchases, pieces, self.config)
 
-    def _on_islands(self, purchases: DataFrame, by_day: Staging | None) -> DataFrame:
-        items = self._switched(purchases, by_day).drop("same_day_products")
-        if by_day is not None:
-            items = by_day.write(items, "switched")
-        return islands.items_on_islands(items, by_day)
+    def _on_islands(self, purchases: DataFrame, pieces: Pieces | None) -> DataFrame:
+        items = self._switched(purchases, pieces).drop("same_day_products")
+        if pieces is not None:
+            items = pieces.staging.write(items, "switched")
+        return islands.items_on_islands(items, pieces)
 
     def _per_patient(self, work) -> DataFrame:
         """Work on the purchases' items; one shuffle by patient serves all that ``work`` does.
 
-        Only patients too long for a task go day by day, with shuffles of their own.
+        Only patients too long for a task go piece by piece, with shuffles of their own.
         """
 
         def prepared(rows: DataFrame, is_hot: bool) -> DataFrame:
             if is_hot:
-                return work(rows, self.staging)
+                return work(rows, Pieces(self.staging, self.config.skew.hot_rows))
             return work(rows.repartition(*PATIENT), None)
 
         return per_key(self.purchases.select(*switching.ITEM), self.hot_patients, prepared)

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from rxtrail.config import ChronicConfig, SwitchConfig
+from rxtrail.config import ChronicConfig, SkewLimits, SwitchConfig
 from rxtrail.operators import universe
 from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.switching import SwitchModel
@@ -84,6 +84,30 @@ def test_chronic(spark, no_automatic_broadcast, stored):
     assert final.count("Exchange") == final.count(by_patient) == 1
 
 
+def test_large_dimensions(spark, no_automatic_broadcast, stored):
+    """Joined by shuffle: narrow lines, no copies dropped by whole rows, relevant ones last."""
+    staging = Plans(spark)
+    config = ChronicConfig(
+        sets=SAMPLE_SETS, as_of=CONFIG.as_of, skew=SkewLimits(hot_rows=10_000_000, broadcast_rows=0)
+    )
+    model = ChronicModel(stored, config, staging)
+    staging.plans["tag_assignment"] = plan(model.tag_assignment())
+    assert not model.tagged.isEmpty()
+    tagged = staging.plans["tagged"]
+    for text in (tagged, staging.plans["tag_assignment"]):
+        assert "BroadcastHashJoin" not in text and "SinglePartition" not in text
+        # Lines with an item and their tags move by item, once each.
+        assert text.count("Exchange hashpartitioning(catalog_source_server_odu_id, catalog_odu_id") == 2
+    by_practice = "Exchange hashpartitioning(server_odu_id, practice_odu_id"
+    for moved in (m.start() for m in re.finditer(re.escape(by_practice), tagged)):
+        above = tagged[moved : moved + 2500]
+        assert above.index("Filter") < above.index("FileScan")
+    # No copies of lines are dropped, and their descriptions never move.
+    assert "HashAggregate(keys=[server_odu_id, patient_odu_id" not in tagged
+    for line in tagged.split("\n"):
+        assert "description" not in line or re.search(r"- (\* )?(Filter|FileScan)", line), line
+
+
 def test_filters_and_columns_reach_the_scan(spark, stored):
     lines = universe.recent_revenue_lines(stored.transactions, CONFIG)
     text = plan(lines.select("patient_odu_id"))

@@ -2,7 +2,11 @@
 
 import datetime as dt
 
-from rxtrail.config import SwitchConfig
+import pytest
+from pyspark.sql import functions as F
+
+from rxtrail.config import SkewLimits, SwitchConfig
+from rxtrail.operators.timeline import Pieces
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.staging import Staging
 from tests.samples import moment, purchase, purchases_frame
@@ -92,3 +96,28 @@ def test_islands(spark):
     assert [row.island_id for row in found] == [1, 1, 2, 2, 2, 3]
     lengths = {r.island_id: r.previous_purchases for r in model.island_lengths().collect()}
     assert lengths == {1: 2, 2: 3, 3: 1}
+
+
+@pytest.mark.parametrize("patient", [1, None])
+def test_one_busy_day_in_pieces(spark, patient):
+    """A history of one day is cut too, and the pieces go on from one another."""
+    noon = moment("2000-01-01")
+    rows = [
+        purchase(patient, noon + dt.timedelta(seconds=i // 2 * (i > 9)), (ALPHA, ALPHA, BETA, GENERIC_ALPHA)[i % 4], practice_odu_id=10 + i % 2)
+        for i in range(40)
+    ]
+    found = []
+    for skew in (SkewLimits(), SkewLimits(hot_rows=9)):
+        model = SwitchModel(purchases_frame(spark, rows), SwitchConfig(skew=skew), Staging(spark))
+        assert (model.hot_patients is None) == (skew.hot_rows > 9)
+        found.append(sorted(map(str, model.product_islands().collect())))
+    assert found[0] == found[1] and found[0]
+
+
+def test_pieces_are_no_longer_than_asked(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("1 AS key", "timestamp'2000-01-01' AS time", "id AS place")
+    cut = Pieces(Staging(spark, str(tmp_path)), 500).cut(rows, ["key"], ["time", "place"])
+    pieces = cut.groupBy("_piece").agg(F.count("*").alias("n"), F.min("place").alias("a"), F.max("place").alias("z"))
+    pieces = sorted(pieces.collect())
+    assert len(pieces) == 8 and max(p.n for p in pieces) < 1000
+    assert all(before.z < after.a for before, after in zip(pieces, pieces[1:], strict=False))
