@@ -166,7 +166,8 @@ class Bucket:
         step = max(1, (1 << 21) // max(1, len(self.homes)))
         for i in range(0, len(fps), step):
             some = fps[i : i + step]
-            near = np.bitwise_count(some[:, None] ^ self.homes[None, :]) <= DISTANCE
+            # Of signed numbers, bitwise_count counts the bits of the absolute value.
+            near = np.bitwise_count((some[:, None] ^ self.homes[None, :]).view(np.uint64)) <= DISTANCE
             for x, row in zip(some[(n := near.sum(axis=1)) > 0].tolist(), near[n > 0], strict=True):
                 homes = self.homes[row].tolist()
                 if homes[0] != x:

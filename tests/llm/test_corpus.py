@@ -164,6 +164,17 @@ def test_simhash_links_in_crowded_anchors(spark):
         assert label == wanted
 
 
+def test_simhash_links_pairs_that_differ_in_the_sign_bit(spark):
+    pick = random.Random(11)
+    base = lambda: pick.getrandbits(64)
+    near = [(x, x ^ 1 << 63 ^ (1 << k if k < 63 else 0)) for k in range(64) for x in [base()]]
+    far = [(x, x ^ flip) for flip in (0b111 << 61, (1 << 18) - 1 << 46) for x in [base()]]
+    prints = [p - (p >> 63 << 64) for pair in near + far for p in pair]
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long")
+    found = {frozenset((r.u % 2**64, r.v % 2**64)) for r in simhash.links(frame, shared.staging(spark)).collect()}
+    assert found == {frozenset(pair) for pair in near}
+
+
 def test_bpe(docs):
     found = Counter(tuple(r) for r in bpe.report(docs, TOKENIZER).collect())
     wanted = Counter()
