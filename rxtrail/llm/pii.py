@@ -50,9 +50,9 @@ _AT = re.compile(
 )
 _NUMBER = re.compile(r"\(?[0-9][0-9 ().\-/]{5,30}[0-9]")
 _SECRET = re.compile(
-    r"(?i)\b(?:token|secret|password|passwd|pwd|api[_ -]?key|access[_ -]?key|key)\b\s{0,3}(?:=|:|is)\s{0,3}[\"']?([^\s\"']{6,200})"
+    r"(?i)\b(?:token|secret|password|passwd|pwd|api[_ -]?key|access[_ -]?key|key)\b\s{0,3}(?:=|:|is)\s{0,3}[\"']?([^\s\"']{6,})"
 )
-_HEX = re.compile(r"\b(?=[0-9a-fA-F]{0,40}[0-9])[0-9a-fA-F]{24,128}\b")
+_HEX = re.compile(r"\b(?=[a-fA-F]*+[0-9])[0-9a-fA-F]{24,}+\b")
 
 CUES = {
     "email": re.compile(r"(?i)e-?mail|contact|write to|mailto"),

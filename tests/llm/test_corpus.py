@@ -243,6 +243,19 @@ def test_added_spans_overlap_neither_base_spans_nor_each_other(monkeypatch):
     assert not covered & {i for a, b in spans for i in range(a, b)}
 
 
+def test_long_secrets_are_proposed_and_redacted_whole(monkeypatch):
+    trees = pii.Trees(trees=[[]], thresholds=dict.fromkeys(pii.KINDS, 0.5))
+    monkeypatch.setattr(pii.Trees, "scores", lambda self, x: np.full(len(x), 0.9))
+    pick = random.Random(3)
+    token = "".join(pick.choice("GHJKLMNPQRSTUVWXYZ_-") for _ in range(603))
+    keys = ["a" * 60 + "0123456789abcdef" * 9, "0" + "b" * 128, "c0ffee" * 200_000]
+    for text, secret in [(f"token={token} end", token), *((f"see {k} end", k) for k in keys)]:
+        start = text.index(secret)
+        assert ("secret", start, start + len(secret)) in {c[:3] for c in pii.candidates(text, pii.base_spans(text))}
+    for text in (f"token={token} end", f"see {keys[1]} end"):
+        assert pii.redacted(text, pii.select(text, trees)[1]) in ("token=[SECRET] end", "see [SECRET] end")
+
+
 def test_memo_is_bounded():
     memo = shared.Memo(10, len)
     long = "x" * (shared.LONGEST_KEY + 1)
