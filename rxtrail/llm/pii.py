@@ -9,8 +9,10 @@ kind, chosen on candidates kept out of the fit for a precision of 99 %, selects
 Base matches of the four fixed patterns are always redacted; the trees add spans beside them.
 There are no hand-made labels, so training labels are weak: base matches and quoted secrets
 are positive, candidates that fail their checks are negative, what can't be told is left out
-of the fit and only scored. The fit uses at most about ``SAMPLE_DOCS`` documents drawn by hash
-and ``SAMPLE_ROWS`` candidates; scoring covers every document.
+of the fit and only scored. A quarter of the texts, by hash, is held out. The fit uses at most
+``SAMPLE_ROWS`` candidates of the others, an equal share for each kind and label, so that rare
+kinds are met at any size of the corpus; thresholds come from all held-out candidates. Both count
+candidates that are alike in span, context and label once. Scoring covers every document.
 
 Defined results: a null text counts as empty and has no spans; positions are code points, end
 exclusive; patterns run in time linear in the text. Spans are listed by kind, then start.
@@ -20,20 +22,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxtrail.llm.shared import text_or_empty
+from rxtrail.llm.shared import staging, text_or_empty
+from rxtrail.sources.staging import Staging
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE_KINDS = KINDS[:4]
-SAMPLE_DOCS, SAMPLE_ROWS = 100_000, 50_000
+SAMPLE_ROWS = 50_000
 PRECISION = 0.99
+#: Least scores of the bins that thresholds are taken from: log-odds in steps of 1/64.
+SCORE_BINS = 1 / (1 + np.exp(-np.arange(-1024, 1024) / 64))
 CONTEXT = 32
 TREES, DEPTH, RATE, BINS = 40, 3, 0.3, 32
 
@@ -248,47 +255,129 @@ class Trees:
         return best[1], best[2]
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Per kind, the least score from which on ``PRECISION`` of held-out candidates are right."""
-        scores = self.scores(x)
+        """Thresholds from candidates at hand."""
+        kinds, bins = x[:, 0].astype(int).tolist(), score_bins(self.scores(x)).tolist()
+        self.set_thresholds(Counter(zip(kinds, bins, y.astype(int).tolist(), strict=True)))
+
+    def set_thresholds(self, counts: dict[tuple[int, int, int], int]) -> None:
+        """Per kind, the least score from which on ``PRECISION`` of held-out candidates are right.
+
+        Counts are by number of the kind, score bin and label; a bin is taken whole or not at all.
+        """
         for i, kind in enumerate(KINDS):
-            order = np.argsort(-scores[x[:, 0] == i])
-            s, right = scores[x[:, 0] == i][order], y[x[:, 0] == i][order]
-            precise = np.flatnonzero(np.cumsum(right) >= PRECISION * np.arange(1, len(s) + 1))
-            self.thresholds[kind] = max(0.5, float(s[precise[-1]])) if len(precise) else 2.0
+            right, every, self.thresholds[kind] = 0, 0, 2.0
+            for b in sorted({b for k, b, _ in counts if k == i}, reverse=True):
+                right += counts.get((i, b, 1), 0)
+                every += counts.get((i, b, 0), 0) + counts.get((i, b, 1), 0)
+                if right >= PRECISION * every:
+                    self.thresholds[kind] = max(0.5, float(SCORE_BINS[b]))
 
 
-def fit(docs: DataFrame) -> Trees:
-    """Trees from a bounded sample of weakly labelled candidates."""
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+def score_bins(scores: np.ndarray) -> np.ndarray:
+    """The last of ``SCORE_BINS`` that each score reaches, else the first."""
+    return np.maximum(np.searchsorted(SCORE_BINS, scores, "right") - 1, 0)
+
+
+def candidate_hash(text: str, kind: str, start: int, end: int, label: int) -> int:
+    """64 bits of all that features and label depend on, so that copies are one candidate."""
+    parts = kind, str(label), text[max(0, start - CONTEXT) : start], text[start:end], text[end : end + CONTEXT]
+    return xxhash.xxh64_intdigest("\0".join(f"{len(p)}:{p}" for p in parts).encode())
+
+
+def _labelled(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, str, int, int]]:
+    """Hash, number of the kind, label, text, start and end of what has a label."""
+    for text in batch.column(0):
+        text = text.as_py()
+        for kind, start, end, label in candidates(text, base_spans(text)):
+            if label >= 0:
+                yield candidate_hash(text, kind, start, end, label), KINDS.index(kind), label, text, start, end
+
+
+def _lowest(most: int):
+    """Per task, kind and label, the ``most`` different candidates of the least hashes."""
+
+    def pruned(some: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+        return {h: some[h] for h in sorted(some)[:most]}
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], dict[int, np.ndarray]] = {}
+        bound: dict[tuple[int, int], int] = {}
         for batch in batches:
-            found, labels, parts = [], [], []
-            for text in batch.column(0):
-                text = text.as_py()
-                part = int(hashlib.md5(text.encode()).hexdigest()[:6], 16) % 4
-                for kind, start, end, label in candidates(text, base_spans(text)):
-                    if label >= 0:
-                        found.append(features(text, kind, start, end))
-                        labels.append(label)
-                        parts.append(part)
+            for h, kind, label, text, start, end in _labelled(batch):
+                some = held.setdefault((kind, label), {})
+                if h in some or h > bound.get((kind, label), h):
+                    continue
+                some[h] = np.array(features(text, KINDS[kind], start, end))
+                if len(some) >= 2 * most:
+                    held[kind, label] = some = pruned(some)
+                    bound[kind, label] = max(some)
+        for (kind, label), some in held.items():
+            hashes = list(pruned(some))
+            for i in range(0, len(hashes), 1000):
+                part = hashes[i : i + 1000]
+                n = len(part)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind] * n, pa.int32()), pa.array([label] * n, pa.int32()),
+                     pa.array([64 - h.bit_length() for h in part], pa.int32()),
+                     pa.array(np.array(part, np.uint64).view(np.int64)),
+                     pa.array([some[h] for h in part], pa.list_(pa.float64()))],
+                    ["kind", "label", "level", "h", "x"],
+                )
+
+    return of
+
+
+def draw(texts: DataFrame, store: Staging, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most ``most`` different candidates of each kind and label."""
+    rows = store.write(texts.mapInArrow(_lowest(most), "kind int, label int, level int, h long, x array<double>"), "labelled")
+    # A level holds half as many hashes as the one before, so the highest ones that hold enough are few.
+    counts = rows.select("kind", "label", "level", "h").distinct().groupBy("kind", "label", "level").count().collect()
+    taken = F.lit(False)
+    for kind, label in {(r.kind, r.label) for r in counts}:
+        size = {r.level: r["count"] for r in counts if (r.kind, r.label) == (kind, label)}
+        least = max((v for v in size if sum(n for w, n in size.items() if w >= v) >= most), default=0)
+        taken |= (F.col("kind") == kind) & (F.col("label") == label) & (F.col("level") >= least)
+    data = rows.where(taken).dropDuplicates(["kind", "label", "h"]).toPandas()
+    # By hash as an unsigned number.
+    data = data.iloc[np.argsort(data["h"].to_numpy(np.int64).view(np.uint64), kind="stable")]
+    data = data.groupby(["kind", "label"], sort=True).head(most)
+    x = np.stack(data["x"].to_numpy()) if len(data) else np.empty((0, 0))
+    return x, data["label"].to_numpy(float)
+
+
+def held_out_counts(texts: DataFrame, trees: Trees) -> dict[tuple[int, int, int], int]:
+    """How many different candidates of all texts have each kind, score bin and label."""
+    shared = texts.sparkSession.sparkContext.broadcast(trees)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {c[0]: c[1:] for c in _labelled(batch)}
+            x = np.array([features(text, KINDS[kind], a, b) for kind, _, text, a, b in found.values()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.list_(pa.float64())), pa.array(labels, pa.int32()), pa.array(parts, pa.int32())],
-                ["x", "label", "part"],
-            )
+                [pa.array([c[0] for c in found.values()], pa.int32()),
+                 pa.array(score_bins(shared.value.scores(x)).astype(np.int32)),
+                 pa.array([c[1] for c in found.values()], pa.int32()),
+                 pa.array(np.array(list(found), np.uint64).view(np.int64))],
+                ["kind", "bin", "label", "h"],
+            )
+
+    scored = texts.mapInArrow(of, "kind int, bin int, label int, h long").distinct()
+    return {(r.kind, r.bin, r.label): r["count"] for r in scored.groupBy("kind", "bin", "label").count().collect()}
 
-    text = text_or_empty("text").alias("text")
-    drawn = F.pmod(F.xxhash64("text", F.lit("pii sample")), F.lit(1 << 20)) < round(share * (1 << 20))
-    sample = docs.select(text).where(drawn).mapInArrow(rows, "x array<double>, label int, part int")
-    order = F.xxhash64("x", "label", "part")
-    data = sample.orderBy(order).limit(SAMPLE_ROWS).toPandas()
-    trees = Trees()
-    if not len(data) or data["label"].nunique() < 2:
+
+def fit(docs: DataFrame) -> Trees:
+    """Trees from a bounded draw of weakly labelled candidates, thresholds from all held-out ones."""
+    texts = docs.select(text_or_empty("text").alias("text"))
+    held = F.pmod(F.xxhash64("text", F.lit("pii part")), F.lit(4)) == 0
+    trees, most = Trees(), SAMPLE_ROWS // (2 * len(KINDS))
+    with staging(docs.sparkSession) as store:
+        x, y = draw(texts.where(~held), store, most)
+        if len(set(y)) < 2:  # a small table
+            x, y = draw(texts, store, most)
+    if len(set(y)) < 2:
         return trees
-    x, y = np.stack(data["x"].to_numpy()), data["label"].to_numpy(float)
-    held = data["part"].to_numpy() == 0
-    trees.fit(x[~held], y[~held]) if (~held).any() else trees.fit(x, y)
-    trees.calibrate(x[held], y[held])
+    trees.fit(x, y)
+    trees.set_thresholds(held_out_counts(texts.where(held), trees))
     return trees
 
 

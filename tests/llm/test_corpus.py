@@ -256,6 +256,24 @@ def test_long_secrets_are_proposed_and_redacted_whole(monkeypatch):
         assert pii.redacted(text, pii.select(text, trees)[1]) in ("token=[SECRET] end", "see [SECRET] end")
 
 
+def test_rare_kinds_get_a_threshold_beside_common_ones_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 400)
+    pick = random.Random(4)
+    secret = lambda: "".join(pick.choice("ABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(24))
+    some = [f"order {pick.randrange(10**8, 10**9)} of {i}.{i}.{i}.{pick.randrange(400)}, call +1 (803) 555-{i:04}" for i in range(2500)]
+    some += [f'the token = "{secret()}" is kept' for _ in range(60)] + [f"the key is aaaaaaaa{i % 7}" for i in range(60)]
+    some += [" ".join(f"ticket {i}555 0{i}2 00{i}" for i in range(10, 60))] * 1300
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "doc_id long, text string").repartition(4)
+    trees = pii.fit(frame)
+    assert trees.thresholds["secret"] < 1
+    texts = frame.select("text")
+    x, y = pii.draw(texts, shared.staging(spark), 40)
+    assert max(Counter(zip(x[:, 0], y, strict=True)).values()) == 40
+    assert sum((x[:, 0] == pii.KINDS.index("secret")) & (y == 1)) == 40
+    counts = pii.held_out_counts(texts, trees)
+    assert sum(n for (kind, _, label), n in counts.items() if pii.KINDS[kind] == "secret" and label) == 60
+
+
 def test_memo_is_bounded():
     memo = shared.Memo(10, len)
     long = "x" * (shared.LONGEST_KEY + 1)
