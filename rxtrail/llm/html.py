@@ -9,15 +9,16 @@ one blank line between paragraphs, headings, lists and tables, indents lists wit
 numbers, keeps preformatted text, and aligns the cells of a table in columns.
 
 Defined results: a null or empty page has no text; text outside any tag is shown; unclosed
-tags, comments and scripts end with the page; nesting beyond ``DEEPEST`` levels is rendered at
-that level; a cell wider than ``WIDEST`` does not widen its column.
+tags, comments and scripts end with the page; nesting may have any depth, but lines are indented
+for ``DEEPEST`` levels of lists and quotes at most; a cell wider than ``WIDEST`` is wrapped within
+its column unless it is the last of its row; columns in which no cell begins take no room.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -61,6 +62,7 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'<>`]+)))?""")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
+_WHOLE = re.compile(r"[ \t\n\f\r]*\+?0*([0-9]+)")
 
 
 @dataclass
@@ -123,17 +125,19 @@ def build(page: str) -> Node:
     """The tree of a page, with implied end tags."""
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = {}  # of each open tag, so that no search walks a deep stack
 
     def close_to(depth: int) -> None:
+        for node in stack[depth:]:
+            places[node.tag].pop()
         del stack[depth:]
 
+    def last(names: set[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     def innermost(names: set[str], barrier: set[str]) -> int:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                return i
-            if stack[i].tag in barrier:
-                break
-        return 0
+        at = last(names)
+        return at if at >= last(barrier) else 0
 
     for kind, value, rest in tokens(page):
         if kind == "text":
@@ -148,7 +152,8 @@ def build(page: str) -> Node:
             found = {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in _ATTRIBUTE.findall(rest)} if rest else {}
             node = Node(value, found)
             stack[-1].children.append(node)
-            if value not in VOID and not (rest.endswith("/") and value in ("svg", "math")) and len(stack) < DEEPEST:
+            if value not in VOID and not (rest.endswith("/") and value in ("svg", "math")):
+                places.setdefault(value, []).append(len(stack))
                 stack.append(node)
         elif value == "br":
             stack[-1].children.append(Node("br"))
@@ -170,11 +175,59 @@ def unseen(node: Node) -> bool:
     )
 
 
+@dataclass
+class Indented:
+    """Lines of a list item (with its mark) or of a quote, put together in the end."""
+
+    mark: str
+    lines: list[str | Indented]
+
+
+def flat(lines: list[str | Indented]) -> list[str]:
+    """Lines as text: a mark leads the first line, as many blanks the others that are not empty."""
+    out: list[str] = []
+    open_blocks = [(iter(lines), "")]
+    lead: list[str] = []  # what goes before the first line of the blocks just begun
+    solid = 0  # how much of it goes before an empty line as well: up to the last mark
+    while open_blocks:
+        items, indent = open_blocks[-1]
+        item = next(items, None)
+        if item is None:
+            open_blocks.pop()
+        elif isinstance(item, Indented):
+            lead = lead or [indent]
+            lead.append(item.mark)
+            solid = len(lead) if item.mark.strip() else solid
+            deeper = indent + " " * len(item.mark) if len(open_blocks) <= DEEPEST else indent
+            open_blocks.append((iter(item.lines), deeper))
+        else:
+            out.append("".join(lead or [indent]) + item if item else "".join(lead[:solid]))
+            lead, solid = [], 0
+    return out
+
+
+#: A step of the layout hands its parts to `finished` instead of calling them, and is sent what they return.
+Step = Generator["Step", list, list]
+
+
+def finished(step: Step) -> list:
+    """What a step returns, with an explicit stack: pages may be nested deeper than calls."""
+    steps, value = [step], None
+    while steps:
+        try:
+            steps.append(steps[-1].send(value))
+            value = None
+        except StopIteration as end:
+            steps.pop()
+            value = end.value
+    return value
+
+
 class Page:
     """Lines of text with pending breaks: 1 ends a line, 2 leaves a blank one."""
 
     def __init__(self) -> None:
-        self.lines: list[str] = []
+        self.lines: list[str | Indented] = []
         self.line = ""
         self.gap = 0
         self.space = False
@@ -209,18 +262,18 @@ class Page:
         self.lines.append(self.line.rstrip())
         self.line, self.space, self.gap = "", False, 1
 
-    def verbatim(self, lines: list[str]) -> None:
+    def verbatim(self, lines: list[str | Indented]) -> None:
         self.begin()
         self.lines.extend(lines)
 
-    def finish(self) -> list[str]:
+    def finish(self) -> list[str | Indented]:
         self.block(0)
         while self.lines and not self.lines[-1]:
             self.lines.pop()
         return self.lines
 
 
-def lay_out(nodes: list[Node | str], page: Page) -> None:
+def lay_out(nodes: list[Node | str], page: Page) -> Step:
     for node in nodes:
         if isinstance(node, str):
             page.inline(node)
@@ -235,118 +288,149 @@ def lay_out(nodes: list[Node | str], page: Page) -> None:
         elif node.tag in BLOCKS:
             gap = 2 if node.tag in SPACED else 1
             page.block(gap)
-            _block(node, page)
+            yield _block(node, page)
             page.block(gap)
         elif node.tag in ("td", "th"):
             page.inline(" ")
-            lay_out(node.children, page)
+            yield lay_out(node.children, page)
             page.inline(" ")
         else:
-            lay_out(node.children, page)
+            yield lay_out(node.children, page)
 
 
-def _inside(nodes: list[Node | str]) -> list[str]:
+def _inside(nodes: list[Node | str]) -> Step:
     page = Page()
-    lay_out(nodes, page)
+    yield lay_out(nodes, page)
     return page.finish()
 
 
-def _block(node: Node, page: Page) -> None:
+def _block(node: Node, page: Page) -> Step:
     if node.tag in ("ul", "ol", "menu"):
-        _list(node, page)
+        yield _list(node, page)
     elif node.tag == "table":
-        page.verbatim(_table(node))
+        page.verbatim((yield _table(node)))
     elif node.tag == "pre":
         text = _plain(node).expandtabs(8).strip("\n")
         page.verbatim([line.rstrip() for line in text.split("\n")] if text.strip() else [])
     elif node.tag in ("blockquote", "dd"):
-        page.verbatim([f"  {line}" if line else "" for line in _inside(node.children)])
+        lines = yield _inside(node.children)
+        page.verbatim([Indented("  ", lines)] if lines else [])
     elif node.tag == "details" and "open" not in node.attributes:
-        lay_out([c for c in node.children if isinstance(c, Node) and c.tag == "summary"], page)
+        yield lay_out([c for c in node.children if isinstance(c, Node) and c.tag == "summary"], page)
     else:
-        lay_out(node.children, page)
+        yield lay_out(node.children, page)
 
 
-def _list(node: Node, page: Page) -> None:
+def _list(node: Node, page: Page) -> Step:
     start = node.attributes.get("start", "1")
     number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
     for child in node.children:
         if isinstance(child, str) or child.tag != "li":
-            lay_out([child], page)
+            yield lay_out([child], page)
             continue
         if unseen(child):
             continue
         page.block(1)
         mark = f"{number}. " if node.tag == "ol" else "- "
         number += 1
-        lines = _inside(child.children)
+        lines = yield _inside(child.children)
         if lines:
-            page.verbatim([mark + lines[0], *(" " * len(mark) + x if x else "" for x in lines[1:])])
+            page.verbatim([Indented(mark, lines)])
 
 
 def _plain(node: Node) -> str:
-    parts = []
-    for child in node.children:
-        if isinstance(child, str):
+    parts, left = [], [iter(node.children)]
+    while left:
+        child = next(left[-1], None)
+        if child is None:
+            left.pop()
+        elif isinstance(child, str):
             parts.append(child)
         elif child.tag == "br":
             parts.append("\n")
         elif not unseen(child):
-            parts.append(_plain(child))
+            left.append(iter(child.children))
     return "".join(parts)
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    for child in node.children:
+def _rows(node: Node, section: int = 0) -> Iterator[tuple[int, Node]]:
+    """Rows with the number of their section."""
+    for i, child in enumerate(node.children, 1):
         if isinstance(child, Node) and not unseen(child):
             if child.tag == "tr":
-                yield child
+                yield section, child
             elif child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+                yield from _rows(child, i)
 
 
-def _span(cell: Node, name: str) -> int:
-    value = cell.attributes.get(name, "1")
-    return min(100, max(1, int(value))) if re.fullmatch(r"[0-9]{1,4}", value) else 1
+def _span(cell: Node, name: str, least: int, most: int) -> int:
+    found = _WHOLE.match(cell.attributes.get(name, "1"))
+    return min(most, max(least, int(found[1][:6]))) if found else 1
 
 
-def _table(node: Node) -> list[str]:
+def _wrapped(text: str) -> list[str]:
+    """A cell's text in lines of up to ``WIDEST`` characters; only longer words are broken."""
+    lines, line = [], ""
+    for word in text.split(" "):
+        if line and len(line) + 1 + len(word) > WIDEST:
+            lines.append(line)
+            line = word
+        else:
+            line = f"{line} {word}" if line else word
+        if len(line) > WIDEST:
+            parts = [line[i : i + WIDEST] for i in range(0, len(line), WIDEST)]
+            lines += parts[:-1]
+            line = parts[-1]
+    return [*lines, line]
+
+
+def _table(node: Node) -> Step:
     """A table's caption and rows, cells padded to their columns; stray text comes first."""
     loose = [c for c in node.children if isinstance(c, str) or c.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col")]
-    out = _inside(loose)
+    out = yield _inside(loose)
     grid: list[dict[int, str]] = []
-    below: dict[int, int] = {}  # columns taken by cells from rows above
-    for row in _rows(node):
-        cells, column = {}, 0
+    above: list[tuple[int, int, int]] = []  # first column, end and last row of cells from rows above
+    before = 0
+    for number, (section, row) in enumerate(_rows(node)):
+        # Cells end with their section.
+        above = [a for a in above if a[2] >= number] if section == before else []
+        before, new = section, []
+        cells, column, passed = {}, 0, 0
         for cell in row.children:
             if isinstance(cell, str) and not cell.strip() or isinstance(cell, Node) and unseen(cell):
                 continue
-            while below.get(column, 0) > 0:
-                column += 1
+            while passed < len(above) and above[passed][0] <= column:
+                column = max(column, above[passed][1])
+                passed += 1
             inside = cell.children if isinstance(cell, Node) and cell.tag in ("td", "th") else [cell]
-            cells[column] = " ".join(x.strip() for x in _inside(inside) if x)
-            wide, high = (_span(cell, "colspan"), _span(cell, "rowspan")) if isinstance(cell, Node) else (1, 1)
-            for c in range(column, column + wide):
-                if high > 1:
-                    below[c] = max(below.get(c, 0), high)
+            lines = yield _inside(inside)
+            cells[column] = " ".join(x.strip() for x in flat(lines) if x)
+            wide, high = (_span(cell, "colspan", 1, 1000), _span(cell, "rowspan", 0, 65534)) if isinstance(cell, Node) else (1, 1)
+            if high != 1:  # 0 is all rows to come
+                new.append((column, column + wide, number + (high or 1 << 31) - 1))
             column += wide
-        below = {c: n - 1 for c, n in below.items() if n > 1}
+        above = sorted(above + new) if new else above
         grid.append(cells)
-    widths: dict[int, int] = {}
-    for cells in grid:
-        for c, text in cells.items():
-            if len(text) <= WIDEST:
-                widths[c] = max(widths.get(c, 0), len(text))
+    place = {c: i for i, c in enumerate(sorted({c for cells in grid for c in cells}))}
+    widths = [0] * len(place)
+    laid = []
     for cells in grid:
         last = max(cells, default=-1)
-        line = "  ".join(cells.get(c, "").ljust(widths.get(c, 0)) for c in range(last + 1)).rstrip()
-        if line:
-            out.append(line)
+        laid.append({place[c]: _wrapped(text) if c < last else [text] for c, text in cells.items()})
+        for c, lines in laid[-1].items():
+            widths[c] = max(widths[c], *(len(x) for x in lines if len(x) <= WIDEST), 0)
+    for cells in laid:
+        for i in range(max(map(len, cells.values()), default=0)):
+            last = max((c for c, lines in cells.items() if i < len(lines)), default=-1)
+            at = lambda c: cells[c][i] if c in cells and i < len(cells[c]) else ""  # noqa: B023, E731
+            line = "  ".join(at(c).ljust(widths[c]) for c in range(last + 1)).rstrip()
+            if line:
+                out.append(line)
     return out
 
 
 def render(page: str) -> str:
-    return "\n".join(_inside(build(page).children))
+    return "\n".join(flat(finished(_inside(build(page).children))))
 
 
 def extracted(pages: DataFrame, key: str = "page_id", column: str = "html") -> DataFrame:

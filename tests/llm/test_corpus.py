@@ -337,6 +337,28 @@ def test_html():
     assert html.render("<div>" * 5000 + "deep") == "deep"
 
 
+def test_html_nested_deep():
+    inner = "a<script>s</script><style>s</style><iframe>s</iframe><b hidden>s</b><p style='display:none'>s</p><div>b</div>c"
+    for outer in ("<div>", "<font>", "<section><span>"):
+        assert html.render(outer * 50_000 + inner) == "a\nb\nc"
+    assert html.render("<b>" * 300 + "<ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>long<td>4</table>") == "- a\n- b\n\n1     2\nlong  4"
+    assert html.render("<ul><li>" * 30_000 + "x") == "- " * 30_000 + "x"
+    assert html.render("<ul><li>x" * 20_000).count("x") == 20_000
+    assert html.render("<pre>" + "<i>" * 50_000 + " y") == " y"
+
+
+def test_html_tables_keep_columns():
+    words = " ".join(["word"] * 20)
+    lines = html.render(f"<table><tr><td>a<td>{words}<td>b<tr><td>c<td>d<td>{words}</table>").split("\n")
+    part = " ".join(["word"] * 8)
+    assert lines == [f"a  {part}  b", f"   {part}", "   word word word word", f"c  d{' ' * (len(part) + 1)}{words}"]
+    assert html.render(f"<table><tr><td>{'y' * 90}<td>b</table>") == f"{'y' * 40}  b\n{'y' * 40}\n{'y' * 10}"
+    rows = "<tr><td>x" * 300
+    assert html.render(f"<table><tr><td rowspan=301>a<td>x{rows}<tr><td>b</table>") == "a  x\n" + "   x\n" * 300 + "b"
+    assert html.render("<table><tr><td rowspan=0>a<td>x<tr><td>y<tbody><tr><td>b</table>") == "a  x\n   y\nb"
+    assert html.render("<table><tr><td colspan=150>a<td>b<tr>" + "<td>c" * 151 + "</table>") == "a" + " " * 449 + "b\n" + "  ".join("c" * 151)
+
+
 def test_html_of_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a<p>b"), (1, "u", None), (None, None, "")], "page_id long, url string, html string")
     assert Counter(tuple(r) for r in html.extracted(pages).collect()) == {(1, "a\n\nb", 3, 4): 1, (1, "", 0, 0): 1, (None, "", 0, 0): 1}
