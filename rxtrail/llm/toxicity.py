@@ -1,9 +1,9 @@
 """Toxic passages as maximal scoring segments over token log-odds.
 
 * Tokens are words, lower-cased and freed of marks at their ends. A word's features are the
-  word and its first 3 to 8 characters, hashed into a fixed number of buckets, which bounds
-  the model; it holds only buckets with positive log-odds, some hundreds here. A token has the
-  log-odds of its best feature.
+  word and its first 3 to 8 characters, told apart by a 64-bit hash; the model holds only
+  features with positive log-odds, some hundreds here. A token has the log-odds of its best
+  feature.
 * Log-odds of a feature between toxic and clean training documents carry a Dirichlet prior in
   proportion to its count in the whole corpus, and are shrunk by three times their deviation,
   so a feature seen by chance scores nothing. Tokens with positive log-odds are the marked ones;
@@ -42,7 +42,6 @@ from pyspark.sql import functions as F
 from rxtrail.llm.shared import Memo, text_or_empty
 from rxtrail.sources.staging import Staging
 
-BUCKETS = 1 << 22
 MOST_LABELS = 500_000
 PRIOR = 0.05
 SHARE = 0.1
@@ -54,6 +53,8 @@ PREFIXES = range(3, 9)
 #: stand for many.
 MOST_TIMES = 4
 MEMO_WORDS = 150_000
+#: A task holds so many counts, those of one document at least, then sums them and hands them on.
+HELD = 1 << 21
 
 
 def words_of(text: str) -> list[str]:
@@ -61,9 +62,9 @@ def words_of(text: str) -> list[str]:
 
 
 def features_of(word: str) -> list[int]:
-    """Buckets of the word and of its beginnings."""
+    """Hashes of the word and of its beginnings."""
     names = [word, *("^" + word[:n] for n in PREFIXES if n <= len(word))]
-    return [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names]
+    return [xxhash.xxh3_64_intdigest(x) for x in names]
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -103,25 +104,37 @@ def training_labels(labels: DataFrame, most: int) -> DataFrame:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often documents of a task have a feature: toxic, clean and all ones, by bucket."""
-    counts = np.zeros((3, BUCKETS), np.int32)
-    known = Memo(MEMO_WORDS, lambda word: np.array(features_of(word), np.uint32).tobytes())
+    """How often documents have a feature: toxic, clean and all ones; totals have no feature."""
+    known = Memo(MEMO_WORDS, lambda word: np.array(features_of(word), np.uint64).tobytes())
+    held: list[tuple[np.ndarray, np.ndarray, int]] = []  # features, times and label of documents
+    n = 0
+
+    def handed_on() -> pa.RecordBatch:
+        seen, at = np.unique(np.concatenate([f for f, _, _ in held]), return_inverse=True)
+        times = np.concatenate([t for _, t, _ in held])
+        label = np.repeat([x for _, _, x in held], [len(f) for f, _, _ in held])
+        weights = times * (label == 1), times * (label == 0), times
+        columns = [np.bincount(at, w, minlength=len(seen)).astype(np.int64) for w in weights]
+        features = pa.concat_arrays([pa.array(seen.view(np.int64)), pa.array([None], pa.int64())])
+        return pa.RecordBatch.from_arrays(
+            [features, *(pa.array(np.r_[c, c.sum()]) for c in columns)], ["feature", "toxic", "clean", "all"]
+        )
+
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            found = np.frombuffer(b"".join(map(known.__getitem__, words_of(text.as_py()))), np.uint32)
+            found = np.frombuffer(b"".join(map(known.__getitem__, words_of(text.as_py()))), np.uint64)
             found, times = np.unique(found, return_counts=True)
-            times = np.minimum(times, MOST_TIMES)
-            counts[2][found] += times
-            if toxic is not None:
-                counts[0 if toxic else 1][found] += times
-    seen = np.flatnonzero(counts[2])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(seen.astype(np.int32)), *(pa.array(counts[i][seen]) for i in range(3))], ["bucket", "toxic", "clean", "all"]
-    )
+            held.append((found, np.minimum(times, MOST_TIMES), -1 if toxic is None else int(bool(toxic))))
+            n += len(found) + 1
+            if n >= HELD:
+                yield handed_on()
+                held, n = [], 0
+    if held:
+        yield handed_on()
 
 
 class Model:
-    """Positive log-odds by bucket, and the constants of the extreme-value and logistic calibration."""
+    """Positive log-odds by feature, and the constants of the extreme-value and logistic calibration."""
 
     def __init__(self, odds: dict[int, float]):
         self.odds = odds
@@ -175,18 +188,21 @@ def fit_line(x: np.ndarray, n: np.ndarray, ones: np.ndarray) -> tuple[float, flo
 
 
 def positive_odds(counts: DataFrame) -> dict[int, float]:
-    """Shrunk log-odds of the buckets that toxic documents favour for sure."""
-    toxic, clean, corpus = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("toxic", "clean", "all")]).first()
+    """Shrunk log-odds of the features that toxic documents favour for sure."""
+    totals = counts.where("feature IS NULL")
+    toxic, clean, corpus = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("toxic", "clean", "all")]).first()
     if not toxic or not clean:
         return {}
     strength = max(1.0, PRIOR * (toxic + clean))
     prior = F.col("all") * (strength / corpus)
     in_toxic, in_clean = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(in_toxic / (toxic + strength - in_toxic)) - F.log(in_clean / (clean + strength - in_clean))
+    # Conditions may be judged in any order, and the totals leave no rest to divide by.
+    against = lambda own, every: F.log(F.try_divide(own, every + strength - own))
+    odds = against(in_toxic, F.lit(toxic)) - against(in_clean, F.lit(clean))
     # Several times in one document are no independent evidence: counts weigh half here.
     sure = odds - 3 * F.sqrt(2 / in_toxic + 2 / in_clean)
-    rows = counts.where("toxic > 0").select("bucket", F.least(sure, F.lit(20.0)).alias("odds")).where("odds > 0")
-    return {row.bucket: row.odds for row in rows.toLocalIterator()}
+    rows = counts.where("toxic > 0 AND feature IS NOT NULL").select("feature", F.least(sure, F.lit(20.0)).alias("odds")).where("odds > 0")
+    return {row.feature % 2**64: row.odds for row in rows.toLocalIterator()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, staging: Staging, most_labels: int = MOST_LABELS) -> Model:
@@ -198,9 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, staging: Staging, most_labels: int =
     joined = docs.select("doc_id", text).join(known, F.col("doc_id") == F.col("known_id"), "left")
     marked = joined.select("text", F.when(F.col("split") < 2, F.col("toxic").cast("int")).alias("toxic"))
     counts = (
-        marked.mapInArrow(_counts, "bucket int, toxic int, clean int, all int")
-        .groupBy("bucket")
+        marked.mapInArrow(_counts, "feature long, toxic long, clean long, all long")
+        .groupBy("feature")
         .agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "all")])
+        .where("toxic > 0 OR feature IS NULL")
     )
     model = Model(positive_odds(staging.write(counts, "counts")))
 

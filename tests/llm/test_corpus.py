@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -303,6 +304,24 @@ def test_toxicity(spark):
     assert auc > 0.7  # few labels here; 0.97 on the tables ten times as large
 
 
+def test_toxicity_tells_features_apart(monkeypatch):
+    texts = [" ".join(f"w{i}" for i in range(5000))] * 2 + ["w1 " * 3, "w1 " * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([None, 1, 0, None], pa.int32())], ["text", "toxic"])
+    one, totals = toxicity.features_of("w1")[0], []
+    for held in (1 << 21, 7):
+        monkeypatch.setattr(toxicity, "HELD", held, raising=False)
+        counts = Counter()
+        for part in toxicity._counts(iter([batch])):
+            for feature, *n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for name, x in zip(("toxic", "clean", "all"), n, strict=True):
+                    counts[feature if feature is None else feature % 2**64, name] += x
+        assert [counts[one, name] for name in ("toxic", "clean", "all")] == [1, 3, 9]
+        totals.append([counts[None, name] for name in ("toxic", "clean", "all")])
+        assert all(sum(n for (f, x), n in counts.items() if x == name and f is not None) == counts[None, name] for name in ("toxic", "all"))
+    assert totals[0] == totals[1]
+    assert len({f for i in range(60_000) for f in toxicity.features_of(f"v{i:07}")[:1]}) == 60_000
+
+
 def test_maximal_segments():
     pick = np.random.default_rng(8)
     for _ in range(300):
