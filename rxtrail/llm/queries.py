@@ -10,10 +10,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxtrail.llm import bpe, exact, html, mixing, pii, quality, simhash, substring, tokenfile, toxicity
+from rxtrail.llm import bpe, bytebpe, exact, html, mixing, pii, quality, simhash, substring, tokenfile, toxicity
 from rxtrail.llm.shared import documents, small_batches, staging
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_pii_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), labels, staging(spark))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.report(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_source_mix,
         op10_toxicity,
+        op13_byte_bpe,
     )
 }
 
