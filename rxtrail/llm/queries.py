@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxtrail.llm import bpe, bytebpe, exact, html, mixing, pii, quality, simhash, substring, tokenfile, toxicity
+from rxtrail.llm import bpe, bytebpe, exact, html, mixing, pii, quality, runs, simhash, substring, tokenfile, toxicity
 from rxtrail.llm.shared import documents, small_batches, staging
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -58,6 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(documents(spark, sf_dir), labels, staging(spark))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(runs.with_planted_runs(documents(spark, sf_dir)))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.report(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_source_mix,
         op10_toxicity,
+        op11_periodic_runs,
         op13_byte_bpe,
     )
 }
