@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rxtrail.llm import bpe, bytebpe, exact, html, mixing, pii, quality, runs, simhash, substring, tokenfile, toxicity
+from rxtrail.llm import bpe, bytebpe, exact, html, mixing, pii, quality, runs, simhash, substring, tokenfile, toxicity, trie
 from rxtrail.llm.shared import documents, small_batches, staging
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +62,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.report(runs.with_planted_runs(documents(spark, sf_dir)))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = small_batches(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    return trie.nodes(trie.rebuilt(turns), staging(spark))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.report(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_source_mix,
         op10_toxicity,
         op11_periodic_runs,
+        op12_prefix_trie,
         op13_byte_bpe,
     )
 }
@@ -88,4 +94,5 @@ SQL = {
     "op4_quality_rules": quality.SQL_REPORT,
     "op8_exact_dedup": exact.SQL_REPORT,
     "op9_source_mix": mixing.SQL_REPORT,
+    "op12_prefix_trie": trie.SQL_REPORT,
 }

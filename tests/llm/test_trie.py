@@ -1,0 +1,130 @@
+"""The trie of conversations against brute force and SQL."""
+
+import hashlib
+import random
+import zlib
+from array import array
+from collections import Counter
+
+import duckdb
+import pytest
+
+from checks.compare import rows_of_spark, rows_of_sql
+from rxtrail.llm import shared, trie
+
+SCHEMA = "conv_id long, turn long, role string, text string, path string, family int, digest int, size int, key int, part int"
+
+
+def turns(seed, n=60, kinds=3, least=0):
+    pick = random.Random(seed)
+    made = []
+    for c in range(least, least + n):
+        if pick.random() < 0.15:
+            continue
+        for t in range(pick.choice([1, 2, 3, 4, 9, 30])):
+            text = pick.choice(["a", "é", "", None, "long text"][: kinds + 1])
+            made.append((c, pick.choice([t, t, t, None]), pick.choice(["user", "user", None]), text))
+    return made
+
+
+def hot(n=90):
+    """Most conversations are copies of one, some go on from it, and one is long."""
+    made = []
+    for c in range(n):
+        made += [(c, t, "user", "same") for t in range(12)]
+        if c % 7 == 0:
+            made += [(c, 12 + t, "user", f"own {c}") for t in range(3)]
+    made += [(n + 5, t, "user", "same") for t in range(400)]
+    return made
+
+
+def rebuilt(rows):
+    def order(row):
+        role, text = (row[2] or "").encode(), (row[3] or "").encode()
+        return (row[1] is not None, row[1] or 0, hashlib.sha256(str(len(role)).encode() + b":" + role + text).digest())
+
+    own: dict = {}
+    for row in sorted(rows, key=order):
+        if row[0] is not None:
+            own.setdefault(row[0], []).append((row[2] or "", row[3] or ""))
+    h = lambda c: zlib.crc32(str(c).encode()) % 9
+    return {c: tuple(own.get(c - c % 5, [])[: h(c)] + t[h(c) :]) for c, t in own.items()}
+
+
+def brute(paths):
+    members: dict = {}
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    kids = Counter(k[:-1] for k in members if k)
+    leaves, saved = Counter(), Counter()
+    for k, m in members.items():
+        mine = (len(m) - 1) * len(k[-1][1].encode()) if k else 0
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not kids[k]
+            saved[k[:d]] += mine
+    rows = Counter()
+    for k, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if paths[c] == k)
+        parent = min(members[k[:-1]]) if k else None
+        rows[min(m), len(k), parent, len(m), kids[k], leaves[k], saved[k], hashlib.sha256(ends.encode()).hexdigest()] += 1
+    return rows
+
+
+def stored(spark, tmp_path, rows):
+    wide = [(*r, "p", 1, 2, 3, 4, 5) for r in rows]
+    spark.createDataFrame(wide, SCHEMA).repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    return spark.read.parquet(f"{tmp_path}/conversations.parquet")
+
+
+FIXTURES = {
+    "random": turns(1) + turns(2, least=200) + turns(1)[:9] + [(None, 1, "user", "x")],
+    "few texts": turns(3, 120, 1) + turns(4, 30, 1, least=-40),
+    "hot": hot(),
+    "no turns left": [(1, 0, "user", "a"), (2, 0, "user", "b"), (7, None, None, None)],
+    "one": [(5, 0, "user", "a"), (5, 1, "user", "b")],
+}
+
+
+@pytest.mark.parametrize("name", FIXTURES)
+@pytest.mark.parametrize(("partition_turns", "broadcast"), [(500_000, 200_000), (12, 200_000), (40, 0)])
+def test_against_brute_force(spark, tmp_path, monkeypatch, name, partition_turns, broadcast):
+    monkeypatch.setattr(trie, "CHUNK_IDS", 7 if broadcast else 50_000)
+    rows = FIXTURES[name]
+    frame = trie.rebuilt(shared.small_batches(spark).createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    if partition_turns == 500_000:
+        frame = trie.rebuilt(stored(spark, tmp_path, rows))
+    found = trie.nodes(frame, shared.staging(spark), partition_turns, broadcast)
+    assert Counter(tuple(r) for r in found.collect()) == brute(rebuilt(rows))
+
+
+def test_sql(spark, tmp_path):
+    rows = turns(5) + turns(6, 40, 1, least=300) + turns(7, 10, 1, least=-20) + [(None, 1, "user", "x"), (301, None, "user", "x")]
+    frame = stored(spark, tmp_path, rows)
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert rows_of_spark(trie.nodes(trie.rebuilt(frame), shared.staging(spark))) == rows_of_sql(connection, trie.SQL_REPORT)
+
+
+def test_empty(spark, tmp_path):
+    for rows in ([], [(None, 1, "user", "x")]):
+        frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        found = trie.nodes(trie.rebuilt(frame), shared.staging(spark))
+        assert found.columns == trie.COLUMNS and found.count() == 0
+
+
+def test_forest_of_one_partition():
+    pick = random.Random(9)
+    for _ in range(300):
+        convs = sorted(([bytes([pick.randrange(2)]) for _ in range(pick.randrange(6))], c) for c in range(pick.randrange(1, 30)))
+        paths, ids = [p for p, _ in convs], array("q", (c for _, c in convs))
+        forest = trie.build(ids, paths, [array("q", [x[0] + 3 for x in p]) for p in paths])
+        found = Counter()
+        for node, same in enumerate(forest.same):
+            if same == node:
+                parent = forest.least[forest.find(forest.parent[node])] if forest.depth[node] else None
+                start = forest.left[node]
+                ends = ",".join(map(str, ids[start : start + forest.ends[node]]))
+                found[forest.least[node], forest.depth[node], parent, forest.members[node], forest.children[node],
+                      forest.leaves[node], forest.saved[node], hashlib.sha256(ends.encode()).hexdigest()] += 1
+        assert found == brute({c: tuple(("", "x" * (x[0] + 3)) for x in p) for p, c in convs})
