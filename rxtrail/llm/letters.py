@@ -11,8 +11,9 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import groupby
 
 import regex
 
@@ -40,30 +41,45 @@ LATER_LOWER |= {code: code + 1 for code in (0x1C89, 0xA7CC, 0xA7CE, 0xA7D2, 0xA7
 LATER_LOWER |= {code: code + 0x20 for code in range(0x10D50, 0x10D66)}
 LATER_LOWER |= {code: code + 0x1B for code in range(0x16EA0, 0x16EB9)}
 
-_class = lambda codes: "[" + "".join(f"\\U{code:08x}" for code in sorted(codes)) + "]"
-_unmoved, _later_lower = re.compile(f"({_class(UNMOVED)})"), re.compile(_class(LATER_LOWER))
+
+class Characters:
+    """A set of characters, and a quick way to see whether a text has any of them."""
+
+    def __init__(self, codes: Iterable[int]):
+        self.codes = frozenset(codes)
+        self.characters = frozenset(map(chr, self.codes))
+        least = min(self.codes, default=sys.maxunicode)
+        self._from_least = re.compile(f"[\\U{least:08x}-\\U0010ffff]+")
+
+    def any_in(self, text: str) -> bool:
+        # Most texts have hardly a character from the least one on, and one range is a quick test.
+        return any(not self.characters.isdisjoint(part) for part in self._from_least.findall(text))
+
+
+_unmoved, _later_lower = Characters(UNMOVED), Characters(LATER_LOWER)
 
 
 def composed(text: str) -> str:
     """Normal form C of the libraries' version."""
     if text.isascii():
         return text
-    if not _unmoved.search(text):
+    if not _unmoved.any_in(text):
         return unicodedata.normalize("NFC", text)
-    return "".join(
-        part if i % 2 else unicodedata.normalize("NFC", part) for i, part in enumerate(_unmoved.split(text))
-    )
+    groups = groupby(text, _unmoved.characters.__contains__)
+    return "".join("".join(g) if alone else unicodedata.normalize("NFC", "".join(g)) for alone, g in groups)
 
 
 def lowered(text: str) -> str:
     """Lower case character by character, so without the final form of sigma."""
-    if _later_lower.search(text):
+    if text.isascii():
+        return text.lower()
+    if _later_lower.any_in(text):
         text = text.translate(LATER_LOWER)
     return text.replace("Σ", "σ").lower()
 
 
 @cache
-def _misread() -> tuple[re.Pattern, dict[int, str]]:
+def _misread() -> tuple[Characters, dict[int, str]]:
     """Characters of another class to the pattern module than to the libraries, and for each a
     character of the class it should have."""
     points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
@@ -74,13 +90,13 @@ def _misread() -> tuple[re.Pattern, dict[int, str]]:
         meant = {c for c in points if unicodedata.category(c)[0] == kind} | {chr(c) for c in later}
         instead |= {ord(c): stand_in for c in meant - read}
         instead |= {ord(c): "#" for c in read - meant if ord(c) not in instead}
-    return re.compile(_class(instead)) if instead else re.compile("(?!)"), instead
+    return Characters(instead), instead
 
 
 def parts(pattern: regex.Pattern, text: str) -> Iterator[str] | list[str]:
     """What the pattern finds in the text, by the libraries' letters and numbers."""
     if not text.isascii():
         odd, instead = _misread()
-        if odd.search(text):
+        if odd.any_in(text):
             return [text[m.start() : m.end()] for m in pattern.finditer(text.translate(instead))]
     return pattern.findall(text)
