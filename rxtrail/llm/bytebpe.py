@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from rxtrail.llm.letters import parts
 from rxtrail.llm.shared import Memo, text_or_empty
 
-MEMO_PIECES = 300_000
+MEMO_PIECES = 600_000
 STRETCH = 1 << 18
 #: A blank between two words always starts a piece.
 _blank_between_words = regex.compile(r"(?<=\S) (?=\S)")
@@ -55,36 +55,40 @@ class Ranks:
 
 
 class PairTree:
-    """Segment tree over the byte positions of a piece: leftmost pair of least rank."""
+    """Segment tree over the byte positions of a piece: leftmost pair of least rank.
+
+    Node i has children 2 i and 2 i + 1, the leaves are the last ``places`` nodes, and the root
+    is node 1. A pair that is none counts as ``none``, which is more than any rank and place.
+    """
+
+    none = 1 << 62
 
     def __init__(self, ranks: list[int | None]):
-        self.n = len(ranks)
-        self.size = 1 << max(0, self.n - 1).bit_length()
-        self.none = 1 << 62
-        self.node = array("q", [self.none]) * (2 * self.size)
-        node = self.node
-        for i, rank in enumerate(ranks):
-            if rank is not None:
-                node[self.size + i] = rank * self.n + i
-        for i in range(self.size - 1, 0, -1):
+        self.places = n = len(ranks)
+        leaves = [self.none if rank is None else rank * n + i for i, rank in enumerate(ranks)]
+        # Beyond small pieces 8 bytes a node count.
+        self.node = node = [0] * n + leaves if n < 4096 else array("q", bytes(8 * n)) + array("q", leaves)
+        for i in range(n - 1, 0, -1):
             a, b = node[2 * i], node[2 * i + 1]
             node[i] = a if a < b else b
 
     def set(self, place: int, rank: int | None) -> None:
         """Point update: the pair that starts at a byte has this rank, or is none."""
-        node, i = self.node, self.size + place
-        node[i] = self.none if rank is None else rank * self.n + place
+        node, i = self.node, self.places + place
+        least = node[i] = self.none if rank is None else rank * self.places + place
         while i > 1:
+            beside = node[i ^ 1]
+            if beside < least:
+                least = beside
             i >>= 1
-            a, b = node[2 * i], node[2 * i + 1]
-            least = a if a < b else b
             if node[i] == least:
                 return
             node[i] = least
 
     def least(self) -> int:
         """Where the leftmost pair of least rank starts, -1 if there is no pair."""
-        return -1 if self.node[1] == self.none else self.node[1] % self.n
+        least = self.node[1] if self.places else self.none
+        return -1 if least == self.none else least % self.places
 
 
 def encode_piece(piece: bytes, rank: dict[bytes, int]) -> list[int]:
@@ -93,17 +97,23 @@ def encode_piece(piece: bytes, rank: dict[bytes, int]) -> list[int]:
         return [whole]
     n, get = len(piece), rank.get
     # A token's length, at its first byte and at its last one.
-    length = array("i", [1]) * n
+    length = [1] * n if n < 4096 else array("i", [1]) * n
     tree = PairTree([get(piece[i : i + 2]) for i in range(n - 1)])
+    update = tree.set
     while (left := tree.least()) >= 0:
         right = left + length[left]
         end = right + length[right]
         length[left] = length[end - 1] = end - left
-        tree.set(right, None) if right < n - 1 else None
-        tree.set(left, get(piece[left : end + length[end]]) if end < n else None)
+        if end < n:
+            update(right, None)
+            update(left, get(piece[left : end + length[end]]))
+        else:  # the last token of the piece starts no pair
+            update(left, None)
+            if right < n - 1:
+                update(right, None)
         if left:
             before = left - length[left - 1]
-            tree.set(before, get(piece[before:end]))
+            update(before, get(piece[before:end]))
     ids, i = [], 0
     while i < n:
         ids.append(rank[piece[i : i + length[i]]])
