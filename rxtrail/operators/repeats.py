@@ -11,6 +11,7 @@ from rxtrail.functions.stamps import newest
 from rxtrail.operators.skew import HotKeys, lookup_join, per_key
 from rxtrail.operators.therapy import ALTERNATIVE
 from rxtrail.operators.universe import PATIENT
+from rxtrail.sources.staging import Staging
 
 THERAPY = (*PATIENT, "rule")
 
@@ -94,11 +95,28 @@ def repeats_by_lookup(
     return _where_counted(lookup_join(rows, repeat_dates(dates, config), key, hot_patients), F.lit(True))
 
 
+def two_newest(of_ids: DataFrame, hot_patients: HotKeys | None) -> DataFrame:
+    """Of each date the newest stamp, and the newest one of a purchase with another id.
+
+    Both are partial aggregates, the second one over the rows that the first did not pick, so a
+    date with any number of purchases is spread over tasks like any other rows.
+    """
+    date = [*THERAPY, "event_date"]
+    best = F.max(F.struct("stamp", "transaction_odu_id")).alias("best")
+    newest = of_ids.groupBy(*date).agg(best)
+    others = lookup_join(of_ids, newest, date, hot_patients).where(
+        F.col("transaction_odu_id") != F.col("best.transaction_odu_id")
+    )
+    second = others.drop("best").groupBy(*date).agg(best)
+    return newest.unionByName(second).select(*date, "best.*")
+
+
 def repeats_of_shared_ids(
     survivors: DataFrame,
     rows: DataFrame,
     hot_patients: HotKeys | None,
     config: ChronicConfig,
+    staging: Staging,
 ) -> DataFrame:
     """Repeats for purchase ids that occur on several dates.
 
@@ -110,17 +128,14 @@ def repeats_of_shared_ids(
         F.col("transaction_odu_id").isNotNull()
     )
     sharing = rows.select(*THERAPY).distinct()
-    on_date = Window.partitionBy(*THERAPY, "event_date").orderBy(
-        F.col("stamp").desc_nulls_last(), "transaction_odu_id"
-    )
-    dates = (
+    of_ids = (
         lookup_join(counted, sharing, THERAPY, hot_patients, how="left_semi")
         .groupBy(*THERAPY, "event_date", "transaction_odu_id")
         .agg(F.max("odu_updated_at_utc").alias("stamp"))
-        .withColumn("place", F.row_number().over(on_date))
-        .where(F.col("place") <= 2)
-        .groupBy(*THERAPY)
-        .agg(F.collect_list(F.struct("event_date", "transaction_odu_id", "stamp")).alias("dates"))
+    )
+    two = two_newest(staging.write(of_ids, "stamps_of_ids"), hot_patients)
+    dates = two.groupBy(*THERAPY).agg(
+        F.collect_list(F.struct("event_date", "transaction_odu_id", "stamp")).alias("dates")
     )
     reach = config.repeat_months - 1
 
@@ -147,7 +162,7 @@ def repeats_of_shared_ids(
 
 
 def with_repeats(
-    survivors: DataFrame, hot_patients: HotKeys | None, config: ChronicConfig
+    survivors: DataFrame, hot_patients: HotKeys | None, config: ChronicConfig, staging: Staging
 ) -> DataFrame:
     """Purchases of the output months with their repeats, taken over all input months."""
     since = months_before(config.today(), config.output_months)
@@ -163,7 +178,7 @@ def with_repeats(
     shared = survivors.where(is_recent & F.col("several_dates"))
     if shared.isEmpty():
         return single
-    return single.unionByName(repeats_of_shared_ids(survivors, shared, hot_patients, config))
+    return single.unionByName(repeats_of_shared_ids(survivors, shared, hot_patients, config, staging))
 
 
 def is_chronic(config: ChronicConfig):

@@ -79,13 +79,18 @@ TAGGED = {
 }
 
 
+def in_input_months(config: ChronicConfig) -> Column:
+    when = F.col("transaction_datetime")
+    return (when >= months_before(config.today(), config.input_months)) & (
+        when < months_before(config.today(), 0)
+    )
+
+
 def recent_revenue_lines(transactions: DataFrame, config: ChronicConfig) -> DataFrame:
     """Revenue lines of the input months that were not declined; all of it reaches the scan."""
-    when = F.col("transaction_datetime")
     declined = F.col("description").ilike("%declined%")
     return transactions.where(
-        (when >= months_before(config.today(), config.input_months))
-        & (when < months_before(config.today(), 0))
+        in_input_months(config)
         & F.col("is_revenue")
         & (F.col("description").isNull() | ~declined)
     )
@@ -108,16 +113,17 @@ def at_whitelisted_practices(
     )
 
 
+def wanted_tags(catalog_tags: DataFrame, config: ChronicConfig) -> DataFrame:
+    return catalog_tags.where(F.col("catalog_tag_odu_id").isin(*config.ids("joint_diet", "urinalysis")))
+
+
 def with_catalog_tags(
     lines: DataFrame, catalog_tags: DataFrame, config: ChronicConfig, staging: Staging
 ) -> DataFrame:
     """Add an item's joint-diet or urinalysis tag; an item with both gives two lines."""
-    wanted = catalog_tags.where(
-        F.col("catalog_tag_odu_id").isin(*config.ids("joint_diet", "urinalysis"))
-    )
     return dimension_join(
         lines,
-        wanted.withColumnRenamed("odu_updated_at_utc", "tag_updated_at_utc"),
+        wanted_tags(catalog_tags, config).withColumnRenamed("odu_updated_at_utc", "tag_updated_at_utc"),
         CATALOG_ITEM,
         config.skew,
         staging,
@@ -142,12 +148,36 @@ def freshness() -> Column:
     return F.greatest(own, F.coalesce(F.col("tag_updated_at_utc"), own))
 
 
-def relevant_lines(inputs: ChronicInputs, config: ChronicConfig, staging: Staging) -> DataFrame:
+def patients_with_news(
+    inputs: ChronicInputs, is_fresh: Column, config: ChronicConfig, staging: Staging
+) -> DataFrame:
+    """At least the patients with a line, or with an item, that is stamped fresh.
+
+    Lines are read by their own stamp, of which little is fresh, and in a few columns. Only if a
+    tag is fresh too, all lines are looked through for its items.
+    """
+    lines = inputs.transactions.where(in_input_months(config))
+    own = lines.where(is_fresh).select(*PATIENT)
+    items = wanted_tags(inputs.catalog_tags, config).where(is_fresh).select(*CATALOG_ITEM).distinct()
+    items = staging.write(items, "fresh_items")
+    if items.isEmpty():
+        return own
+    lines = lines.select(*PATIENT, *CATALOG_ITEM)
+    tagged = dimension_join(lines, items, CATALOG_ITEM, config.skew, staging, how="left_semi")
+    return own.unionByName(tagged.select(*PATIENT))
+
+
+def relevant_lines(
+    inputs: ChronicInputs, config: ChronicConfig, staging: Staging, wanted: Column | None = None
+) -> DataFrame:
     """The lines of any species that matter. With small dimensions, rows never move.
 
-    The list of practices comes last, so that a large one moves relevant lines alone.
+    The list of practices comes last, so that a large one moves relevant lines alone. ``wanted``
+    is a condition on the columns of a line that is met at the scan.
     """
     lines = recent_revenue_lines(inputs.transactions, config).select(*LINE)
+    if wanted is not None:
+        lines = lines.where(wanted)
     lines = with_catalog_tags(lines, inputs.catalog_tags, config, staging).where(is_relevant(config))
     return at_whitelisted_practices(lines, inputs.practice_info, config, staging)
 

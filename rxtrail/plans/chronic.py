@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.config import ChronicConfig
 from rxtrail.operators import invalidation, repeats, therapy, universe
+from rxtrail.operators.bloom import may_be_among
 from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join, per_key
 from rxtrail.sources.relations import ChronicInputs
 from rxtrail.sources.staging import Staging
@@ -26,6 +27,8 @@ class ChronicModel:
         staging: Staging,
         only_patients_with: Column | None = None,
     ):
+        """``only_patients_with``, a condition on ``odu_updated_at_utc``, leaves out patients
+        of whose lines, and tags of lines, none meets it."""
         self.inputs = inputs
         self.config = config
         self.staging = staging
@@ -77,9 +80,18 @@ class ChronicModel:
     @cached_property
     def tagged(self) -> DataFrame:
         """Relevant lines with their tags, copies included; no step below minds copies."""
-        lines = universe.relevant_lines(self.inputs, self.config, self.staging)
+        lines = universe.relevant_lines(self.inputs, self.config, self.staging, self._may_be_wanted())
         return self.staging.write(universe.tagged_lines(lines, self.config), "tagged")
 
+    def _may_be_wanted(self) -> Column | None:
+        """Of lines in the scan, whether their patient is wanted; a few others pass."""
+        if self.only_patients_with is None:
+            return None
+        patients = universe.patients_with_news(
+            self.inputs, self.only_patients_with, self.config, self.staging
+        )
+        return may_be_among(patients, universe.PATIENT, self.staging)
+
     @cached_property
     def hot_patients(self) -> HotKeys | None:
         return self._find_hot_patients(self.tagged)
@@ -179,7 +191,7 @@ class ChronicModel:
     # --- chronicity ------------------------------------------------------------------
 
     def repeats(self) -> DataFrame:
-        return repeats.with_repeats(self.survivors(), self.hot_patients, self.config)
+        return repeats.with_repeats(self.survivors(), self.hot_patients, self.config, self.staging)
 
     def repeat_purchases(self) -> DataFrame:
         return (

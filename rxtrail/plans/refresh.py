@@ -13,6 +13,7 @@ from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.relations import ChronicInputs, read_relation
 from rxtrail.sources.staging import Staging
+from rxtrail.sources.versions import MONTH, MonthlyVersions
 
 KEY = ["server_odu_id", "patient_odu_id", "transaction_odu_id", "rule"]
 
@@ -56,16 +57,19 @@ def merged(target: DataFrame | None, emitted: DataFrame) -> DataFrame:
 
 def write_output(frame: DataFrame, path: str, spread: Sequence[str] = KEY) -> None:
     """Write purchases by month of event, large months over several files by ``spread``."""
-    month = F.date_format("transaction_datetime", "yyyy-MM")
     (
-        frame.withColumn("event_month", month)
-        .repartitionByRange("event_month", *spread)
-        .sortWithinPartitions("event_month", "patient_odu_id", "transaction_datetime")
-        .write.partitionBy("event_month")
+        with_month(frame)
+        .repartitionByRange(MONTH, *spread)
+        .sortWithinPartitions(MONTH, "patient_odu_id", "transaction_datetime")
+        .write.partitionBy(MONTH)
         .parquet(path)
     )
 
 
+def with_month(frame: DataFrame) -> DataFrame:
+    return frame.withColumn(MONTH, F.date_format("transaction_datetime", "yyyy-MM"))
+
+
 def write_switching_report(model: SwitchModel, path: str) -> None:
     """Write the switching report; the run's intermediate tables are removed, also on failure."""
     with model.staging:
@@ -89,3 +93,62 @@ def refresh_table(
     with staging:
         emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
         write_output(merged(target, emitted), new_path)
+
+
+def changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What makes ``new`` of ``old``: whole rows and their ``change``.
+
+    Old rows are "replaced" if other rows of their purchase and rule are new, else "removed"; new
+    ones are "replacing" or "inserted". Rows are compared by all their columns and counted in one
+    partial aggregate, so copies and NULLs count too, and only rows that differ move on.
+    """
+    columns = old.columns
+    sides = old.withColumn("n", F.lit(-1)).unionByName(new.select(*columns).withColumn("n", F.lit(1)))
+    differing = sides.groupBy(*columns).agg(F.sum("n").alias("n")).where("n != 0")
+    same = Window.partitionBy(*KEY)
+    both = (F.max("n").over(same) > 0) & (F.min("n").over(same) < 0)
+    change = (
+        F.when(F.col("n") < 0, F.when(both, "replaced").otherwise("removed"))
+        .when(both, "replacing")
+        .otherwise("inserted")
+    )
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("n"))).alias("time")
+    return differing.select(*columns, "n", change.alias("change")).select(*columns, "change", times).drop("time")
+
+
+def rebuild_changes(
+    inputs: ChronicInputs, target: DataFrame, config: ChronicConfig, staging: Staging
+) -> DataFrame:
+    """What a full rebuild would change of ``target``.
+
+    Beside a refresh, which never removes a row: these are also the rows that no longer qualify.
+    """
+    rebuilt = staging.write(ChronicModel(inputs, config, staging).chronic_purchases(), "rebuilt")
+    return changes(target, rebuilt)
+
+
+def refresh_store(
+    inputs: ChronicInputs, config: ChronicConfig, staging: Staging, store: MonthlyVersions
+) -> int:
+    """Make the next version of a store; returns its number.
+
+    Emitted rows are held against the stored ones that they replace. Only months that hold a row
+    of either side without an equal on the other are written; all others stay the files they are.
+    The run's intermediate tables are removed, also on failure.
+    """
+    base = store.current()
+    with staging:
+        if not base:
+            first = refreshed_rows(inputs, None, config, staging)
+            return store.publish(lambda path: write_output(first, path), None, base)
+        target = store.read(base)
+        emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
+        keys = emitted.select(*KEY).distinct()
+        replaced = equi_join(target, keys, KEY, "left_semi", null_safe=True)
+        # As many as there are months of output.
+        months = with_month(changes(replaced, emitted)).select(MONTH).distinct()
+        touched = {row[MONTH] for row in months.collect()}
+        news = with_month(emitted).where(F.col(MONTH).isin(*touched)).drop(MONTH)
+        kept = equi_join(store.read(base, only=touched), keys, KEY, "left_anti", null_safe=True)
+        rows = kept.unionByName(news)
+        return store.publish(lambda path: write_output(rows, path), touched, base)

@@ -6,7 +6,8 @@ import re
 import pytest
 
 from rxtrail.config import ChronicConfig, SkewLimits, SwitchConfig
-from rxtrail.operators import universe
+from rxtrail.operators import repeats, universe
+from rxtrail.operators.skew import find_hot_keys
 from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources import derived
@@ -148,3 +149,23 @@ def test_nothing_depends_on_partitions(spark):
         assert run() == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_two_newest_stamps_need_no_window(spark):
+    """One date holds nearly all rows; ids tie in stamps, and some have none."""
+    of_ids = spark.range(3000).selectExpr(
+        "1L AS server_odu_id", "id % 2 AS patient_odu_id", "'NSAIDs' AS rule",
+        "make_date(2000, 1, 1 + if(id < 2990, 0, cast(id % 5 AS int))) AS event_date", "id AS transaction_odu_id",
+        "if(id % 7 = 0, NULL, timestamp_ntz'2000-01-01' + make_dt_interval(cast(id % 50 AS int))) AS stamp",
+    )
+    rows, wanted = of_ids.collect(), {}
+    for r in rows:
+        wanted.setdefault((r.patient_odu_id, r.event_date), []).append((r.stamp is not None, r.stamp, r.transaction_odu_id))
+    limits = SkewLimits(hot_rows=100)
+    for hot in (None, find_hot_keys(of_ids, universe.PATIENT, limits, Staging(spark))):
+        found = repeats.two_newest(of_ids, hot)
+        assert "Window" not in plan(found)
+        two = {}
+        for r in found.collect():
+            two.setdefault((r.patient_odu_id, r.event_date), []).append((r.stamp is not None, r.stamp, r.transaction_odu_id))
+        assert {k: sorted(v, reverse=True) for k, v in two.items()} == {k: sorted(v, reverse=True)[:2] for k, v in wanted.items()}
