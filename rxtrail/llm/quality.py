@@ -6,7 +6,9 @@ Each line with a word is held against three rules:
   several exclamation or question marks;
 * navigation: three or more menu separators standing alone, or a line of up to four words
   that begins with a menu word;
-* boilerplate: it holds a phrase of cookie banners, legal footers or script notices.
+* boilerplate: it holds phrases of cookie banners, legal footers or script notices, as whole
+  words, and either has up to twelve words or the phrases make up a quarter of its characters. So
+  a sentence of some length, or a text in one line, that says one of them stays.
 
 Failing lines go. A document is rejected if it fails the base rules (fewer than 20 words, or
 over 30 % of its words in repeated 8-word windows) or loses more than half of its words.
@@ -18,6 +20,10 @@ characters are; a document that has extra or clashing columns keeps them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,10 +37,16 @@ MOST_LOST_PERCENT = 50
 
 # What marks a line as a menu or as boilerplate.
 MENU_WORDS = "home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|subscribe|contact us|sitemap"
-BOILERPLATE = (
-    "cookie|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|"
-    "lorem ipsum|click here|copyright \\(c\\)|©"
-)
+BOILERPLATE = "cookies?|privacy  policy|terms  of  use|terms  of  service|all  rights  reserved|enable  javascript|lorem  ipsum|click  here|©"
+# One of these is in every line that holds such a phrase, which is a quick test.
+BOILERPLATE_WORDS = ("cookie", "policy", "terms", "rights", "javascript", "lorem", "click", "copyright", "©")
+FEW_WORDS = 12
+BOILERPLATE_SHARE = 4  # the phrases' characters times this reach the line's
+SEPARATORS = "|»›•·"
+
+
+def _any_of(text: Column, parts: Iterable[str]) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(part)) for part in parts])
 
 
 def _symbols(text: Column) -> Column:
@@ -82,52 +94,90 @@ def repeated_words(array: Column, window: int = WINDOW) -> Column:
     return let(array, of)
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line with words fails a rule."""
+def _boilerplate(low: Column) -> Column:
+    """Characters of a line's phrases, those between their words included."""
+    # Two blanks between words, so that each has its own on either side.
+    apart = F.regexp_replace(F.replace(low, F.lit("copyright (c)"), F.lit("©")), "[^a-z©]+", "  ")
+    apart = F.concat(F.lit(" "), F.replace(apart, F.lit("©"), F.lit("  ©  ")), F.lit(" "))
+    return F.length(apart) - F.length(F.regexp_replace(apart, f" ({BOILERPLATE}) ", "  "))
+
+
+def line_fails(line: Column, seen: Column) -> Column:
+    """Whether a line with words fails a rule. ``seen`` tells which rules its text gives cause for."""
+    low = F.lower(line)
     n_words = F.size(words(line))
     loud = F.regexp_count(line, F.lit("[!?]{2,}(?![^ \\t-\\r])"))
-    alone = F.regexp_count(line, F.lit("(?<![^ \\t-\\r])[|»›•·](?![^ \\t-\\r])"))
-    punctuation = (_symbols(line) * 10 >= _characters(line)) | (loud * 3 >= n_words)
-    low = F.lower(line)
-    menu = (n_words <= 4) & low.rlike(f"^[ \\t-\\r]*({MENU_WORDS})([^a-z]|$)")
-    return punctuation | (alone >= 3) | menu | low.rlike(BOILERPLATE)
+    alone = F.regexp_count(line, F.lit(f"(?<![^ \\t-\\r])[{SEPARATORS}](?![^ \\t-\\r])"))
+    menu = low.rlike(f"^[ \\t-\\r]*({MENU_WORDS})([^a-z]|$)") & (n_words <= 4)
+    return (
+        ((seen["n_symbols"] > 0) & (_symbols(line) * 10 >= _characters(line)))
+        | (seen["loud"] & _any_of(line, ("!!", "??", "!?", "?!")) & (loud * 3 >= n_words))
+        | (seen["separated"] & (alone >= 3))
+        | menu
+        | (
+            seen["boilerplate"]
+            & _any_of(low, BOILERPLATE_WORDS)
+            & let(
+                _boilerplate(low),
+                lambda n: (n > 0) & ((n_words <= FEW_WORDS) | (n * BOILERPLATE_SHARE >= _characters(line))),
+            )
+        )
+    )
 
 
 def judged(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Two structs: ``doc`` with the columns of ``docs``, ``verdict`` with counts, ``kept``, ``clean``."""
+    """Two structs: ``doc`` with the columns of ``docs``, ``verdict`` with counts, ``kept``, ``clean``.
+
+    ``clean`` is null where no line fails.
+    """
     body = text_or_empty(F.col("doc")[text])
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
-    good = lambda array: F.filter(array, lambda x: ~line_fails(x))
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
 
     def counts(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")
         )
 
-    def of_lines(array: Column) -> Column:
-        return F.struct(
-            (F.size(array) - F.size(F.array_distinct(array))).cast("long").alias("n_dup_lines"),
-            F.array_join(good(array), "\n").alias("clean"),
-        )
+    def of_lines(array: Column, seen: Column) -> Column:
+        def with_failing(failing: Column) -> Column:
+            lost = F.aggregate(failing, F.lit(0), lambda n, x: n + F.size(words(x)))
+            good = F.filter(array, lambda x: ~line_fails(x, seen))
+            return F.struct(
+                (F.size(array) - F.size(F.array_distinct(array))).cast("long").alias("n_dup_lines"),
+                lost.cast("long").alias("n_lost"),
+                F.when(F.size(failing) > 0, F.array_join(good, "\n")).alias("clean"),
+            )
+
+        return let(F.filter(array, lambda x: line_fails(x, seen)), with_failing)
+
+    low = F.lower(body)
+    seen = F.struct(
+        _symbols(body).cast("long").alias("n_symbols"),
+        _any_of(body, ("!!", "??", "!?", "?!")).alias("loud"),
+        _any_of(body, SEPARATORS).alias("separated"),
+        let(low, lambda x: _any_of(x, BOILERPLATE_WORDS)).alias("boilerplate"),
+    )
+
+    def of_text(seen: Column) -> Column:
+        return F.struct(seen["n_symbols"].alias("n_symbols"), let(lines, lambda x: of_lines(x, seen)).alias("l"))
 
-    parts = F.struct(let(words(body), counts).alias("w"), let(lines, of_lines).alias("l"))
+    parts = F.struct(let(words(body), counts).alias("w"), let(seen, of_text).alias("s"))
     step = docs.select(F.struct("*").alias("doc")).withColumn("verdict", parts)
     n_words, n_repeat = F.col("verdict.w.n_words"), F.col("verdict.w.n_repeat_words")
-    clean = F.col("verdict.l.clean")
+    n_lost = F.col("verdict.s.l.n_lost")
     base_failed = (n_words < LEAST_WORDS) | (n_repeat * 100 > n_words * MOST_REPEATED_PERCENT)
-    left = F.size(words(clean)).cast("long")
     return step.withColumn(
         "verdict",
         F.struct(
             n_words.alias("n_words"),
             _characters(body).cast("long").alias("word_chars"),
-            _symbols(body).cast("long").alias("n_symbols"),
-            F.col("verdict.l.n_dup_lines").alias("n_dup_lines"),
+            F.col("verdict.s.n_symbols").alias("n_symbols"),
+            F.col("verdict.s.l.n_dup_lines").alias("n_dup_lines"),
             n_repeat.alias("n_repeat_words"),
             base_failed.alias("base_failed"),
-            left.alias("n_left"),
-            (~base_failed & ((n_words - left) * 100 <= n_words * MOST_LOST_PERCENT)).alias("kept"),
-            clean.alias("clean"),
+            n_lost.alias("n_lost"),
+            (~base_failed & (n_lost * 100 <= n_words * MOST_LOST_PERCENT)).alias("kept"),
+            F.col("verdict.s.l.clean").alias("clean"),
         ),
     )
 
@@ -144,7 +194,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     A text without failing lines is returned as it is, blank lines included; ``n_chars``, if
     there is one, follows the text.
     """
-    same = F.col("verdict.n_left") == F.col("verdict.n_words")
+    same = F.col("verdict.n_lost") == 0
     new = {
         "text": F.when(same, F.col("doc.text")).otherwise(F.col("verdict.clean")),
         "n_chars": F.when(same, F.col("doc.n_chars")).otherwise(F.length("verdict.clean")),
@@ -164,14 +214,16 @@ rep AS (SELECT k, i FROM win QUALIFY count(*) OVER (PARTITION BY k, x) > 1),
 cov AS (SELECT k, sum(least(8, i - coalesce(before, i - 8))) AS n
         FROM (SELECT k, i, lag(i) OVER (PARTITION BY k ORDER BY i) AS before FROM rep) GROUP BY k),
 line AS (SELECT k, x, len(list_filter(regexp_split_to_array(x, '[ \t-\r]+'), lambda y: y <> '')) AS n,
-                list_filter(regexp_split_to_array(x, '[ \t-\r]+'), lambda y: y <> '') AS ws
+                list_filter(regexp_split_to_array(x, '[ \t-\r]+'), lambda y: y <> '') AS ws,
+                ' ' || replace(regexp_replace(replace(lower(x), 'copyright (c)', '©'), '[^a-z©]+', '  ', 'g'), '©', '  ©  ') || ' ' AS z
          FROM (SELECT k, unnest(ls) AS x FROM w)),
-lost AS (SELECT k, sum(n) AS n FROM line
+phrase AS (SELECT *, regexp_replace(z, ' (cookies?|privacy  policy|terms  of  use|terms  of  service|all  rights  reserved|enable  javascript|lorem  ipsum|click  here|©) ', '  ', 'g') AS y FROM line),
+lost AS (SELECT k, sum(n) AS n FROM phrase
          WHERE len(x) - len(translate(x, '#*$%&|<>', '')) >= 0.1 * len(regexp_replace(x, '[ \t-\r]', '', 'g'))
             OR 3 * len(list_filter(ws, lambda y: regexp_matches(y, '[!?][!?]$'))) >= n
             OR len(list_filter(ws, lambda y: y IN ('|', '»', '›', '•', '·'))) >= 3
             OR n <= 4 AND regexp_matches(lower(x), '^[ \t-\r]*(home|menu|login|log in|sign in|sign up|search|next|previous|back to top|share|subscribe|contact us|sitemap)([^a-z]|$)')
-            OR regexp_matches(lower(x), 'cookie|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|lorem ipsum|click here|copyright \(c\)|©')
+            OR len(y) < len(z) AND (n <= 12 OR 4 * (len(z) - len(y)) >= len(regexp_replace(x, '[ \t-\r]', '', 'g')))
          GROUP BY k),
 c AS (SELECT doc_id, len(ws)::BIGINT AS n_words, len(regexp_replace(t, '[ \t-\r]', '', 'g'))::BIGINT AS word_chars,
              (len(t) - len(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
