@@ -10,8 +10,10 @@ it on its spine. ``lookahead`` computes that chain once per merge list; tokens t
 many symbols before the end of what is read are final, whatever follows.
 
 The transducer reads symbols into a buffer of fixed size, emits tokens that are final and
-keeps the rest, so a word of any length takes constant memory; memory per task is that buffer
-and a bounded memo of short words. Texts are read in pieces that end at white space.
+keeps the rest. All words go through it. A text is read in stretches that end at a blank, and a
+word longer than that in stretches too, cut where neither the normal form nor a part of the word
+depends on what comes next but for going on; so a text or word of any length takes the memory of
+a stretch, the buffer and a bounded memo of words of up to 256 characters.
 
 Decoding goes id by id: pieces become bytes, and an incremental UTF-8 decoder emits characters
 as they complete. A file without a decoder joins its tokens' strings by blanks, as the library
@@ -30,20 +32,27 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice, pairwise
+from itertools import chain, islice, pairwise
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxtrail.llm.shared import Memo, byte_symbols, text_or_empty
+from rxtrail.llm.letters import composed, lowered, parts
+from rxtrail.llm.shared import LONGEST_KEY, Memo, byte_symbols, text_or_empty
 
 MEMO_WORDS, MEMO_PARTS = 80_000, 200_000
-LONG = 256
-PIECE_WORDS = 1 << 15
+#: Characters of a stretch, and ids that are handed on at once.
+STRETCH = 1 << 16
+PIECE_IDS = 1 << 15
 SHORT = 48
 
+# What the file's pattern takes as one part: contractions, letters, a number, others.
+CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+PARTS = "|".join(CONTRACTIONS) + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS, OTHERS = regex.compile(r"\A\p{L}+"), regex.compile(r"\A[^\s\p{L}\p{N}]+")
+
 
 class BpeModel:
     """A byte-level merge list with word ends, as in a file of the tokenizers library."""
@@ -64,13 +73,15 @@ class BpeModel:
         self.inner = [self.vocab[s] for s in symbols]
         self.final = [self.vocab[s + self.suffix] for s in symbols]
         steps = config["pre_tokenizer"]["pretokenizers"]
-        self.pattern = regex.compile(steps[0]["pattern"]["Regex"])
+        if steps[0]["pattern"]["Regex"] != PARTS:
+            raise ValueError("the file's pattern is another one than words are cut by here")
+        self.pattern = regex.compile(PARTS)
         self.special = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
         self.lookahead, self.length = lookahead(ranked, self.merged)
 
     def normalise(self, text: str) -> str:
-        """NFC, then lower case character by character (no final sigma)."""
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        """NFC, then lower case character by character, both as the library has them."""
+        return lowered(composed(text))
 
 
 def lookahead(pairs: list[tuple[int, int]], merged: list[int]) -> tuple[int, dict[int, int]]:
@@ -166,61 +177,96 @@ class Transducer:
         self.held = []
 
 
+def _next_cut(text: str, place: int) -> int:
+    """The first place from here on before which a word can be cut.
+
+    What stands there must not combine with what precedes it, nor end a contraction.
+    """
+    while place < len(text):
+        c = text[place]
+        joins = unicodedata.category(c)[0] == "M" or 0x1160 <= ord(c) <= 0x11FF
+        if not joins and not (c.isalpha() and "'" in text[max(0, place - 2) : place]):
+            break
+        place += 1
+    return place
+
+
 class Encoder:
     """Ids of texts, in pieces; short words are remembered, as 32-bit ids."""
 
     def __init__(self, model: BpeModel):
         self.model = model
-        self.known = Memo(MEMO_WORDS, self._short_word)
-        self.parts = Memo(MEMO_PARTS, self._short_part)
+        self.way = Transducer(model)
+        self.known = Memo(MEMO_WORDS, self._remembered_word)
+        self.parts = Memo(MEMO_PARTS, self._remembered_part)
 
-    def _short_part(self, part: str) -> bytes:
-        """Ids of a part that fits the transducer's buffer: all of it is read before any is due."""
-        data = part.encode("utf-8", "replace")
-        symbols = [self.model.inner[b] for b in data]
-        symbols[-1] = self.model.final[data[-1]]
-        return array("I", merge_all(symbols, self.model)).tobytes()
-
-    def _short_word(self, word: str) -> bytes:
-        if self.model.special and self.model.special.search(word):
-            return array("I", self._word(word)).tobytes()
-        found = self.model.pattern.findall(word.lower() if word.isascii() else self.model.normalise(word))
-        return b"".join(map(self.parts.__getitem__, found))
-
-    def _part(self, part: str) -> Iterator[int]:
-        """Ids of what the pattern finds as one, of any length."""
+    def _remembered_word(self, word: str) -> bytes:
+        return array("I", self._word(word)).tobytes()
+
+    def _remembered_part(self, part: str) -> bytes:
         data = part.encode("utf-8", "replace")
-        way = Transducer(self.model)
-        yield from way.feed(data[:-1])
-        yield from way.finish(data[-1])
+        return array("I", chain(self.way.feed(data[:-1]), self.way.finish(data[-1]))).tobytes()
 
     def _word(self, word: str) -> Iterator[int]:
         """Ids of a text without blanks and line feeds, of any length."""
         last = 0
         for m in self.model.special.finditer(word) if self.model.special else ():
-            yield from self._plain(word[last : m.start()])
+            yield from self._plain(word, last, m.start())
             yield self.model.added[m.group()]
             last = m.end()
-        yield from self._plain(word[last:])
+        yield from self._plain(word, last, len(word))
 
-    def _plain(self, word: str) -> Iterator[int]:
-        for m in self.model.pattern.finditer(self.model.normalise(word)):
-            part = m.group()
-            yield from array("I", self.parts[part]) if len(part) <= LONG else self._part(part)
+    def _plain(self, word: str, start: int, end: int) -> Iterator[int]:
+        """Ids of a stretch of a word without special tokens."""
+        if end - start <= LONGEST_KEY:
+            for part in parts(self.model.pattern, self.model.normalise(word[start:end])):
+                yield from array("I", self.parts[part])
+        else:
+            yield from self._stretches(word, start, end)
+
+    def _stretches(self, word: str, start: int, end: int) -> Iterator[int]:
+        """The same, read bit by bit: a part that reaches a stretch's end goes on in the next."""
+        way, run, held = Transducer(self.model), None, b""
+        while start < end:
+            cut = min(end, _next_cut(word, start + STRETCH))
+            text, start = self.model.normalise(word[start:cut]), cut
+            if run:  # what of this stretch belongs to the open part
+                more = "".join(parts(run, text))
+                data, text = held + more.encode("utf-8", "replace"), text[len(more) :]
+                yield from way.feed(data[:-1])
+                held = data[-1:]
+                if not text:
+                    continue
+                yield from way.finish(held[0])
+                run = None
+            found = parts(self.model.pattern, text)
+            for i, part in enumerate(found):
+                data = part.encode("utf-8", "replace")
+                yield from way.feed(data[:-1])
+                if i + 1 == len(found) and start < end and text.endswith(part) and part not in CONTRACTIONS:
+                    # Numbers are parts of their own; letters and others may go on.
+                    run = next((r for r in (LETTERS, OTHERS) if parts(r, part)), None)
+                    held = data[-1:]
+                if not run:
+                    yield from way.finish(data[-1])
+        if run:
+            yield from way.finish(held[0])
 
     def encode(self, text: str) -> Iterator[array]:
         """Ids of the text, piece by piece; no token spans a blank."""
-        known = self.known
-        words = text.replace("\n", " ").split(" ")
-        start = 0
-        for end in [i for i, w in enumerate(words) if len(w) > LONG] + [len(words)]:
-            for i in range(start, end, PIECE_WORDS):
-                yield array("I", b"".join(map(known.__getitem__, words[i : min(end, i + PIECE_WORDS)])))
-            if end < len(words):
-                ids = self._word(words[end])
-                while piece := array("I", islice(ids, PIECE_WORDS)):
-                    yield piece
-            start = end + 1
+        start, known = 0, self.known
+        while start < len(text):
+            ends = [e for e in (text.find(c, start + STRETCH) for c in " \n") if e >= 0]
+            end = min(ends, default=len(text))
+            words = text[start:end].replace("\n", " ").split(" ")
+            start, first = end, 0
+            for i, word in enumerate(words):
+                if len(word) > LONGEST_KEY:
+                    yield array("I", b"".join(map(known.__getitem__, words[first:i])))
+                    ids, first = self._word(word), i + 1
+                    while piece := array("I", islice(ids, PIECE_IDS)):
+                        yield piece
+            yield array("I", b"".join(map(known.__getitem__, words[first:])))
 
 
 class Decoder:
