@@ -12,7 +12,8 @@ A token store is a folder of Parquet files whose rows are blocks, in order of sh
 
 Spark writes the blocks, so any file system will do and a lost task is written again. Documents
 are dealt to shards by ranges of id and stay whole; a block closes at a million ids. Reading
-needs no id table: offsets come from the ends, blocks' starts from sums of ``n_ids``.
+needs no id table: every offset within a block is selected, and blocks' starts are sums of
+``n_ids``. Given documents are read by their places alone.
 
 Defined results: a null text is empty and holds the end id alone; null ids come first; rows
 with one id follow each other in order of a hash of their text; an empty table makes an empty
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -131,9 +133,22 @@ class WordEncoder:
                 return np.array([t.id for t in self.model.tokenize(symbols)], self.width).tobytes()
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.width).tobytes()
 
-    def ids(self, text: str) -> bytes:
-        """Ids of a text, as they are stored."""
-        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
+    def batch(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many texts, each with the end id behind, one after another; and how many each has.
+
+        Words are numbered by Arrow, so each distinct word is looked up once, and its ids are
+        gathered for every place where it stands.
+        """
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        of_word = [self.known[word] for word in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, of_word), np.int32, len(of_word)) // np.dtype(self.width).itemsize
+        bounds = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+        lists = pa.ListArray.from_arrays(bounds, pa.array(np.frombuffer(b"".join(of_word), self.width)))
+        ids = lists.take(coded.indices).flatten().to_numpy(zero_copy_only=False)
+        word_ends = np.r_[0, np.cumsum(sizes[coded.indices.to_numpy(zero_copy_only=False)], dtype=np.int64)]
+        ends = word_ends[split.offsets.to_numpy()]
+        return np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -153,10 +168,10 @@ BLOCK = (
 
 
 def _blocks(path: str, end_id: int, block_ids: int, id_type: pa.DataType):
-    def row(shard: int, block: int, width: str, doc_ids: list, parts: list[np.ndarray]) -> pa.RecordBatch:
-        ends = np.cumsum([len(p) for p in parts])
+    def row(shard: int, block: int, width: str, doc_ids: list, parts: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
+        ends = np.cumsum(np.concatenate(sizes))
         index = EliasFano.of(ends)
-        values = [shard, block, len(parts), int(ends[-1]), width, doc_ids, np.concatenate(parts).tobytes()]
+        values = [shard, block, len(ends), int(ends[-1]), width, doc_ids, np.concatenate(parts).tobytes()]
         values += [index.low_bits, index.low, index.high, index.samples]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.list_(id_type), pa.binary()]
         types += [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -164,20 +179,25 @@ def _blocks(path: str, end_id: int, block_ids: int, id_type: pa.DataType):
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, doc_ids, parts, size = TaskContext.get().partitionId(), 0, [], [], 0
+        shard, block, doc_ids, parts, sizes, held = TaskContext.get().partitionId(), 0, [], [], [], 0
         encode = encoder(path)
-        end = np.array([end_id], encode.width).tobytes()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(encode.ids(text.as_py()) + end, encode.width)
-                doc_ids.append(doc_id)
-                parts.append(ids)
-                size += len(ids)
-                if size >= block_ids:
-                    yield row(shard, block, encode.width, doc_ids, parts)
-                    block, doc_ids, parts, size = block + 1, [], [], 0
-        if parts:
-            yield row(shard, block, encode.width, doc_ids, parts)
+            ids, lengths = encode.batch(batch.column(1), end_id)
+            ends, first = np.r_[0, np.cumsum(lengths)], 0
+            while first < batch.num_rows:
+                # Up to the document with which the block is full.
+                last = int(np.searchsorted(ends, ends[first] + block_ids - held))
+                last = min(max(last, first + 1), batch.num_rows)
+                doc_ids += batch.column(0)[first:last].to_pylist()
+                parts.append(ids[ends[first] : ends[last]])
+                sizes.append(lengths[first:last])
+                held += int(ends[last] - ends[first])
+                if held >= block_ids:
+                    yield row(shard, block, encode.width, doc_ids, parts, sizes)
+                    block, doc_ids, parts, sizes, held = block + 1, [], [], [], 0
+                first = last
+        if doc_ids:
+            yield row(shard, block, encode.width, doc_ids, parts, sizes)
 
     return of
 
@@ -199,22 +219,61 @@ def write_store(
     blocks.write.option("compression", "zstd").parquet(path)
 
 
+class Block:
+    """One row of a store: where a document's ids are is told by select alone."""
+
+    def __init__(self, batch: pa.RecordBatch, b: int):
+        one = lambda name: batch.column(name)[b].as_py()
+        self.n_docs = one("n_docs")
+        self.ends = EliasFano(self.n_docs, one("low_bits"), one("low"), one("high"), one("samples"))
+        self.ids = np.frombuffer(batch.column("ids")[b].as_buffer(), one("width"))
+
+    def bounds(self, i: int) -> tuple[int, int]:
+        return self.ends[i - 1] if i else 0, self.ends[i]
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in range(batch.num_rows):
-            row = {n: batch.column(n)[b] for n in ("shard", "block", "n_docs", "width", "low_bits")}
-            row = {n: v.as_py() for n, v in row.items()}
-            parts = [batch.column(n)[b].as_py() for n in ("low", "high", "samples")]
-            ends = EliasFano(row["n_docs"], row["low_bits"], *parts).all()
-            starts = np.r_[0, ends[:-1]]
-            ids = np.frombuffer(batch.column("ids")[b].as_buffer(), row["width"])
-            crc = [zlib.crc32(ids[a:z].astype("<u4")) for a, z in zip(starts, ends, strict=True)]
-            same = np.full(len(ends), row["shard"], np.int32), np.full(len(ends), row["block"], np.int32)
+            block, start, rows = Block(batch, b), 0, []
+            for i in range(block.n_docs):
+                end = block.ends[i]
+                rows.append((start, end - start, zlib.crc32(block.ids[start:end].astype("<u4"))))
+                start = end
+            same = [np.full(len(rows), batch.column(name)[b].as_py(), np.int32) for name in ("shard", "block")]
+            numbers = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(same[0]), pa.array(same[1]), batch.column("doc_ids")[b].values,
-                 pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                [*map(pa.array, same), batch.column("doc_ids")[b].values, *numbers],
                 ["shard", "block", "doc_id", "first", "n_tokens", "ids_crc32"],
-            )
+            )
+
+
+STORED = ["n_docs", "width", "ids", "low_bits", "low", "high", "samples"]
+
+
+def _read_given(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for b in range(batch.num_rows):
+            block = Block(batch, b)
+            wanted = batch.column("wanted")[b].as_py()
+            ids = [block.ids[slice(*block.bounds(w["place"]))].astype(np.int32) for w in wanted]
+            found = pa.array([w["doc_id"] for w in wanted], batch.schema.field("doc_ids").type.value_type)
+            yield pa.RecordBatch.from_arrays([found, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+
+
+def read_given(spark: SparkSession, path: str, doc_ids: DataFrame) -> DataFrame:
+    """doc_id and ids of given documents, end id included; ids that aren't in the store give none.
+
+    Only the lists of doc_ids are read of all blocks; of those that hold a wanted document each
+    one's two offsets are selected, and nothing else of the index is decoded.
+    """
+    blocks = spark.read.parquet(path)
+    places = blocks.select("shard", "block", F.posexplode("doc_ids").alias("place", "doc_id"))
+    wanted = places.join(doc_ids.select("doc_id").distinct(), "doc_id").groupBy("shard", "block")
+    wanted = wanted.agg(F.collect_list(F.struct("place", "doc_id")).alias("wanted"))
+    held = blocks.select("shard", "block", "doc_ids", *STORED).join(wanted, ["shard", "block"])
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    return held.mapInArrow(_read_given, f"doc_id {kind}, ids array<int>")
 
 
 def read_documents(spark: SparkSession, path: str, staging: Staging) -> DataFrame:
@@ -228,7 +287,7 @@ def read_documents(spark: SparkSession, path: str, staging: Staging) -> DataFram
     within = sizes.select("shard", "block", earlier(W.partitionBy("shard").orderBy("block")).alias("block_start"))
     starts = staging.write(within.join(shards, "shard"), "starts")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    docs = blocks.select("shard", "block", "n_docs", "width", "doc_ids", "ids", "low_bits", "low", "high", "samples").mapInArrow(
+    docs = blocks.select("shard", "block", "doc_ids", *STORED).mapInArrow(
         _read, f"shard int, block int, doc_id {kind}, first long, n_tokens long, ids_crc32 long"
     )
     start = F.col("shard_start") + F.col("block_start") + F.col("first")
