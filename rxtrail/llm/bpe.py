@@ -32,14 +32,14 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice, pairwise
+from itertools import islice, pairwise
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxtrail.llm.letters import composed, lowered, parts
+from rxtrail.llm.letters import normal, parts
 from rxtrail.llm.shared import LONGEST_KEY, Memo, byte_symbols, text_or_empty
 
 MEMO_WORDS, MEMO_PARTS = 80_000, 200_000
@@ -81,7 +81,7 @@ class BpeModel:
 
     def normalise(self, text: str) -> str:
         """NFC, then lower case character by character, both as the library has them."""
-        return lowered(composed(text))
+        return normal(text)
 
 
 def lookahead(pairs: list[tuple[int, int]], merged: list[int]) -> tuple[int, dict[int, int]]:
@@ -201,11 +201,13 @@ class Encoder:
         self.parts = Memo(MEMO_PARTS, self._remembered_part)
 
     def _remembered_word(self, word: str) -> bytes:
-        return array("I", self._word(word)).tobytes()
+        if len(word) > LONGEST_KEY or self.model.special and self.model.special.search(word):
+            return array("I", self._word(word)).tobytes()
+        return b"".join(map(self.parts.__getitem__, parts(self.model.pattern, self.model.normalise(word))))
 
     def _remembered_part(self, part: str) -> bytes:
-        data = part.encode("utf-8", "replace")
-        return array("I", chain(self.way.feed(data[:-1]), self.way.finish(data[-1]))).tobytes()
+        data, way = part.encode("utf-8", "replace"), self.way
+        return array("I", [*way.feed(data[:-1]), *way.finish(data[-1])]).tobytes()
 
     def _word(self, word: str) -> Iterator[int]:
         """Ids of a text without blanks and line feeds, of any length."""

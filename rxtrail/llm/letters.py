@@ -53,10 +53,13 @@ class Characters:
 
     def any_in(self, text: str) -> bool:
         # Most texts have hardly a character from the least one on, and one range is a quick test.
+        if not self._from_least.search(text):
+            return False
         return any(not self.characters.isdisjoint(part) for part in self._from_least.findall(text))
 
 
 _unmoved, _later_lower = Characters(UNMOVED), Characters(LATER_LOWER)
+_may_differ = re.compile(f"[\\U{min(UNMOVED | set(LATER_LOWER)):08x}-\\U0010ffff]").search
 
 
 def composed(text: str) -> str:
@@ -78,6 +81,15 @@ def lowered(text: str) -> str:
     return text.replace("Σ", "σ").lower()
 
 
+def normal(text: str) -> str:
+    """Composed, then in lower case."""
+    if text.isascii():
+        return text.lower()
+    if not _may_differ(text):
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    return lowered(composed(text))
+
+
 @cache
 def _misread() -> tuple[Characters, dict[int, str]]:
     """Characters of another class to the pattern module than to the libraries, and for each a

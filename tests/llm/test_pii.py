@@ -1,0 +1,81 @@
+"""Spans that overlap, generators without bounds, and how much of planted data is found."""
+
+import random
+import time
+
+import pytest
+
+from rxtrail.llm import pii, shared
+
+
+class Sure(pii.Trees):
+    """Every candidate scores 0.9."""
+
+    def __init__(self):
+        super().__init__(trees=[[]], thresholds=dict.fromkeys(pii.KINDS, 0.5))
+
+    def scores(self, x):
+        return pii.np.full(len(x), 0.9)
+
+
+@pytest.mark.parametrize(
+    ("text", "left"),
+    [
+        ("token=abcd4111111111111111xyzQRS end", "token=[SECRET] end"),
+        ("password: xx1.2.3.4yyzz, then", "password: [SECRET] then"),
+        ('api_key = "me@example.com/abcdef" end', 'api_key = "[SECRET]" end'),
+        ("mail a@b.co now", "mail [EMAIL] now"),
+    ],
+)
+def test_secrets_around_base_matches_go_whole(text, left):
+    base, every = pii.select(text, Sure())
+    assert base == pii.base_spans(text) and set(base) <= set(every) and len(base) == 1
+    assert pii.redacted(text, every) == left
+
+
+def test_redacting_covers_the_union():
+    pick = random.Random(51)
+    text = "".join(pick.choice("abcdef") for _ in range(60))
+    for _ in range(500):
+        spans = [(pick.choice(pii.KINDS), a, a + pick.randrange(1, 12)) for a in (pick.randrange(48) for _ in range(pick.randrange(6)))]
+        left = "".join(c for i, c in enumerate(text) if not any(a <= i < b for _, a, b in spans))
+        shown = pii.redacted(text, spans)
+        for kind in pii.KINDS:
+            shown = shown.replace(f"[{kind.upper()}]", "")
+        assert shown == left
+
+
+def test_generators_have_no_bounds():
+    long = "a" * 500
+    found = lambda text: {c[:3] for c in pii.candidates(text, [])}
+    assert ("email", 0, 500 + 4 + 500 + 5 + 40) in found(f"{long} at {long} dot {'x' * 40}")
+    assert ("phone", 0, 400) in found("7" * 400)
+    for text in ("a.-%" * 50_000, "1 " * 100_000, "a at " * 40_000, "( " * 100_000, "x at y dot " * 20_000):
+        start = time.process_time()
+        pii.candidates(text, [])
+        assert time.process_time() - start < 20
+
+
+def planted(pick, i):
+    """A text and the personal data in it that no base pattern takes whole."""
+    word = lambda n: "".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    filler = lambda: " ".join(word(pick.randrange(2, 9)) for _ in range(pick.randrange(5, 25)))
+    secret = "".join(pick.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789+/") for _ in range(pick.randrange(20, 48)))
+    # Plain text after a cue word is what is no secret.
+    clean = [f"the key is {word(7)}", f"password: {word(3) * 3}", f"section {pick.randrange(99)}.{pick.randrange(99)}", f"in {pick.randrange(1900, 2020)}"]
+    if i % 3 == 0:
+        return f"{filler()} {pick.choice(['api_key', 'token', 'secret'])} = \"{secret}\" {filler()}", secret
+    return f"{filler()} {pick.choice(clean)} {filler()}", None
+
+
+def test_planted_secrets(spark):
+    """Texts of the fit are not those that are judged."""
+    pick = random.Random(52)
+    known = [planted(pick, i) for i in range(3000)]
+    fresh = [planted(pick, i) for i in range(600)]
+    frame = lambda made: shared.small_batches(spark).createDataFrame([(i, t) for i, (t, _) in enumerate(made)], "doc_id long, text string")
+    trees = pii.fit(frame(known))
+    found = {r.doc_id: r.redacted for r in pii.found(frame(fresh), trees).collect()}
+    hits = [s not in found[i] for i, (_, s) in enumerate(fresh) if s]
+    false = ["[SECRET]" in found[i] for i, (_, s) in enumerate(fresh) if not s]
+    assert sum(hits) >= 0.9 * len(hits) and sum(hits) >= 0.9 * (sum(hits) + sum(false))
