@@ -91,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL = {
+    "op2_substring_dedup": substring.SQL_REPORT,
     "op4_quality_rules": quality.SQL_REPORT,
     "op8_exact_dedup": exact.SQL_REPORT,
     "op9_source_mix": mixing.SQL_REPORT,

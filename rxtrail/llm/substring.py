@@ -13,13 +13,17 @@ smaller id. Hashes are polynomials over word hashes modulo 2^64, rolled by prefi
 * Documents meet what is sent to their lane and mark the windows; overlapping windows merge
   into maximal intervals, and what lies outside is kept.
 
-Texts move once, to meet their removals. The number of buckets and lanes follows the number
-of shuffle partitions, so either holds a partition's share; a run is bounded by its words. Equality is by 64-bit hash: among n windows the chance of
-any false match is about n^2 / 2^65 (1 in 2,000 for 133 million windows).
+Texts move once, to meet their removals. Buckets and lanes are as many as the bytes of all texts
+need for ``LANE_BYTES`` each, so a table in a task is bounded whatever the number of partitions;
+a document's lane is a hash of its id, so ids with a common factor spread as well; a run is
+bounded by its words. Equality is by 64-bit hash: among n windows the chance of any false match is
+about n^2 / 2^65 (1 in 2,000 for 133 million windows; of 10^13 windows, 100 TB, some millions
+would match falsely).
 
 Defined results: a null text has no words; fewer than 13 words make no window; ids compare
-as integers, a null id is larger than any; rows that share an id don't remove each other's
-words; an empty table gives an empty result.
+as integers; rows without an id come after all others, by a hash of their text (as ids within
+2^44 of the largest possible one do); rows that share an id, or a text and no id, don't remove
+each other's words and share a lane; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -40,12 +44,32 @@ from rxtrail.llm.shared import text_or_empty
 WINDOW = 13
 RUN_WORDS = 1 << 21
 BUCKETS_PER_PARTITION = 2
+LANE_BYTES = 32 << 20
 NO_ID = np.iinfo(np.int64).max
 #: An odd multiplier and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+#: The primes of XXH64.
+PRIMES = [np.uint64(p) for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)]
+
+
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """XXH64 of 64-bit integers with seed 42, which is what Spark's xxhash64 gives for one."""
+    p1, p2, p3, p4, p5 = PRIMES
+    turned = lambda x, n: x << np.uint64(n) | x >> np.uint64(64 - n)
+    h = turned(keys.astype(np.int64).view(np.uint64) * p2, 31) * p1 ^ (np.uint64(42 + 8) + p5)
+    h = turned(h, 27) * p1 + p4
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    return h ^ h >> np.uint64(32)
+
+
+def lanes_of(keys: np.ndarray, lanes: int) -> np.ndarray:
+    return np.mod(hashed(keys).view(np.int64), lanes)
+
+
 class Powers:
     """Powers of a number modulo 2^64, extended as needed."""
 
@@ -126,7 +150,7 @@ def _entries_of_run(keys: list[int], tags: list[int], windows: list[np.ndarray],
         d = doc[part[0]]
         key = int(keys_up[d])
         spans = merged(at[part], window).astype(np.int64)
-        rows.append((key % buckets, None, None, None, key, tags[order[d]], pack(spans.ravel())))
+        rows.append((int(lanes_of(np.array([key]), buckets)[0]), None, None, None, key, tags[order[d]], pack(spans.ravel())))
     hashes = hashes[new]
     place = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])
@@ -186,9 +210,9 @@ def _removals(lanes: int):
             new = np.r_[True, hashes[1:] != hashes[:-1]]
             least = np.minimum.reduceat(ids, np.flatnonzero(new))[np.cumsum(new) - 1]
             hashes, ids = hashes[ids > least], ids[ids > least]
-            order = np.lexsort((ids, ids % lanes))
-            hashes, ids = hashes[order], ids[order]
-            lane = ids % lanes
+            lane = lanes_of(ids, lanes)
+            order = np.lexsort((ids, lane))
+            hashes, ids, lane = hashes[order], ids[order], lane[order]
             edges = np.flatnonzero(np.r_[True, lane[1:] != lane[:-1]][: len(ids)])
             for start, end in zip(edges, np.r_[edges[1:], len(ids)], strict=False):
                 gaps = np.diff(ids[start:end], prepend=0)
@@ -250,20 +274,26 @@ def _marked(words: list[bytes], sent: np.ndarray, spans: pa.Scalar | None, windo
     return np.flatnonzero(np.diff(inside)).reshape(-1, 2).tolist()
 
 
-def cleaned(docs: DataFrame, window: int = WINDOW, run_words: int = RUN_WORDS) -> DataFrame:
+def cleaned(docs: DataFrame, window: int = WINDOW, run_words: int = RUN_WORDS, lane_bytes: int = LANE_BYTES) -> DataFrame:
     """doc_id, n_words, removed (maximal word intervals) and kept (the other words, joined)."""
     lanes = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID)))
-    rows = docs.select("doc_id", key.alias("doc_key"), text_or_empty("text").cast("binary").alias("text"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    lanes = max(lanes, -(-n_bytes // lane_bytes))
+    parts = max(1, lanes // BUCKETS_PER_PARTITION)
+    text = text_or_empty("text")
+    without = F.lit(int(NO_ID)) - F.pmod(F.xxhash64(text), F.lit(1 << 44))
+    key = F.coalesce(F.col("doc_id").cast("long"), without)
+    rows = docs.select("doc_id", key.alias("doc_key"), text.cast("binary").alias("text"))
     kinds = "bucket int, hashes binary, ids binary, base long, doc_key long, tag long, spans binary"
     entries = rows.select("doc_key", "text").mapInArrow(_entries(window, lanes, run_words), kinds)
-    removals = entries.groupBy("bucket").applyInArrow(_removals(lanes), REMOVALS)
-    lane = F.pmod("doc_key", F.lit(lanes)).cast("int").alias("lane")
+    removals = entries.repartition(parts, "bucket").groupBy("bucket").applyInArrow(_removals(lanes), REMOVALS)
+    lane = F.pmod(F.xxhash64("doc_key"), F.lit(lanes)).cast("int").alias("lane")
     kind = docs.schema["doc_id"].dataType
     return (
         rows.select("doc_id", "doc_key", "text", lane)
+        .repartition(parts, "lane")
         .groupBy("lane")
-        .cogroup(removals.groupBy("lane"))
+        .cogroup(removals.repartition(parts, "lane").groupBy("lane"))
         .applyInArrow(
             _clean(window, to_arrow_type(kind)),
             f"doc_id {kind.simpleString()}, n_words long, removed array<struct<start:long,end:long>>, kept string",
@@ -276,3 +306,15 @@ def report(docs: DataFrame) -> DataFrame:
     return cleaned(docs).select(
         "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+SQL_REPORT = r"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT doc_id, i, list_slice(ws, i, i + 12) AS x FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM w)),
+least AS (SELECT x, min(doc_id) AS m FROM win GROUP BY x HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS k FROM win JOIN least USING (x) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(ws) AS x, unnest(generate_series(1, len(ws))) AS k FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY k) AS t FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
