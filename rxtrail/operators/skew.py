@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxtrail.config import SkewLimits
+from rxtrail.operators.bloom import may_be_among
 from rxtrail.sources.staging import Staging
 
 
@@ -111,15 +112,17 @@ def dimension_join(
     """Join a dimension of a few fixed-width columns to rows whose copies do not matter.
 
     It is counted first: up to ``broadcast_rows`` rows it is broadcast and the rows do not
-    move. Beyond that rows shuffle by key; those without a key match nothing and stay where
-    they are, and those of hot keys are dealt over slots, without their copies, which would
-    all go to one. ``rows`` are read once for each of these, so they should be a scan of the
-    columns needed, or stored.
+    move. Beyond that a Bloom filter of its keys, a megabyte whatever their number, tells at the
+    scan which rows may match: only those shuffle by key, those without a match or a key stay
+    where they are. Rows of hot keys are dealt over slots, without their copies, which would all
+    go to one. ``rows`` are read once for each of these, so they should be a scan of the columns
+    needed, or stored.
     """
     if dimension.count() <= limits.broadcast_rows:
         return rows.join(F.broadcast(dimension), list(keys), how)
-    has_key = reduce(and_, [F.col(key).isNotNull() for key in keys])
-    keyed = rows.where(has_key)
+    may_match = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    may_match &= may_be_among(dimension.select(*keys), keys, staging)
+    keyed = rows.where(may_match)
 
     def join(part: DataFrame, is_hot: bool) -> DataFrame:
         if is_hot:
@@ -130,7 +133,7 @@ def dimension_join(
     joined = per_key(keyed, hot, join)
     if how == "left_semi":
         return joined
-    return joined.unionByName(rows.where(~has_key), allowMissingColumns=True)
+    return joined.unionByName(rows.where(~may_match), allowMissingColumns=True)
 
 
 def per_key(
