@@ -3,6 +3,12 @@
 Each stage takes the documents that its predecessor kept, written as Parquet and read again,
 and returns documents in the same columns; the last returns ids. SQL has no counterpart for
 SimHash and BPE, so ``ORACLE_SQL`` is None and tests hold ``run`` against brute force.
+
+Defined results: a null or empty text has too few words and goes in the first stage; of equal
+texts, repeated rows included, one row with the largest doc_id stays, of near copies one with the
+smallest, and a null id only if there is no other; a null source is a source of its own, the last
+one; rows without an id draw alike in the mix; columns beside doc_id, text, n_chars and source are
+carried along unread, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
