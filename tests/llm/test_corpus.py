@@ -421,6 +421,11 @@ def test_pipeline(spark, docs, tmp_path):
     assert found == Counter(tuple(r) for r in bpe.report(mixed, TOKENIZER).collect()) and found
 
 
+def test_pipeline_of_an_empty_table(spark, docs, tmp_path):
+    docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_empty_tables(spark, docs):
     none, store = docs.where("false"), shared.staging(spark)
     stored = store.write(none, "none")
