@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +64,22 @@ def test_product_names(spark):
     assert not value(spark, text.mentions(F.lit("50%"), F.lit("0\\%")))
     assert value(spark, text.mentions(F.lit("x beta\\cox"), F.lit("Beta\\cox")))
     assert value(spark, text.mentions(F.lit("x beta\\cox"), F.lit("Bet_\\cox")))
+
+
+def test_wildcards_are_met_without_a_pattern_per_row(spark):
+    """Random texts and names over few characters, held against a pattern of each name."""
+    draw = random.Random(5)
+    some = lambda letters, n: "".join(draw.choice(letters) for _ in range(draw.randrange(n)))
+    pairs = [(some("abB\\,\n\U0001f600", 9), some("aAb\\%_%_\U0001f600", 6)) for _ in range(3000)]
+    pairs += [(None, "a%"), ("a", None), (None, "%"), ("", "%"), ("", "_"), ("ab", "b%a"), ("aab", "a_%b")]
+    rows = spark.createDataFrame(pairs, "text string, name string")
+    found = rows.select("text", "name", text.mentions(F.col("text"), F.col("name")).alias("found"))
+    for r in found.collect():
+        if r.text is None or r.name is None:
+            assert r.found is None
+            continue
+        wild = {"%": ".*", "_": "."}
+        pattern = "".join(wild.get(c) or re.escape(c) for c in r.name.lower())
+        assert r.found == bool(re.search(pattern, r.text.lower(), re.DOTALL)), (r.text, r.name)
+    plan = found._jdf.queryExecution().toString().lower()
+    assert "like" not in plan and "regexp" not in plan
