@@ -11,7 +11,8 @@ numbers, keeps preformatted text, and aligns the cells of a table in columns.
 Defined results: a null or empty page has no text; text outside any tag is shown; unclosed
 tags, comments and scripts end with the page; nesting may have any depth, but lines are indented
 for ``DEEPEST`` levels of lists and quotes at most; a cell wider than ``WIDEST`` is wrapped within
-its column unless it is the last of its row; columns in which no cell begins take no room.
+its column unless it is the last of its row; a cell of several blocks has several lines, and a cell
+of blanks none; columns in which no cell begins take no room.
 """
 
 from __future__ import annotations
@@ -369,26 +370,36 @@ def _span(cell: Node, name: str, least: int, most: int) -> int:
 
 
 def _wrapped(text: str) -> list[str]:
-    """A cell's text in lines of up to ``WIDEST`` characters; only longer words are broken."""
+    """A line of a cell in lines of up to ``WIDEST`` characters; only longer words are broken, and
+    all keep the indentation of the first, up to half the width."""
+    if len(text) <= WIDEST:
+        return [text]
+    body = text.lstrip(" ")
+    indent = text[: min(len(text) - len(body), WIDEST // 2)]
+    room = WIDEST - len(indent)
     lines, line = [], ""
-    for word in text.split(" "):
-        if line and len(line) + 1 + len(word) > WIDEST:
+    for word in body.split(" "):
+        if line and len(line) + 1 + len(word) > room:
             lines.append(line)
             line = word
         else:
             line = f"{line} {word}" if line else word
-        if len(line) > WIDEST:
-            parts = [line[i : i + WIDEST] for i in range(0, len(line), WIDEST)]
+        if len(line) > room:
+            parts = [line[i : i + room] for i in range(0, len(line), room)]
             lines += parts[:-1]
             line = parts[-1]
-    return [*lines, line]
+    return [indent + x for x in (*lines, line)]
 
 
 def _table(node: Node) -> Step:
-    """A table's caption and rows, cells padded to their columns; stray text comes first."""
+    """A table's caption and rows, cells padded to their columns; stray text comes first.
+
+    A cell keeps the lines of its blocks, lists and tables; the row is as high as its highest cell.
+    The last cell of a row, and so the only one of a layout table, is laid out like any block.
+    """
     loose = [c for c in node.children if isinstance(c, str) or c.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col")]
     out = yield _inside(loose)
-    grid: list[dict[int, str]] = []
+    grid: list[dict[int, list[str]]] = []
     above: list[tuple[int, int, int]] = []  # first column, end and last row of cells from rows above
     before = 0
     for number, (section, row) in enumerate(_rows(node)):
@@ -404,7 +415,10 @@ def _table(node: Node) -> Step:
                 passed += 1
             inside = cell.children if isinstance(cell, Node) and cell.tag in ("td", "th") else [cell]
             lines = yield _inside(inside)
-            cells[column] = " ".join(x.strip() for x in flat(lines) if x)
+            lines = [x.rstrip() for x in flat(lines)]
+            while lines and not lines[-1]:
+                lines.pop()
+            cells[column] = lines or [""]
             wide, high = (_span(cell, "colspan", 1, 1000), _span(cell, "rowspan", 0, 65534)) if isinstance(cell, Node) else (1, 1)
             if high != 1:  # 0 is all rows to come
                 new.append((column, column + wide, number + (high or 1 << 31) - 1))
@@ -416,7 +430,8 @@ def _table(node: Node) -> Step:
     laid = []
     for cells in grid:
         last = max(cells, default=-1)
-        laid.append({place[c]: _wrapped(text) if c < last else [text] for c, text in cells.items()})
+        whole = lambda c, lines: lines if c == last else [x for line in lines for x in _wrapped(line)]  # noqa: B023, E731
+        laid.append({place[c]: whole(c, lines) for c, lines in cells.items()})
         for c, lines in laid[-1].items():
             widths[c] = max(widths[c], *(len(x) for x in lines if len(x) <= WIDEST), 0)
     for cells in laid:
@@ -424,7 +439,7 @@ def _table(node: Node) -> Step:
             last = max((c for c, lines in cells.items() if i < len(lines)), default=-1)
             at = lambda c: cells[c][i] if c in cells and i < len(cells[c]) else ""  # noqa: B023, E731
             line = "  ".join(at(c).ljust(widths[c]) for c in range(last + 1)).rstrip()
-            if line:
+            if line or i:  # a row without text has no line, but its cells keep their blank ones
                 out.append(line)
     return out
 
