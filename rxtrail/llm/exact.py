@@ -211,7 +211,9 @@ class DedupStore:
         keepers = hits.select(
             F.col("keeper.place").alias("at"), F.col("keeper.place.batch").alias("in_batch"), "n"
         )
-        kept = texts.join(keepers, (F.col("batch") == F.col("in_batch")) & (F.col("place") == F.col("at"))).select(
+        # At most a name for each call of add.
+        named = [r.in_batch for r in keepers.select("in_batch").distinct().collect()]
+        kept = texts.where(F.col("batch").isin(named)).join(keepers, F.col("place") == F.col("at")).select(
             "digest", "text", F.ceil(F.col("n") / PART).alias("parts")
         )
         _apart(mine.where("NOT stays"), kept).write.mode("append").parquet(f"{self.folder}/apart")

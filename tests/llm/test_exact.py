@@ -1,5 +1,6 @@
 """Exact deduplication over batches, and groups of a third of the rows."""
 
+import re
 from collections import Counter
 
 import pytest
@@ -81,3 +82,18 @@ def test_batches_of_no_rows(spark, tmp_path):
     some = spark.createDataFrame([(1, "a", "x", 1, "y"), (2, "A", "x", 1, "y")], SCHEMA)
     assert three(store.add(some, "some", shared.staging(spark))) == Counter({(1, 2, 2): 1, (2, 2, 2): 1})
     assert store.add(none, "none2", shared.staging(spark)).count() == 0
+
+
+def test_only_batches_that_hits_name_are_read_again(spark, tmp_path, monkeypatch):
+    store, read, apart = exact.DedupStore(spark, str(tmp_path / "store")), [], exact._apart
+
+    def seen(others, kept):
+        filters = re.findall(r"PartitionFilters: \[(.*?)\]", kept._jdf.queryExecution().executedPlan().toString())
+        read.append(set(re.findall(r"\bb[0-9]\b", " ".join(filters))))
+        return apart(others, kept)
+
+    monkeypatch.setattr(exact, "_apart", seen)
+    for k, texts in enumerate((["a", "b"], ["c", "d"], ["e", "A"], ["f"])):
+        docs = spark.createDataFrame([(-10 * k - i, t, "x", 1, "y") for i, t in enumerate(texts)], SCHEMA)
+        store.add(docs, f"b{k}", shared.staging(spark))
+    assert read == [set(), set(), {"b0"}, set()]
