@@ -265,3 +265,6 @@ QUERIES: dict[str, str] = {
         UNION ALL
         SELECT * FROM chronic_before ANTI JOIN emitted USING ({_KEY}, rule)""",
 }
+
+# The same rows by another way.
+OTHER_WAYS: dict[str, str] = {"daystate_merge": QUERIES["chronic_purchases"]}

@@ -87,33 +87,41 @@ def with_surroundings(days: DataFrame, *kept: str) -> DataFrame:
     )
 
 
-def validator_steps(tagged: DataFrame, config: ChronicConfig) -> DataFrame:
-    """Per patient and month, the change in the number of validators within the look-back."""
-    sightings = (
+def validator_sightings(tagged: DataFrame, config: ChronicConfig) -> DataFrame:
+    """The months in which a patient's validator purchases were seen."""
+    return (
         tagged.where(config.member("tag", *VALIDATORS) & F.col("transaction_odu_id").isNotNull())
-        .groupBy(*PATIENT, "transaction_odu_id")
-        .agg(F.collect_set(month_index(F.col("transaction_datetime"))).alias("months"))
+        .select(*PATIENT, "transaction_odu_id", month_index(F.col("transaction_datetime")).alias("month"))
+        .distinct()
+    )
+
+
+def validator_steps(sightings: DataFrame, config: ChronicConfig) -> DataFrame:
+    """Per patient and month, the change in the number of validators within the look-back."""
+    months = (
+        sightings.groupBy(*PATIENT, "transaction_odu_id")
+        .agg(F.collect_set("month").alias("months"))
         .withColumn("months", F.sort_array("months"))
     )
 
     def changes(month: Column, position: Column) -> Column:
         return counts_from(month, F.get("months", position - 1), config)
 
-    return sightings.select(
+    return months.select(
         *PATIENT, F.inline(F.flatten(F.transform("months", changes)))
     )
 
 
-def patient_calendar(tagged: DataFrame, patients: DataFrame, config: ChronicConfig) -> DataFrame:
-    """Days with lines of dogs and cats, with the flags and validator count of each day."""
-    events = tagged.select(
-        *PATIENT,
-        event_date().alias("event_date"),
-        *[column.alias(flag) for flag, column in day_flags(config).items()],
-        F.lit(True).alias("has_lines"),
-    )
+def patient_calendar(
+    events: DataFrame, sightings: DataFrame, patients: DataFrame, config: ChronicConfig
+) -> DataFrame:
+    """Days with lines of dogs and cats, with the flags and validator count of each day.
+
+    ``events`` are days with their flags and whether they ``has_lines`` to be judged, in any
+    number of rows a day.
+    """
     days = (
-        events.unionByName(validator_steps(tagged, config), allowMissingColumns=True)
+        events.unionByName(validator_steps(sightings, config), allowMissingColumns=True)
         .groupBy(*DAY)
         .agg(
             *[F.max(flag).alias(flag) for flag in NEARBY],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -18,6 +19,7 @@ from rxtrail.operators.calendar import (
     day_flags,
     event_date,
     patient_calendar,
+    validator_sightings,
     with_surroundings,
 )
 from rxtrail.operators.skew import HotKeys, find_hot_keys, lookup_join
@@ -58,12 +60,14 @@ NEARBY_RULES: list[tuple[tuple[str, ...], str, str | None]] = [
 ]
 
 
-def invoice_flags(tagged: DataFrame, config: ChronicConfig) -> DataFrame:
+def invoice_flags(
+    tagged: DataFrame, config: ChronicConfig, keys: Sequence[str] = INVOICE
+) -> DataFrame:
     """Invoices holding anything that can explain a purchase on them."""
     named = sorted({name for names in ON_INVOICE.values() for name in names})
     return (
         tagged.where(config.member("tag", *named) & F.col("invoice_odu_id").isNotNull())
-        .groupBy(*INVOICE)
+        .groupBy(*keys)
         .agg(*[F.max(config.member("tag", *tags)).alias(f) for f, tags in ON_INVOICE.items()])
     )
 
@@ -186,11 +190,26 @@ def judged_by_lookup(
 ) -> DataFrame:
     """Judged purchases of patients of any size: lookups dealt over many tasks."""
     tagged = staging.write(tagged.distinct(), "tagged_of_hot")
-    days = staging.write(patient_calendar(tagged, patients, config), "calendar")
+    flags = [column.alias(flag) for flag, column in day_flags(config).items()]
+    events = tagged.select(*PATIENT, event_date().alias("event_date"), *flags, F.lit(True).alias("has_lines"))
+    calendar = patient_calendar(events, validator_sightings(tagged, config), patients, config)
     rows = tagged.where(is_judged(config)).withColumn("event_date", event_date())
+    return judged_beside(rows, calendar, invoice_flags(tagged, config), hot_patients, config, staging)
+
+
+def judged_beside(
+    rows: DataFrame,
+    calendar: DataFrame,
+    invoices: DataFrame,
+    hot_patients: HotKeys | None,
+    config: ChronicConfig,
+    staging: Staging,
+) -> DataFrame:
+    """Lines to be judged, by what their days and invoices hold."""
+    days = staging.write(calendar, "calendar")
     hot_invoices = find_hot_keys(rows, INVOICE, config.skew, staging)
     rows = lookup_join(rows, days, DAY, hot_patients, how="inner")
-    rows = lookup_join(rows, invoice_flags(tagged, config), INVOICE, hot_invoices)
+    rows = lookup_join(rows, invoices, INVOICE, hot_invoices)
     judged = staging.write(rows.select(*judged_columns(config)), "judged_by_lookup")
 
     verdicts = judged.groupBy(*PURCHASE).agg(

@@ -86,26 +86,32 @@ def in_input_months(config: ChronicConfig) -> Column:
     )
 
 
-def recent_revenue_lines(transactions: DataFrame, config: ChronicConfig) -> DataFrame:
-    """Revenue lines of the input months that were not declined; all of it reaches the scan."""
+def recent_revenue_lines(
+    transactions: DataFrame, config: ChronicConfig, when: Column | None = None
+) -> DataFrame:
+    """Revenue lines that were not declined, by default of the input months; all of it reaches the scan."""
     declined = F.col("description").ilike("%declined%")
     return transactions.where(
-        in_input_months(config)
+        (in_input_months(config) if when is None else when)
         & F.col("is_revenue")
         & (F.col("description").isNull() | ~declined)
     )
 
 
+def whitelist(practice_info: DataFrame) -> DataFrame:
+    listed = practice_info.where(
+        (F.col("timeframe") == "Current Year") & (F.col("patient_type") == "Non Home Delivery")
+    )
+    return listed.select(*PRACTICE).distinct()
+
+
 def at_whitelisted_practices(
     lines: DataFrame, practice_info: DataFrame, config: ChronicConfig, staging: Staging
 ) -> DataFrame:
     """Lines of practices listed for the current year without home delivery."""
-    listed = practice_info.where(
-        (F.col("timeframe") == "Current Year") & (F.col("patient_type") == "Non Home Delivery")
-    )
     return dimension_join(
         lines,
-        listed.select(*PRACTICE).distinct(),
+        whitelist(practice_info),
         PRACTICE,
         config.skew,
         staging,
@@ -168,14 +174,19 @@ def patients_with_news(
 
 
 def relevant_lines(
-    inputs: ChronicInputs, config: ChronicConfig, staging: Staging, wanted: Column | None = None
+    inputs: ChronicInputs,
+    config: ChronicConfig,
+    staging: Staging,
+    wanted: Column | None = None,
+    when: Column | None = None,
 ) -> DataFrame:
     """The lines of any species that matter. With small dimensions, rows never move.
 
     The list of practices comes last, so that a large one moves relevant lines alone. ``wanted``
-    is a condition on the columns of a line that is met at the scan.
+    is a condition on the columns of a line that is met at the scan, as is ``when``, by default
+    the input months.
     """
-    lines = recent_revenue_lines(inputs.transactions, config).select(*LINE)
+    lines = recent_revenue_lines(inputs.transactions, config, when).select(*LINE)
     if wanted is not None:
         lines = lines.where(wanted)
     lines = with_catalog_tags(lines, inputs.catalog_tags, config, staging).where(is_relevant(config))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rxtrail.config import ChronicConfig
 from rxtrail.operators.skew import equi_join
 from rxtrail.plans.chronic import ChronicModel
+from rxtrail.plans.daystate import DayState, StateModel
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.relations import ChronicInputs, read_relation
 from rxtrail.sources.staging import Staging
@@ -35,15 +36,23 @@ def rows_with_news(result: DataFrame, target: DataFrame | None, config: ChronicC
 
 
 def refreshed_rows(
-    inputs: ChronicInputs, target: DataFrame | None, config: ChronicConfig, staging: Staging
+    inputs: ChronicInputs,
+    target: DataFrame | None,
+    config: ChronicConfig,
+    staging: Staging,
+    state: DayState | None = None,
 ) -> DataFrame:
     """All current rows of purchases and rules that have a fresh one.
 
     Those rows replace the stored ones, so the ones that aren't fresh come along. A row's
-    stamp is that of a line of its patient, so only patients with a fresh line are run.
+    stamp is that of a line of its patient, so only patients with a fresh line are run. With a
+    ``state`` lines are read that have come since it was last advanced, instead of all.
     """
     fresh = None if target is None else is_fresh(target, config)
-    model = ChronicModel(inputs, config, staging, only_patients_with=fresh)
+    if state is None:
+        model = ChronicModel(inputs, config, staging, only_patients_with=fresh)
+    else:
+        model = StateModel(state, inputs, config, staging, only_patients_with=fresh)
     return rows_with_news(model.chronic_purchases(), target, config)
 
 
@@ -128,7 +137,11 @@ def rebuild_changes(
 
 
 def refresh_store(
-    inputs: ChronicInputs, config: ChronicConfig, staging: Staging, store: MonthlyVersions
+    inputs: ChronicInputs,
+    config: ChronicConfig,
+    staging: Staging,
+    store: MonthlyVersions,
+    state: DayState | None = None,
 ) -> int:
     """Make the next version of a store; returns its number.
 
@@ -139,10 +152,10 @@ def refresh_store(
     base = store.current()
     with staging:
         if not base:
-            first = refreshed_rows(inputs, None, config, staging)
+            first = refreshed_rows(inputs, None, config, staging, state)
             return store.publish(lambda path: write_output(first, path), None, base)
         target = store.read(base)
-        emitted = staging.write(refreshed_rows(inputs, target, config, staging), "emitted")
+        emitted = staging.write(refreshed_rows(inputs, target, config, staging, state), "emitted")
         keys = emitted.select(*KEY).distinct()
         replaced = equi_join(target, keys, KEY, "left_semi", null_safe=True)
         # As many as there are months of output.

@@ -22,3 +22,8 @@ def test_query(spark, name):
     theirs = rows_of_sql(duckdb_over(SF), registered.oracle_sql()[name])
     assert ours == theirs
     assert ours[1]
+
+
+@pytest.mark.parametrize("name", registered.chronic_sql.OTHER_WAYS)
+def test_other_way(spark, name):
+    test_query(spark, name)
