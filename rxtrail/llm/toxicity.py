@@ -49,9 +49,6 @@ SIGNIFICANT = 0.05
 EULER = 0.5772156649015329
 MARKS = ".,;:!?*$%&#|<>()[]{}\"'`~^_=+-/\\"
 PREFIXES = range(3, 9)
-#: A document counts so many times at most for a feature, else one that repeats itself would
-#: stand for many.
-MOST_TIMES = 4
 MEMO_WORDS = 150_000
 #: A task holds so many counts, those of one document at least, then sums them and hands them on.
 HELD = 1 << 21
@@ -90,6 +87,16 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
+def evidence(times: np.ndarray) -> np.ndarray:
+    """How much it counts that a document has a feature so many times.
+
+    The first four count one each, then one more per eightfold: of a document that repeats
+    itself, further occurrences are ever weaker evidence, but there is no bound.
+    """
+    doublings = np.frexp(np.maximum(times // 4, 1).astype(np.float64))[1] - 1
+    return np.where(times <= 4, times, 4 + doublings // 3).astype(np.int64)
+
+
 def split_of(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4, F.lit(0))
 
@@ -124,7 +131,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
             found = np.frombuffer(b"".join(map(known.__getitem__, words_of(text.as_py()))), np.uint64)
             found, times = np.unique(found, return_counts=True)
-            held.append((found, np.minimum(times, MOST_TIMES), -1 if toxic is None else int(bool(toxic))))
+            held.append((found, evidence(times), -1 if toxic is None else int(bool(toxic))))
             n += len(found) + 1
             if n >= HELD:
                 yield handed_on()
@@ -201,7 +208,7 @@ def positive_odds(counts: DataFrame) -> dict[int, float]:
     odds = against(in_toxic, F.lit(toxic)) - against(in_clean, F.lit(clean))
     # Several times in one document are no independent evidence: counts weigh half here.
     sure = odds - 3 * F.sqrt(2 / in_toxic + 2 / in_clean)
-    rows = counts.where("toxic > 0 AND feature IS NOT NULL").select("feature", F.least(sure, F.lit(20.0)).alias("odds")).where("odds > 0")
+    rows = counts.where("toxic > 0 AND feature IS NOT NULL").select("feature", sure.alias("odds")).where("odds > 0")
     return {row.feature % 2**64: row.odds for row in rows.toLocalIterator()}
 
 

@@ -322,6 +322,12 @@ def test_toxicity_tells_features_apart(monkeypatch):
     assert len({f for i in range(60_000) for f in toxicity.features_of(f"v{i:07}")[:1]}) == 60_000
 
 
+def test_occurrences_count_ever_less_without_bound():
+    times = np.array([1, 2, 3, 4, 31, 32, 255, 256, 4 * 8**12])
+    assert toxicity.evidence(times).tolist() == [1, 2, 3, 4, 4, 5, 5, 6, 16]
+    assert (np.diff(toxicity.evidence(np.arange(1, 100_000))) >= 0).all()
+
+
 def test_maximal_segments():
     pick = np.random.default_rng(8)
     for _ in range(300):
