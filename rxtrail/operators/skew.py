@@ -136,6 +136,16 @@ def dimension_join(
     return joined.unionByName(rows.where(~may_match), allowMissingColumns=True)
 
 
+def shuffled_by(rows: DataFrame, keys: Sequence[str], n_rows: int, limits: SkewLimits) -> DataFrame:
+    """``rows``, of which there are ``n_rows``, by key in tasks of about ``hot_rows`` rows or fewer.
+
+    Work that sorts and groups a task's rows many times over needs far more memory than the bytes
+    that it reads. Spark sizes tasks by these bytes; a number of tasks that is stated holds.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(cores, -(-n_rows // limits.hot_rows)), *keys)
+
+
 def per_key(
     rows: DataFrame, hot: HotKeys | None, work: Callable[[DataFrame, bool], DataFrame]
 ) -> DataFrame:

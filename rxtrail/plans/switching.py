@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rxtrail.config import SwitchConfig
 from rxtrail.operators import islands, switching
-from rxtrail.operators.skew import HotKeys, find_hot_keys, per_key
+from rxtrail.operators.skew import HotKeys, find_hot_keys, per_key, shuffled_by
 from rxtrail.operators.timeline import Pieces
 from rxtrail.sources.relations import RELATIONS
 from rxtrail.sources.staging import Staging
@@ -57,13 +57,15 @@ class SwitchModel:
     def _per_patient(self, work) -> DataFrame:
         """Work on the purchases' items; one shuffle by patient serves all that ``work`` does.
 
-        Only patients too long for a task go piece by piece, with shuffles of their own.
+        Its tasks hold a bounded number of purchases, whatever the size of the input. Only
+        patients too long for a task go piece by piece, with shuffles of their own.
         """
+        n_rows = self.purchases.count()
 
         def prepared(rows: DataFrame, is_hot: bool) -> DataFrame:
             if is_hot:
                 return work(rows, Pieces(self.staging, self.config.skew.hot_rows))
-            return work(rows.repartition(*PATIENT), None)
+            return work(shuffled_by(rows, PATIENT, n_rows, self.config.skew), None)
 
         return per_key(self.purchases.select(*switching.ITEM), self.hot_patients, prepared)
 

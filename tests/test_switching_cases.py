@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rxtrail.config import SkewLimits, SwitchConfig
+from rxtrail.operators import islands
 from rxtrail.operators.timeline import Pieces
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.staging import Staging
@@ -114,6 +115,28 @@ def test_one_busy_day_in_pieces(spark, patient):
     assert found[0] == found[1] and found[0]
 
 
+def tasks_rows(spark, monkeypatch, ask) -> list[int]:
+    """Purchases in each task of the per-patient work of ``ask``, which gets a model of 400."""
+    seen, step = [], islands.purchase_steps
+
+    def looked_at(items):
+        found = items.groupBy(F.spark_partition_id()).agg(F.sum("n_purchases").alias("n"))
+        seen.extend(row.n for row in found.collect())
+        return step(items)
+
+    monkeypatch.setattr(islands, "purchase_steps", looked_at)
+    rows = [row for patient in range(100) for row in history(patient, ALPHA, BETA, ALPHA, GENERIC_ALPHA)]
+    config = SwitchConfig(skew=SkewLimits(hot_rows=20))
+    ask(SwitchModel(purchases_frame(spark, rows), config, Staging(spark)))
+    assert sum(seen) == 400
+    return seen
+
+
+def test_island_lengths_has_bounded_tasks(spark, monkeypatch):
+    """However few shuffle partitions are set, a task of the per-patient work gets a bounded share."""
+    assert max(tasks_rows(spark, monkeypatch, lambda model: model.island_lengths().collect())) <= 3 * 20
+
+
 def test_pieces_are_no_longer_than_asked(spark, tmp_path):
     rows = spark.range(4000).selectExpr("1 AS key", "timestamp'2000-01-01' AS time", "id AS place")
     cut = Pieces(Staging(spark, str(tmp_path)), 500).cut(rows, ["key"], ["time", "place"])
