@@ -137,6 +137,10 @@ def test_island_lengths_has_bounded_tasks(spark, monkeypatch):
     assert max(tasks_rows(spark, monkeypatch, lambda model: model.island_lengths().collect())) <= 3 * 20
 
 
+def test_nsaid_switching_has_bounded_tasks(spark, monkeypatch):
+    assert max(tasks_rows(spark, monkeypatch, lambda model: model.nsaid_switching().collect())) <= 3 * 20
+
+
 def test_pieces_are_no_longer_than_asked(spark, tmp_path):
     rows = spark.range(4000).selectExpr("1 AS key", "timestamp'2000-01-01' AS time", "id AS place")
     cut = Pieces(Staging(spark, str(tmp_path)), 500).cut(rows, ["key"], ["time", "place"])
