@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rxtrail.config import SkewLimits, SwitchConfig
 from rxtrail.operators import islands
 from rxtrail.operators.timeline import Pieces
+from rxtrail.plans.refresh import write_switching_report
 from rxtrail.plans.switching import SwitchModel
 from rxtrail.sources.staging import Staging
 from tests.samples import moment, purchase, purchases_frame
@@ -141,6 +142,12 @@ def test_nsaid_switching_has_bounded_tasks(spark, monkeypatch):
     assert max(tasks_rows(spark, monkeypatch, lambda model: model.nsaid_switching().collect())) <= 3 * 20
 
 
+def test_stored_switch_report_has_bounded_tasks(spark, monkeypatch, tmp_path):
+    path = str(tmp_path / "report")
+    assert max(tasks_rows(spark, monkeypatch, lambda model: write_switching_report(model, path))) <= 3 * 20
+    assert spark.read.parquet(path).count() == 400
+
+
 def test_pieces_are_no_longer_than_asked(spark, tmp_path):
     rows = spark.range(4000).selectExpr("1 AS key", "timestamp'2000-01-01' AS time", "id AS place")
     cut = Pieces(Staging(spark, str(tmp_path)), 500).cut(rows, ["key"], ["time", "place"])
