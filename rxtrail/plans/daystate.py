@@ -36,15 +36,22 @@ IDENTITY = (*universe.PATIENT, "transaction_odu_id", "odu_updated_at_utc")
 SUMMED_BITS = 24
 
 
-def _fingerprint(rows: DataFrame) -> list[int]:
+def _hashes(row: Column) -> list[Column]:
     """Number, sum and combination of row hashes: equal for equal rows in any order."""
-    row = F.xxhash64(*rows.columns)
-    found = rows.agg(
-        F.count(F.lit(1)),
+    return [
+        F.count(row),
         F.coalesce(F.sum(F.pmod(row, F.lit(1 << SUMMED_BITS))), F.lit(0)),
         F.coalesce(F.bit_xor(row), F.lit(0)),
-    )
-    return list(found.first())
+    ]
+
+
+def _fingerprint(rows: DataFrame) -> list[int]:
+    return list(rows.agg(*_hashes(F.xxhash64(*rows.columns))).first())
+
+
+def _of_both(some: list[int], others: list[int]) -> list[int]:
+    """The fingerprint of rows and other rows together."""
+    return [some[0] + others[0], some[1] + others[1], some[2] ^ others[2]]
 
 
 def _time(text: str) -> Column:
@@ -70,9 +77,15 @@ class DayState(Versions):
     # --- what a version holds ----------------------------------------------------------
 
     @staticmethod
-    def _settled(transactions: DataFrame, start: str, until: str | None) -> list[int]:
-        lines = transactions.where(_is_dated_from(start) & _is_settled(until))
-        return _fingerprint(lines.select(*IDENTITY))
+    def _look(
+        transactions: DataFrame, start: str, until: str | None, config: ChronicConfig
+    ) -> tuple[list[int], str | None]:
+        """The fingerprint of settled lines, and the stamp up to which lines are settled by now."""
+        overlap = F.make_dt_interval(hours=F.lit(config.overlap_hours))
+        newest = (F.max("odu_updated_at_utc") - overlap).cast("string")
+        row = F.when(_is_settled(until), F.xxhash64(*IDENTITY))
+        *settled, now_until = transactions.where(_is_dated_from(start)).agg(*_hashes(row), newest).first()
+        return settled, now_until
 
     @staticmethod
     def _surroundings(inputs: ChronicInputs, config: ChronicConfig) -> list:
@@ -88,41 +101,48 @@ class DayState(Versions):
         start = self.spark.range(1).select(months_before(config.today(), config.input_months).cast("string"))
         return start.first()[0]
 
+    def _if_it_fits(
+        self, start: str, surroundings: list, inputs: ChronicInputs, config: ChronicConfig
+    ) -> tuple[dict[str, Any], str | None]:
+        """The current version if it stands for the settled lines as they are now, else nothing; in
+        one pass, the stamp up to which lines are settled by now."""
+        now = self.content()
+        if not now or start < now["whole_from"] or surroundings != now["surroundings"]:
+            return {}, None
+        settled, until = self._look(inputs.transactions, now["start"], now["until"], config)
+        return (now, until) if settled == now["settled"] else ({}, None)
+
     def fits(self, inputs: ChronicInputs, config: ChronicConfig) -> bool:
         """Whether the current version stands for the settled lines as they are now."""
-        now = self.content()
-        if not now or self._start(config) < now["whole_from"]:
-            return False
-        if self._surroundings(inputs, config) != now["surroundings"]:
-            return False
-        return self._settled(inputs.transactions, now["start"], now["until"]) == now["settled"]
+        return bool(self._if_it_fits(self._start(config), self._surroundings(inputs, config), inputs, config)[0])
 
     # --- adding lines --------------------------------------------------------------------
 
     def advance(self, inputs: ChronicInputs, config: ChronicConfig, staging: Staging) -> str:
         """Take the lines that have settled since; returns "kept", "merged" or "rebuilt"."""
         base, lines = self.current(), inputs.transactions
-        start, is_new = self._start(config), F.lit(True)
-        now: dict[str, Any] = self.content(base) if self.fits(inputs, config) else {}
+        start, surroundings = self._start(config), self._surroundings(inputs, config)
+        now, until = self._if_it_fits(start, surroundings, inputs, config)
+        is_new = F.lit(True)
         if now:
             start, is_new = now["start"], ~_is_settled(now["until"])
-        overlap = F.make_dt_interval(hours=F.lit(config.overlap_hours))
-        newest = F.max("odu_updated_at_utc") - overlap
-        until = lines.where(_is_dated_from(start)).agg(newest.cast("string")).first()[0]
-        if now and (until is None or until <= (now["until"] or "")):
-            return "kept"
+            if until is None or until <= (now["until"] or ""):
+                return "kept"
+        else:
+            _, until = self._look(lines, start, None, config)
         when = _is_dated_from(start) & _is_settled(until) & is_new
         relevant = universe.relevant_lines(inputs, config, staging, when=when)
         tagged = staging.write(universe.tagged_lines(relevant, config), "settled")
         lot = self._store(base + 1, parts_of(tagged, config))
+        settled = _fingerprint(lines.where(when).select(*IDENTITY))
         self.name_version(
             base + 1,
             {
                 "start": start,
                 "whole_from": now.get("whole_from", start),
                 "until": until,
-                "surroundings": self._surroundings(inputs, config),
-                "settled": self._settled(lines, start, until),
+                "surroundings": surroundings,
+                "settled": _of_both(now["settled"], settled) if now else settled,
                 "lots": [*now.get("lots", []), lot],
             },
         )

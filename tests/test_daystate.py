@@ -4,11 +4,14 @@ import datetime as dt
 from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
+import __spark_entry__
 from rxtrail.config import ChronicConfig, SkewLimits
 from rxtrail.plans.chronic import ChronicModel
 from rxtrail.plans.daystate import DayState, StateModel
 from rxtrail.plans.refresh import refresh_store, refreshed_rows
+from rxtrail.sources import derived
 from rxtrail.sources.derived import SAMPLE_SETS
 from rxtrail.sources.staging import Staging
 from rxtrail.sources.versions import MonthlyVersions
@@ -16,6 +19,7 @@ from tests import samples
 from tests.samples import moment
 
 CONFIG = ChronicConfig(sets=SAMPLE_SETS, as_of=samples.AS_OF)
+SF = "/root/testdata/sf0.001"
 HOT = SkewLimits(hot_rows=3, broadcast_rows=0)
 
 
@@ -117,6 +121,38 @@ def test_a_refresh_reads_few_lines(spark, tmp_path):
     assert 0 < written["purchases"] < purchases
 
 
+def counted(spark, lines):
+    """The lines, and an accumulator of how many were read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def look(stamp):
+        seen.add(1)
+        return True
+
+    return lines.where(look("odu_updated_at_utc")), seen
+
+
+def test_settled_lines_are_looked_at_once(spark, tmp_path):
+    """Whether the state fits and how far lines have settled is one pass; the rest reads new lines."""
+    tables = samples.random_chronic_tables(9, 400)
+    state = DayState(spark, str(tmp_path / "state"))
+    early, late = loads(spark, tables, moment("2001-07-01"), moment("2001-07-04"))
+    assert state.advance(early, CONFIG, Staging(spark)) == "rebuilt"
+    lines, seen = counted(spark, late.transactions)
+    assert state.advance(replace(late, transactions=lines), CONFIG, Staging(spark)) == "merged"
+    assert seen.value < 1.5 * late.transactions.count()
+    assert state.fits(late, CONFIG)
+
+
+def test_daystate_merge_makes_its_lines_once(spark, monkeypatch):
+    made = derived.transactions
+    lines, seen = counted(spark, made(spark, SF))
+    monkeypatch.setattr(derived, "transactions", lambda *_: lines)
+    assert not __spark_entry__.daystate_merge(spark, SF).isEmpty()
+    assert seen.value <= 1.1 * made(spark, SF).count()
+
+
 def _names(folder):
     import os
 
