@@ -1,9 +1,11 @@
 """Source mixing: nearness to targets, any number of sources, hot and cold ones."""
 
 import random
+from itertools import cycle
 
 import pytest
 
+import corpus_pipeline
 from checks.compare import duckdb_over, rows_of_spark, rows_of_sql
 from rxtrail.llm import mixing, shared
 
@@ -66,3 +68,40 @@ def test_targets_need_no_task_with_all_sources(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) >= 4 and max(sizes) < 2500
+
+
+def targets_of(sizes):
+    """Each source's target: the sources that their share would fill are taken out until none is."""
+    weights, full = dict(zip(sorted(sizes), cycle(mixing.WEIGHTS), strict=False)), set()
+    while True:
+        room = sum(sizes.values()) - 3 * sum(sizes[s] for s in full)
+        others = sum(weights[s] for s in sizes if s not in full)
+        more = {s for s in sizes if s not in full and 3 * sizes[s] * others < weights[s] * room}
+        if not more:
+            return {s: 3 * n if s in full else weights[s] * room / others for s, n in sizes.items()}
+        full |= more
+
+
+@pytest.mark.parametrize("words", [430_000_000, 1_200_000_000, 2**31 - 1, 2**31, 10**12])
+def test_targets_of_billions_of_words(spark, words):
+    """Shares out of totals on both sides of 2^31; 6 GB of documents have about 1.6 billion words."""
+    sizes = {"a": words // 100, "b": words // 2, "c": words // 10, "d": words // 5}
+    sizes["e"] = words - sum(sizes.values())
+    sized = spark.createDataFrame([(s, n - n // 2) for s, n in sizes.items()] + [(s, n // 2) for s, n in sizes.items()], "source string, size long")
+    found = {r.source: r for r in mixing.source_targets(sized, shared.staging(spark)).collect()}
+    assert {s: r.source_size for s, r in found.items()} == sizes
+    assert {s: r.target for s, r in found.items()} == pytest.approx(targets_of(sizes), rel=1e-12)
+
+
+def weights_times(monkeypatch, n):
+    """The same shares by numbers as large as those of n times the words."""
+    scaled = tuple(n * w for w in mixing.WEIGHTS)
+    monkeypatch.setattr(mixing.source_targets, "__defaults__", (scaled, mixing.MOST_REPEATS))
+
+
+def test_the_mix_stage_at_totals_beyond_an_int(spark, tmp_path, monkeypatch):
+    docs = stored(spark, [(i, "a b " * (i % 7), f"s{i % 4}", 1, "x", 2) for i in range(200)], tmp_path)
+    mixed = lambda: sorted(r.doc_id for r in corpus_pipeline.source_mix(spark, docs, str(tmp_path)).collect())
+    expected = mixed()
+    weights_times(monkeypatch, 10**8)
+    assert mixed() == expected != []
