@@ -105,3 +105,11 @@ def test_the_mix_stage_at_totals_beyond_an_int(spark, tmp_path, monkeypatch):
     expected = mixed()
     weights_times(monkeypatch, 10**8)
     assert mixed() == expected != []
+
+
+def test_the_report_at_totals_beyond_an_int(spark, tmp_path, monkeypatch):
+    rows = [(i, "a b " * (i % 9), f"s{i % 5}", 1, "x", 2) for i in range(200)]
+    docs = stored(spark, [*rows, (300, "c " * 400, None, 1, "x", 2), (None, None, "s1", 1, "x", 2)], tmp_path)
+    weights_times(monkeypatch, 10**8)
+    frame = mixing.report(docs, shared.staging(spark))
+    assert rows_of_spark(frame) == rows_of_sql(duckdb_over(str(tmp_path)), mixing.SQL_REPORT)
